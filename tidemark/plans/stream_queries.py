@@ -1,0 +1 @@
+"""The registered streaming queries."""
