@@ -84,13 +84,17 @@ def proportional_share(final: Column, detail: Column, original: Column) -> Colum
     return F.coalesce(narrow, wide, F.lit(0).cast("bigint"))
 
 
+CARRY = ["carry_detail", "carry_given", "carry_lines"]
+
+
 def allocate_paid_amount(wide: DataFrame, line_order: list[str]) -> DataFrame:
     """Spread each order's paid amount over its lines: adds ``share_cents``.
 
     Every line gets its proportional share, except that the first line at which the running line
     total reaches the order total takes what is left of the paid amount.  ``wide`` comes from
     ``order_wide`` and has detail_cents >= 0, original_cents and final_cents; ``line_order`` is
-    the order of the lines inside their order.
+    the order of the lines inside their order.  Columns named in CARRY, if present, hold what
+    earlier batches already summed, gave out and counted for the order.
     """
     detail, original, final = F.col("detail_cents"), F.col("original_cents"), F.col("final_cents")
     summed = running_sums(
@@ -99,6 +103,13 @@ def allocate_paid_amount(wide: DataFrame, line_order: list[str]) -> DataFrame:
         line_order,
         {"_before": detail, "_given": F.col("_prop"), "_lines": F.lit(1)},
     )
+    if set(CARRY) <= set(wide.columns):
+        summed = summed.withColumns(
+            {
+                name: F.col(name) + F.coalesce(F.col(carried), F.lit(0))
+                for name, carried in zip(["_before", "_given", "_lines"], CARRY)
+            }
+        )
     reaches = F.col("_before") + detail == original
     # Amounts are never negative, so only a line with a price can be the first to reach a
     # positive total; a zero total is reached by the first line at once.

@@ -398,7 +398,7 @@ where rank <= 20"""
 ORACLES["similar_vectors"] = """
 select * from (
   select a.vec_id, b.vec_id other_id,
-         round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 6) score
+         round(round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 9), 6) score
   from embeddings a join embeddings b on a.vec_id <> b.vec_id) x
 where score > 0.3"""
 
@@ -482,3 +482,53 @@ select genre, count(p_type) n
 from (select unnest(['Economy', 'Small', 'Standard', 'Medium', 'Large', 'Promo']) genre) g
      left join part on lower(genre) = lower(p_type)
 group by genre"""
+
+# ---- streams --------------------------------------------------------------------------------------
+
+# Allocation with lines in the order of a digest id instead of their line number.
+_LINE_HASH = """
+cast('0x' || substr(md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  cast(l_quantity as bigint), cast(round(l_extendedprice * 100) as bigint),
+  cast(round(l_discount * 100) as bigint), cast(round(l_tax * 100) as bigint),
+  strftime(l_shipdate, '%Y-%m-%d'), l_returnflag, l_linestatus)), 1, 15) as bigint)"""
+_ALLOCATED_BY_HASH = _ALLOCATED.replace(
+    "cast(l_linenumber as bigint) * 1000000000000 + l_partkey order_detail_id", _LINE_HASH + " order_detail_id"
+).replace(
+    """order by l_linenumber, l_partkey, l_suppkey,
+           l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate, l_returnflag,
+           l_linestatus)""",
+    "order by " + _LINE_HASH + ")",
+)
+
+ORACLES["dau_stream"] = _with(_LOGS) + "select distinct mid, dt from logs"
+
+ORACLES["route_cdc_stream"] = (
+    'select topic, count(*) n from (' + ORACLES["cdc_maxwell"] + ") x group by topic"
+)
+
+ORACLES["order_join_stream"] = (
+    _with(_ALLOCATED_BY_HASH)
+    + "select order_id, order_detail_id, user_id, sku_id, detail_cents, final_cents, dt from a"
+)
+
+ORACLES["alloc_stream"] = (
+    _with(_ALLOCATED_BY_HASH) + "select order_id, order_detail_id, share_cents from a"
+)
+
+ORACLES["first_order_stream"] = (
+    _with(_ORDER_INFO)
+    + """
+select id, user_id,
+       case when row_number() over (partition by user_id order by create_date, create_hour, id) = 1
+            then '1' else '0' end if_first_order
+from oi where id in (select l_orderkey from lineitem)"""
+)
+
+ORACLES["online_recs_stream"] = ORACLES["rescore"]
+
+ORACLES["ads_once"] = (
+    _with(_ALLOCATED_BY_HASH)
+    + """
+select split_part(p_brand, '#', 2) tm_id, p_brand tm_name, cast(sum(share_cents) as bigint) amount_cents
+from a join part on sku_id = p_partkey group by p_brand"""
+)

@@ -1 +1,214 @@
-"""The registered streaming queries."""
+"""The registered streaming queries.
+
+Each publishes the test tables as topic folders, runs the jobs over them until the input is used
+up and returns what the jobs left behind.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import schemas
+from ..functions.scalar import to_cents
+from ..operators import cdc, dims, online, orders, ratings
+from ..operators.relational import explode_recs
+from ..session import workspace
+from ..sources import readers, writers
+from ..streaming import jobs
+from . import views
+from .queries import _word_set_sims, query
+
+ORDERS, DETAILS = "dwd_order_info", "dwd_order_detail"
+
+
+def publish(rows: DataFrame, topic: str, path: str) -> None:
+    writers.write_topic(rows, topic, "parquet", path=path)
+
+
+def order_stream(spark: SparkSession, path: str, topic: str = ORDERS) -> DataFrame:
+    """Order heads from a topic, with cents and event time."""
+    parsed = readers.parse_json(
+        readers.read_topic(spark, topic, "parquet", path=path).select("value"), schemas.ORDER_INFO
+    )
+    return orders.with_create_date_hour(parsed.where(F.col("_corrupt").isNull()).drop("_corrupt"))
+
+
+def _heads(rows: DataFrame, *extra: str) -> DataFrame:
+    return rows.select(
+        F.col("id").alias("order_id"), "user_id", "province_id", "order_status",
+        F.col("create_date").alias("dt"),
+        to_cents(F.col("final_total_amount")).alias("final_cents"),
+        to_cents(F.col("original_total_amount")).alias("original_cents"),
+        F.to_timestamp("create_time").alias("order_time"), *extra,
+    )
+
+
+def detail_stream(spark: SparkSession, path: str, topic: str = DETAILS) -> DataFrame:
+    """Order lines from a topic, with cents and event time."""
+    parsed = readers.parse_json(
+        readers.read_topic(spark, topic, "parquet", path=path).select("value"), schemas.ORDER_DETAIL
+    )
+    return parsed.where(F.col("_corrupt").isNull()).drop("_corrupt")
+
+
+def _lines(rows: DataFrame, *extra: str) -> DataFrame:
+    cents: Column = to_cents(F.col("order_price")) * F.col("sku_num")
+    return rows.select(
+        F.col("id").alias("order_detail_id"), "order_id", "sku_id", "sku_num",
+        cents.alias("detail_cents"), F.to_timestamp("create_time").alias("detail_time"), *extra,
+    )
+
+
+def _publish_orders(spark: SparkSession, sf_dir: str, path: str) -> None:
+    publish(writers.as_messages(views.order_records(spark, sf_dir), "id"), ORDERS, path)
+    publish(writers.as_messages(views.detail_records(spark, sf_dir), "order_id"), DETAILS, path)
+
+
+def _joined(spark: SparkSession, path: str) -> DataFrame:
+    return jobs.join_order_streams(_heads(order_stream(spark, path)), _lines(detail_stream(spark, path)))
+
+
+@query
+def dau_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Devices per day, deduplicated as a stream."""
+    path = workspace(spark, "dau_stream")
+    publish(views.log_json(spark, sf_dir), "start", f"{path}/topics")
+    records = readers.parse_json(
+        readers.read_topic(spark, "start", "parquet", path=f"{path}/topics").select("value"), schemas.APP_LOG
+    )
+    firsts = jobs.dau_stream(
+        records.select(F.col("common.mid").alias("mid"), F.timestamp_millis("ts").alias("ts"))
+    )
+    jobs.drain(firsts, jobs.table_sink(f"{path}/dau"), f"{path}/checkpoint")
+    return spark.read.parquet(f"{path}/dau").select("mid", F.date_format("day", "yyyy-MM-dd").alias("dt"))
+
+
+@query
+def route_cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change records routed to topic folders as a stream, counted per topic."""
+    path = workspace(spark, "route_cdc")
+    publish(views.cdc_maxwell(spark, sf_dir), "changes", f"{path}/topics")
+    changes = readers.read_topic(spark, "changes", "parquet", path=f"{path}/topics")
+    routed = cdc.route_cdc_maxwell(changes)
+    jobs.drain(routed, jobs.topic_sink(f"{path}/ods"), f"{path}/checkpoint")
+    return spark.read.parquet(f"{path}/ods").groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def order_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order and line streams joined within 50 seconds."""
+    path = workspace(spark, "order_join")
+    _publish_orders(spark, sf_dir, f"{path}/topics")
+    jobs.drain(_joined(spark, f"{path}/topics"), jobs.table_sink(f"{path}/wide"), f"{path}/checkpoint")
+    return spark.read.parquet(f"{path}/wide").select(
+        "order_id", "order_detail_id", "user_id", "sku_id", "detail_cents", "final_cents", "dt"
+    )
+
+
+@query
+def alloc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Joined streams with the paid amount allocated; lines count in id order."""
+    path = workspace(spark, "alloc")
+    _publish_orders(spark, sf_dir, f"{path}/topics")
+    sink = jobs.allocate_sink(f"{path}/state", jobs.table_sink(f"{path}/wide"), ["order_detail_id"])
+    jobs.drain(_joined(spark, f"{path}/topics"), sink, f"{path}/checkpoint")
+    return spark.read.parquet(f"{path}/wide").select("order_id", "order_detail_id", "share_cents")
+
+
+@query
+def first_order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = workspace(spark, "first_order")
+    publish(writers.as_messages(views.order_records(spark, sf_dir), "id"), ORDERS, f"{path}/topics")
+    sink = jobs.first_order_sink(f"{path}/status", jobs.table_sink(f"{path}/orders"))
+    jobs.drain(order_stream(spark, f"{path}/topics"), sink, f"{path}/checkpoint")
+    return spark.read.parquet(f"{path}/orders").select("id", "user_id", "if_first_order")
+
+
+@query
+def online_recs_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user's latest rating as an event; the stored lists after all events."""
+    path = workspace(spark, "online_recs")
+    rated = views.ratings(spark, sf_dir)
+    sims, members = _word_set_sims(spark, sf_dir)
+    tables = {"ratings": rated, "sims": sims, "members": members}
+    for name, df in tables.items():
+        writers.write_overwrite(df, path=f"{path}/{name}")
+
+    def lookups(session: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:
+        rows = [readers.read_table(session, "", f"{path}/{name}") for name in tables]
+        return rows[0], rows[1], rows[2]
+
+    latest = ratings.recent_ratings(lookups(spark)[0], 1)
+    publish(views.rating_messages(latest), "ratings", f"{path}/topics")
+    events = online.parse_rating_events(
+        readers.read_topic(spark, "ratings", "parquet", path=f"{path}/topics")
+    )
+    jobs.drain(events, jobs.online_recs_sink(f"{path}/recs", lookups), f"{path}/checkpoint")
+    lists = explode_recs(writers.read_keyed(spark, f"{path}/recs"), "uid")
+    return lists.select("uid", "mid", F.round("score", 6).alias("score"))
+
+
+@query
+def ads_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole flow in layers: change records, typed facts, wide lines, brand sums.
+
+    The statistics batch is written a second time at the end, as after a crash before its
+    checkpoint; the sums stay the same.
+    """
+    path = workspace(spark, "layers")
+    topics = f"{path}/topics"
+    changes = views.change_messages(views.order_records(spark, sf_dir), "order_info").unionByName(
+        views.change_messages(views.detail_records(spark, sf_dir), "order_detail")
+    )
+    publish(changes, "gmall2020_db_m", topics)
+
+    # ODS: route change records by table
+    routed = cdc.route_cdc_maxwell(readers.read_topic(spark, "gmall2020_db_m", "parquet", path=topics))
+    jobs.drain(routed, jobs.topic_sink(topics), f"{path}/checkpoints/ods")
+
+    # DWD: orders with flag, province and user; lines with their product
+    province = views.province(spark, sf_dir)
+    people = dims.user_bands(views.users(spark, sf_dir), views.AS_OF)
+
+    def emit_orders(flagged: DataFrame, batch_id: int) -> None:
+        rows = dims.with_user(dims.with_province(flagged, province), people)
+        messages = writers.as_messages(rows, "id").withColumn("topic", F.lit(ORDERS))
+        writers.write_topic_once(messages, batch_id, topics)
+
+    jobs.drain(
+        order_stream(spark, topics, "ods_order_info"),
+        jobs.first_order_sink(f"{path}/status", emit_orders),
+        f"{path}/checkpoints/dwd_orders",
+    )
+    product = dims.denormalize_sku(
+        views.sku(spark, sf_dir), views.category3(spark, sf_dir),
+        views.trademark(spark, sf_dir), views.spu(spark, sf_dir),
+    ).select("id", "spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name")
+
+    def emit_details(batch: DataFrame, batch_id: int) -> None:
+        with jobs.batch_work(batch) as rows:
+            messages = writers.as_messages(dims.with_sku(rows, product), "order_id")
+            writers.write_topic_once(messages.withColumn("topic", F.lit(DETAILS)), batch_id, topics)
+
+    jobs.drain(detail_stream(spark, topics, "ods_order_detail"), emit_details, f"{path}/checkpoints/dwd_details")
+
+    # DWS: join the two streams and allocate the paid amount
+    enriched = schemas.extend(schemas.ORDER_DETAIL, "tm_id:string tm_name:string")
+    lines = readers.parse_json(
+        readers.read_topic(spark, DETAILS, "parquet", path=topics).select("value"), enriched
+    )
+    wide = jobs.join_order_streams(
+        _heads(order_stream(spark, topics, ORDERS)), _lines(lines, "tm_id", "tm_name")
+    )
+    sink = jobs.allocate_sink(f"{path}/state", jobs.table_sink(f"{path}/wide"), ["order_detail_id"])
+    jobs.drain(wide, sink, f"{path}/checkpoints/dws")
+
+    # ADS: brand sums per batch, written once
+    stored = spark.read.parquet(f"{path}/wide")
+    flow = spark.readStream.schema(stored.schema).parquet(f"{path}/wide")
+    stat = jobs.stat_sink(f"{path}/stat", ["tm_id", "tm_name"])
+    jobs.drain(flow, stat, f"{path}/checkpoints/ads")
+    stat(stored, 0)
+    sums = spark.read.parquet(f"{path}/stat").groupBy("tm_id", "tm_name")
+    return sums.agg(F.sum("amount_cents").alias("amount_cents"))

@@ -6,7 +6,7 @@ built from the line number and the part; lines that still tie are ordered by LIN
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import to_cents
@@ -253,3 +253,57 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_chars").cast("double").alias("doubanScore"),
         actors.alias("actorList"),
     )
+
+
+# ---- messages of the order flow -------------------------------------------------------------------
+
+
+def _line_hash() -> Column:
+    """A line id that is unique also where (order, line number) repeats: 60 bits of a digest."""
+    text = F.concat_ws(
+        "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.col("l_quantity").cast("bigint"), to_cents(F.col("l_extendedprice")),
+        to_cents(F.col("l_discount")), to_cents(F.col("l_tax")),
+        F.date_format("l_shipdate", "yyyy-MM-dd"), "l_returnflag", "l_linestatus",
+    )
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
+def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as order_info records."""
+    rows = order_info(spark, sf_dir).join(
+        order_totals(order_detail(spark, sf_dir)).withColumnRenamed("order_id", "id"), "id"
+    )
+    return rows.select(
+        "id", "province_id", "order_status", "user_id",
+        (F.col("final_cents") / 100).alias("final_total_amount"),
+        F.lit(0.0).alias("benefit_reduce_amount"),
+        (F.col("original_cents") / 100).alias("original_total_amount"),
+        F.lit(0.0).alias("feight_fee"),
+        "create_time",
+    )
+
+
+def detail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as order_detail records; the line amount is the price of one unit."""
+    times = order_info(spark, sf_dir).select(F.col("id").alias("order_id"), "create_time")
+    lines = table(spark, sf_dir, "lineitem").select(
+        _line_hash().alias("id"),
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("sku_id"),
+        F.col("l_extendedprice").alias("order_price"),
+        F.lit(1).cast("bigint").alias("sku_num"),
+    )
+    return lines.join(times, "order_id")
+
+
+def change_messages(rows: DataFrame, name: str) -> DataFrame:
+    """Insert records of one table as object-payload change messages."""
+    return rows.select(
+        F.to_json(F.struct(F.lit("insert").alias("type"), F.lit(name).alias("table"),
+                           F.struct("*").alias("data"))).alias("value")
+    )
+
+
+def rating_messages(rated: DataFrame) -> DataFrame:
+    return rated.select(F.concat_ws("|", "uid", "mid", "score", "timestamp").alias("value"))

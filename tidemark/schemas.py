@@ -83,3 +83,8 @@ SEARCH_DOC = T.StructType(
         T.StructField("actorList", T.ArrayType(_struct("id:long name:string"))),
     ]
 )
+
+
+def extend(schema: T.StructType, spec: str) -> T.StructType:
+    """A schema with more fields, given as "name:type name:type"."""
+    return T.StructType([*schema.fields, *_struct(spec).fields])

@@ -86,8 +86,12 @@ def _rewrite(
         df.unpersist()
 
 
-def _newest(keys: list[str], version: list[str], old: DataFrame, new: DataFrame) -> DataFrame:
+def _newest(
+    keys: list[str], version: list[str], keep: Column | None, old: DataFrame, new: DataFrame
+) -> DataFrame:
     """Newest row per key; at equal version a batch row beats a stored one."""
+    if keep is not None:
+        old = old.where(keep)
     rows = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
     rest = [c for c in new.columns if c not in keys and c not in version]
     best = rows.groupBy(*keys).agg(F.max(F.struct(*version, "_new", *rest)).alias("_row"))
@@ -101,16 +105,18 @@ def upsert(
     version: list[str] | None = None,
     partition: str | None = None,
     buckets: int = BUCKETS,
+    keep: Column | None = None,
 ) -> None:
     """Insert or replace rows by key; repeating a write changes nothing.
 
     With ``partition`` (such as dt) a key is unique per partition, like in a dated index; without
     it rows are laid out in hash buckets of the key.  ``version`` columns decide between rows of
-    the same key; without them the batch wins.
+    the same key; without them the batch wins.  Stored rows that fail ``keep`` (expired state) are
+    dropped from the slots that are rewritten.
     """
     slot = partition or _BUCKET
     rows = df if partition else _bucketed(df, keys, buckets)
-    _rewrite(rows, path, slot, partial(_newest, [*keys, slot], version or []))
+    _rewrite(rows, path, slot, partial(_newest, [*keys, slot], version or [], keep))
 
 
 def replace_by_key(df: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> None:
@@ -125,6 +131,21 @@ def replace_by_key(df: DataFrame, path: str, key: str, buckets: int = BUCKETS) -
 # ---- batches, topics, stores ------------------------------------------------------------------
 
 
+def write_topic_once(messages: DataFrame, batch_id: int, path: str) -> None:
+    """Folder form of ``write_topic`` for a micro-batch with a ``topic`` column.
+
+    A replayed batch replaces its own folder of each topic.
+    """
+    rows = messages if "key" in messages.columns else messages.withColumn("key", F.lit(None).cast("string"))
+    (
+        rows.select("key", "value", "topic", F.lit(batch_id).alias("batch_id"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("topic", "batch_id")
+        .parquet(path)
+    )
+
+
 def write_batch_once(df: DataFrame, batch_id: int, path: str) -> None:
     """Write a micro-batch's result under its own batch folder.
 
