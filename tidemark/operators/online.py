@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import lg
 from .relational import top_n_per_group
-from .similarity import ranked_members, ranked_sims
+from .similarity import ranked_members, sims_with_better
 
-_SHELF = 64  # items of one profile that are fetched together
+_SHELF = 16  # items of one profile that are fetched together
 
 
 def parse_rating_events(df: DataFrame, col: str = "value") -> DataFrame:
@@ -29,7 +29,7 @@ def top_unseen_similar(
     neighbours gives no rows.
 
     A user with s ratings needs at most the first n + s + 1 entries of a list to find n unseen
-    ones, so no more than that many are fetched: profiles by score rank, their items by shelf.
+    ones, so only the items that can be among those are fetched, shelf by shelf.
     """
     requests = events.select("uid", "mid").distinct()
     seen = ratings.select("uid", F.col("mid").alias("candidate")).distinct()
@@ -39,10 +39,14 @@ def top_unseen_similar(
         .withColumn("need", F.coalesce("n_seen", F.lit(0)) + n + 1)
         .join(members.select("mid", "profile"), "mid")
     )
-    near = asked.join(ranked_sims(sims), "profile").where(F.col("score_rank") <= F.col("need"))
-    last_shelf = F.call_function("div", F.col("need") - 1, F.lit(_SHELF))
+    near = (
+        asked.join(sims_with_better(sims, members), "profile")
+        .withColumn("first", F.col("need") - F.col("n_better"))
+        .where(F.col("first") > 0)
+    )
+    last_shelf = F.call_function("div", F.col("first") - 1, F.lit(_SHELF))
     shelves = near.select(
-        "uid", "mid", "need", "score", F.col("other_profile").alias("profile"),
+        "uid", "mid", "first", "score", F.col("other_profile").alias("profile"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), last_shelf)).alias("shelf"),
     )
     stock = ranked_members(members).select(
@@ -52,7 +56,7 @@ def top_unseen_similar(
         F.call_function("div", F.col("pos"), F.lit(_SHELF)).alias("shelf"),
     )
     offered = shelves.join(stock, ["profile", "shelf"]).where(
-        (F.col("pos") < F.col("need")) & (F.col("candidate") != F.col("mid"))
+        (F.col("pos") < F.col("first")) & (F.col("candidate") != F.col("mid"))
     )
     unseen = offered.join(seen, ["uid", "candidate"], "left_anti")
     return top_n_per_group(unseen, ["uid", "mid"], [F.desc("score"), F.asc("candidate")], n).select(

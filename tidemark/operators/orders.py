@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .skew import MAX_PART_ROWS, assign_parts, fan_out, hot_keys, running_sums
+from .skew import MAX_PART_ROWS, assign_parts, fan_out, fan_out_counted, hot_keys, running_sums
 
 
 def with_create_date_hour(orders: DataFrame) -> DataFrame:
@@ -58,17 +58,23 @@ def order_wide(
     orders: DataFrame,
     details: DataFrame,
     line_id: str = "order_detail_id",
+    n_lines: str | None = None,
     max_part_rows: int = MAX_PART_ROWS,
 ) -> DataFrame:
     """Inner join of orders (key order_id) with their lines.
 
     Lines meet their order on (order_id, part), so an order with very many lines is spread over
     several tasks; ``part`` and ``n_parts`` stay in the result for the allocation.  ``line_id``
-    is the numeric line order.
+    is the numeric line order; ``n_lines`` names a column of orders with their line count, which
+    saves one pass over the lines.
     """
     hot = hot_keys(details, "order_id", line_id, max_part_rows)
     lines = assign_parts(details, hot, "order_id", line_id)
-    return lines.join(fan_out(orders, hot, "order_id"), ["order_id", "part"])
+    if n_lines:
+        heads = fan_out_counted(orders, n_lines, max_part_rows).drop(n_lines)
+    else:
+        heads = fan_out(orders, hot, "order_id")
+    return lines.join(heads, ["order_id", "part"])
 
 
 def proportional_share(final: Column, detail: Column, original: Column) -> Column:

@@ -43,12 +43,18 @@ def assign_parts(df: DataFrame, hot: DataFrame, key: str, order_col: str) -> Dat
 
 def fan_out(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     """Repeat the row of each hot key once per part, so that it meets every slice of that key."""
-    last = F.coalesce(F.col("n_parts"), F.lit(1)) - 1
-    return (
-        df.join(F.broadcast(hot.select(key, "n_parts")), key, "left")
-        .withColumn("part", F.explode(F.sequence(F.lit(0), last)))
-        .drop("n_parts")
-    )
+    marked = df.join(F.broadcast(hot.select(key, "n_parts")), key, "left")
+    return _repeat(marked, F.coalesce(F.col("n_parts"), F.lit(1))).drop("n_parts")
+
+
+def fan_out_counted(df: DataFrame, n_rows: str, max_rows: int = MAX_PART_ROWS) -> DataFrame:
+    """``fan_out`` for rows that already know how many rows their key has."""
+    parts = F.ceil(F.col(n_rows) / F.lit(max_rows)).cast("int")
+    return _repeat(df, F.greatest(parts, F.lit(1)))
+
+
+def _repeat(df: DataFrame, n_parts: Column) -> DataFrame:
+    return df.withColumn("part", F.explode(F.sequence(F.lit(0), n_parts - 1)))
 
 
 def running_sums(

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalar import to_cents
 from ..operators import dims, orders, similarity
@@ -20,8 +21,15 @@ LINE_ORDER = [
 ]
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is inferred once per path, not once per use."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +108,10 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_totals(details: DataFrame) -> DataFrame:
-    return details.groupBy("order_id").agg(F.sum("detail_cents").alias("original_cents"))
+    """Sum and number of each order's lines."""
+    return details.groupBy("order_id").agg(
+        F.sum("detail_cents").alias("original_cents"), F.count(F.lit(1)).alias("n_lines")
+    )
 
 
 def allocated(
@@ -122,7 +133,7 @@ def allocated(
     head = info.withColumnRenamed("id", "order_id").join(
         order_totals(order_detail(spark, sf_dir)), "order_id"
     )
-    wide = orders.order_wide(head, lines)
+    wide = orders.order_wide(head, lines, n_lines="n_lines")
     return orders.allocate_paid_amount(wide, LINE_ORDER).withColumn("dt", F.col("create_date"))
 
 
