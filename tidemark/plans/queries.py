@@ -308,7 +308,7 @@ def content_similar_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As content_similar_top with words hashed into 50 buckets."""
     hashed = factorization.hashed_tfidf(views.genre_members(spark, sf_dir))
     vectors, members = factorization.hashed_profiles(hashed)
-    sims = similarity.dense_pairs(vectors, 0.6).unionByName(similarity.self_pairs(vectors, 0.6))
+    sims = similarity.dense_pairs(vectors, 0.6, shared=True)
     return similarity.similar_top_k(sims, members, 20)
 
 

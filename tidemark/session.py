@@ -21,10 +21,19 @@ RUNTIME_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Streaming state off the heap; on a cluster only, as a local session's state is small.
+CLUSTER_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session someone else made."""
-    for key, value in RUNTIME_CONF.items():
+    local = spark.sparkContext.master.startswith("local")
+    for key, value in (RUNTIME_CONF if local else {**RUNTIME_CONF, **CLUSTER_CONF}).items():
         spark.conf.set(key, value)
     return spark
 

@@ -65,11 +65,15 @@ def read_table(spark: SparkSession, name: str, path: str | None = None) -> DataF
 def parse_json(
     df: DataFrame, schema: T.StructType, col: str = "value", corrupt: str = "_corrupt"
 ) -> DataFrame:
-    """JSON text to the schema's columns; the text of an unreadable record goes to ``_corrupt``."""
+    """JSON text to the schema's columns; the text of an unreadable record goes to ``_corrupt``.
+
+    Unpacked by a generator: a filter on the parsed columns is not pushed below it, where it would
+    parse every record a second time.
+    """
     full = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
     parsed = F.from_json(col, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
     others = [c for c in df.columns if c != col]
-    return df.select(*others, parsed.alias("_r")).select(*others, "_r.*")
+    return df.select(*others, F.inline(F.array(parsed)))
 
 
 def read_topic(
