@@ -187,9 +187,8 @@ def ads_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("id", "spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name")
 
     def emit_details(batch: DataFrame, batch_id: int) -> None:
-        with jobs.batch_work(batch) as rows:
-            messages = writers.as_messages(dims.with_sku(rows, product), "order_id")
-            writers.write_topic_once(messages.withColumn("topic", F.lit(DETAILS)), batch_id, topics)
+        messages = writers.as_messages(dims.with_sku(batch, product), "order_id")
+        writers.write_topic_once(messages.withColumn("topic", F.lit(DETAILS)), batch_id, topics)
 
     jobs.drain(detail_stream(spark, topics, "ods_order_detail"), emit_details, f"{path}/checkpoints/dwd_details")
 

@@ -56,18 +56,21 @@ def console(df: DataFrame, rows: int = 20) -> StreamingQuery:
 
 
 @contextmanager
-def batch_work(batch: DataFrame) -> Iterator[DataFrame]:
-    """Keep a micro-batch for several outputs, with adaptive planning for the work on it.
+def batch_work(batch: DataFrame) -> Iterator[DataFrame | None]:
+    """Keep a micro-batch for several outputs, with adaptive planning for the work on it; None for
+    an empty batch, such as the one that only moves the watermark.
 
+    The batch is computed once and in full, which stateful plans need to commit their state.
     Streaming plans run without adaptive planning; the plan of this batch is already fixed, and
     the setting is put back before the next one is made.
     """
     conf = batch.sparkSession.conf
     before = conf.get("spark.sql.adaptive.enabled")
-    conf.set("spark.sql.adaptive.enabled", "true")
     kept = batch.persist()
     try:
-        yield kept
+        rows = kept.count()
+        conf.set("spark.sql.adaptive.enabled", "true")
+        yield kept if rows else None
     finally:
         kept.unpersist()
         conf.set("spark.sql.adaptive.enabled", before)
@@ -120,6 +123,8 @@ def first_order_sink(status_path: str, emit: BatchSink) -> BatchSink:
 
     def run(batch: DataFrame, batch_id: int) -> None:
         with batch_work(batch) as batch:
+            if batch is None:
+                return
             status = _state(batch.sparkSession, status_path, _STATUS)
             known = status.where(F.col("batch_id") < batch_id).select(
                 "user_id", F.lit("1").alias("if_consumed")
@@ -191,6 +196,8 @@ def allocate_sink(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         with batch_work(batch) as batch:
+            if batch is None:
+                return
             spark = batch.sparkSession
             state = _state(spark, state_path, _RUNNING)
             replay = F.col("batch_id") == batch_id
@@ -252,6 +259,8 @@ def stat_sink(path: str, by: list[str]) -> BatchSink:
 
     def run(batch: DataFrame, batch_id: int) -> None:
         with batch_work(batch) as batch:
+            if batch is None:
+                return
             writers.write_batch_once(orders.trademark_stat(batch, by), batch_id, path)
 
     return run
@@ -274,6 +283,8 @@ def online_recs_sink(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         with batch_work(batch) as batch:
+            if batch is None:
+                return
             rated, sims, members = lookups(batch.sparkSession)
             scored = online.online_recs(batch, rated, sims, members, k_recent, n)
             lists = batch.select("uid").distinct().join(collect_recs(scored, "uid", n), "uid", "left")
