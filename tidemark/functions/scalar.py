@@ -37,6 +37,11 @@ def previous_day(day: Column) -> Column:
     return F.date_format(F.date_sub(F.to_date(day), 1), "yyyy-MM-dd")
 
 
+def today() -> Column:
+    """The current day as text, for use as a default argument."""
+    return F.date_format(F.current_date(), "yyyy-MM-dd")
+
+
 def age_in_years(birthday: Column, as_of: Column) -> Column:
     """Whole 365-day years between two dates."""
     return F.floor(F.datediff(as_of, F.to_date(birthday)) / F.lit(365)).cast("int")

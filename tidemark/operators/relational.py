@@ -85,3 +85,8 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def page(df: DataFrame, order: list[Column], offset: int, size: int) -> DataFrame:
     """Rows offset .. offset+size of the ordered result."""
     return df.orderBy(*order).offset(offset).limit(size)
+
+
+def rename_to(df: DataFrame, names: list[str]) -> DataFrame:
+    """Rename columns by position to a target table's columns."""
+    return df.withColumnsRenamed(dict(zip(df.columns, names, strict=True)))

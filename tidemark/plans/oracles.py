@@ -166,6 +166,26 @@ select order_id, order_detail_id, user_id, sku_num, detail_cents, original_cents
 from a"""
 )
 
+ORACLES["order_wide_record"] = (
+    _with(_ALLOCATED, _USERS)
+    + """
+, flag as (
+  select id, row_number() over (partition by user_id order by create_date, create_hour, id) rn,
+         order_status, concat(create_date, ' ', create_hour, ':00:00') create_time
+  from oi)
+select order_detail_id, order_id, order_status, create_time, user_id, sku_id,
+       detail_cents / 100 sku_price, sku_num, concat_ws(' ', p_type, p_name) sku_name,
+       cast(0 as double) benefit_reduce_amount, cast(0 as double) feight_fee,
+       original_cents / 100 original_total_amount, final_cents / 100 final_total_amount,
+       share_cents / 100 final_detail_amount, case when rn = 1 then '1' else '0' end if_first_order,
+       n_name province_name, concat('A', n_regionkey) province_area_code,
+       age_group user_age_group, gender_name user_gender, dt, md5(p_name) spu_id,
+       split_part(p_brand, '#', 2) tm_id, md5(p_type) category3_id, p_name spu_name,
+       p_brand tm_name, p_type category3_name
+from a join flag on flag.id = order_id join part on sku_id = p_partkey
+     left join nation on province_id = n_nationkey left join people on user_id = people.id"""
+)
+
 ORACLES["order_amount_total"] = (
     _with(_ALLOCATED)
     + "select cast(coalesce(sum(share_cents), 0) as bigint) amount_cents from a where dt = '1998-03-02'"
@@ -259,6 +279,8 @@ ORACLES["user_bands"] = (
 
 ORACLES["dau_first"] = _with(_LOGS) + "select mid, dt, hr, ts from firsts"
 
+ORACLES["dau_index"] = ORACLES["dau_first"]
+
 ORACLES["dau_total"] = _with(_LOGS) + "select count(*) dau from firsts where dt = '2024-01-15'"
 
 ORACLES["dau_hourly"] = (

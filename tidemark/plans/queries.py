@@ -62,6 +62,26 @@ def order_wide_alloc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def order_wide_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full wide record: order, line, province, user, product, flag and allocated amount."""
+    info = orders.first_order_flag(views.order_info(spark, sf_dir))
+    people = dims.user_bands(views.users(spark, sf_dir), views.AS_OF)
+    heads = dims.with_user(dims.with_province(info, views.province(spark, sf_dir)), people)
+    lines = views.allocated(spark, sf_dir, heads, names=True)
+    zero = F.lit(0).cast("bigint")
+    return orders.to_order_wide(
+        lines.withColumns(
+            {
+                "price_cents": F.col("detail_cents"),
+                "sku_name": F.concat_ws(" ", "category3_name", "spu_name"),
+                "benefit_cents": zero,
+                "freight_cents": zero,
+            }
+        )
+    )
+
+
 @query
 def order_amount_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     info = views.on_days(views.order_info(spark, sf_dir), ORDER_DAY)
@@ -173,6 +193,17 @@ def dau_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dau.dau_hourly(dau.daily_first(day), LOG_DAY)
 
 
+@query
+def dau_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily firsts kept in a dated index by two upserts, the second repeating the first's days."""
+    path = workspace(spark, "dau_index")
+    first = dau.daily_first(_logs(spark, sf_dir)).select("mid", "dt", "hr", "ts")
+    early = first.where(F.col("dt") <= LOG_DAY)
+    for part in (early, first):
+        writers.upsert(part, path, ["mid"], partition="dt")
+    return spark.read.schema(first.schema).parquet(path)
+
+
 @query
 def realtime_hour_dau(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.realtime_hour(dau.daily_first(_logs(spark, sf_dir)), "dau", LOG_DAY)

@@ -17,8 +17,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 # Streaming state off the heap; on a cluster only, as a local session's state is small.
