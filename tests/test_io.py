@@ -137,8 +137,10 @@ def test_table_layout_joins_without_shuffle(spark, path):
     for name in ("left_b", "right_b"):
         writers.create_table(
             spark.range(100).withColumn("p", F.col("id") % 2), f"shop.{name}", f"{path}/{name}",
-            partition_by=["p"], bucket_by=["id"], n_buckets=4, sort_by=["id"], comment="it's a test",
+            partition_by=["p"], bucket_by=["id"], n_buckets=4, sort_by=["id"], comment="it's a test", column_comments={"id": "the key"},
         )
+    described = {r.col_name: r.comment for r in spark.sql("describe shop.left_b").collect()}
+    assert described["id"] == "the key"
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         joined = spark.table("shop.left_b").drop("p").join(spark.table("shop.right_b").drop("p"), "id")

@@ -528,6 +528,14 @@ ORACLES["route_cdc_stream"] = (
     'select topic, count(*) n from (' + ORACLES["cdc_maxwell"] + ") x group by topic"
 )
 
+ORACLES["sku_dimension_stream"] = (
+    "select id, spu_id, sku_name, tm_id, category3_id, category3_name, tm_name, spu_name from ("
+    + ORACLES["sku_denormalized"]
+    + ") x"
+)
+
+ORACLES["user_dimension_stream"] = ORACLES["user_bands"]
+
 ORACLES["order_join_stream"] = (
     _with(_ALLOCATED_BY_HASH)
     + "select order_id, order_detail_id, user_id, sku_id, detail_cents, final_cents, dt from a"

@@ -20,8 +20,9 @@ from . import views
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-ORDER_DAY = "1998-03-02"
-LOG_DAY = "2024-01-15"
+# Each day with the day before and after it.
+ORDER_DAY, ORDER_DAY_BEFORE, ORDER_DAY_AFTER = "1998-03-02", "1998-03-01", "1998-03-03"
+LOG_DAY, LOG_DAY_BEFORE, LOG_DAY_AFTER = "2024-01-15", "2024-01-14", "2024-01-16"
 STAT_FROM, STAT_TO = "1996-01-01", "1998-01-01"
 
 
@@ -40,9 +41,7 @@ def query(fn: Query) -> Query:
 @query
 def trademark_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five best-selling brands of an interval, from raw orders to chart points."""
-    info = views.order_info(spark, sf_dir).where(
-        (F.col("create_date") > STAT_FROM) & (F.col("create_date") < STAT_TO)
-    )
+    info = views.order_info(spark, sf_dir, STAT_FROM, STAT_TO).where(F.col("create_date") > STAT_FROM)
     lines = views.allocated(spark, sf_dir, info, names=True)
     stat = orders.trademark_stat(lines, ["dt", "tm_id", "tm_name"]).select(
         F.col("dt").alias("stat_time"),
@@ -66,8 +65,7 @@ def order_wide_alloc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_wide_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full wide record: order, line, province, user, product, flag and allocated amount."""
     info = orders.first_order_flag(views.order_info(spark, sf_dir))
-    people = dims.user_bands(views.users(spark, sf_dir), views.AS_OF)
-    heads = dims.with_user(dims.with_province(info, views.province(spark, sf_dir)), people)
+    heads = _with_users(spark, sf_dir, dims.with_province(info, views.province(spark, sf_dir)))
     lines = views.allocated(spark, sf_dir, heads, names=True)
     zero = F.lit(0).cast("bigint")
     return orders.to_order_wide(
@@ -84,19 +82,19 @@ def order_wide_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def order_amount_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    info = views.on_days(views.order_info(spark, sf_dir), ORDER_DAY)
+    info = views.order_info(spark, sf_dir, ORDER_DAY, ORDER_DAY_AFTER)
     return serving.order_amount_total(views.allocated(spark, sf_dir, info), ORDER_DAY)
 
 
 @query
 def order_amount_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    info = views.on_days(views.order_info(spark, sf_dir), ORDER_DAY)
+    info = views.order_info(spark, sf_dir, ORDER_DAY, ORDER_DAY_AFTER)
     return serving.order_amount_hourly(views.allocated(spark, sf_dir, info), ORDER_DAY)
 
 
 @query
 def realtime_hour_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
-    info = views.on_days(views.order_info(spark, sf_dir), ORDER_DAY, "1998-03-01")
+    info = views.order_info(spark, sf_dir, ORDER_DAY_BEFORE, ORDER_DAY_AFTER)
     return serving.realtime_hour(views.allocated(spark, sf_dir, info), "order_amount", ORDER_DAY)
 
 
@@ -106,22 +104,21 @@ def province_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.province_sales(dims.with_province(lines, views.province(spark, sf_dir)))
 
 
-def _orders_with_users(spark: SparkSession, sf_dir: str, *days: str) -> DataFrame:
-    info = views.order_info(spark, sf_dir)
-    people = dims.user_bands(views.users(spark, sf_dir), views.AS_OF)
-    return dims.with_user(views.on_days(info, *days) if days else info, people)
+def _with_users(spark: SparkSession, sf_dir: str, info: DataFrame) -> DataFrame:
+    return dims.with_user(info, dims.user_bands(views.users(spark, sf_dir), views.AS_OF))
 
 
 @query
 def buyer_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _orders_with_users(spark, sf_dir, ORDER_DAY)
+    info = views.order_info(spark, sf_dir, ORDER_DAY, ORDER_DAY_AFTER)
+    rows = _with_users(spark, sf_dir, info)
     return serving.buyer_shares(rows.withColumn("dt", F.col("create_date")), ORDER_DAY)
 
 
 @query
 def sale_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second page of a day's lines whose product is a ring or a bolt."""
-    info = views.on_days(views.order_info(spark, sf_dir), ORDER_DAY)
+    info = views.order_info(spark, sf_dir, ORDER_DAY, ORDER_DAY_AFTER)
     lines = views.allocated(spark, sf_dir, info, names=True)
     rows = serving.sale_detail(lines, ORDER_DAY, "ring bolt", 3, 10, text_col="spu_name")
     return rows.select("order_id", "order_detail_id", "user_id", "spu_name", "tm_name", "share_cents")
@@ -130,16 +127,16 @@ def sale_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def first_order_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users with a fulfilled order before 1996 count as known."""
-    info = views.order_info(spark, sf_dir)
-    known = info.where((F.col("create_date") < "1996-01-01") & (F.col("order_status") == "F"))
-    later = info.where(F.col("create_date") >= "1996-01-01")
+    known = views.order_info(spark, sf_dir, end="1996-01-01").where(F.col("order_status") == "F")
+    later = views.order_info(spark, sf_dir, start="1996-01-01")
     flagged = orders.first_order_flag(later, orders.consumed_users(known))
     return flagged.select("id", "user_id", "create_date", "create_hour", "if_first_order")
 
 
 @query
 def order_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dims.with_province(_orders_with_users(spark, sf_dir), views.province(spark, sf_dir))
+    rows = _with_users(spark, sf_dir, views.order_info(spark, sf_dir))
+    rows = dims.with_province(rows, views.province(spark, sf_dir))
     return rows.select(
         "id", "user_id", "province_name", "province_area_code", "province_iso_code",
         "user_age_group", "user_gender",
@@ -172,8 +169,8 @@ def user_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- traffic ----------------------------------------------------------------------------------
 
 
-def _logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dau.with_day_hour(views.logs(spark, sf_dir))
+def _logs(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    return dau.with_day_hour(views.logs(spark, sf_dir, start, end))
 
 
 @query
@@ -183,13 +180,13 @@ def dau_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dau_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = _logs(spark, sf_dir).where(F.col("dt") == LOG_DAY)
+    day = _logs(spark, sf_dir, LOG_DAY, LOG_DAY_AFTER)
     return dau.dau_total(dau.daily_first(day), LOG_DAY)
 
 
 @query
 def dau_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = _logs(spark, sf_dir).where(F.col("dt") == LOG_DAY)
+    day = _logs(spark, sf_dir, LOG_DAY, LOG_DAY_AFTER)
     return dau.dau_hourly(dau.daily_first(day), LOG_DAY)
 
 
@@ -206,7 +203,8 @@ def dau_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def realtime_hour_dau(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.realtime_hour(dau.daily_first(_logs(spark, sf_dir)), "dau", LOG_DAY)
+    days = _logs(spark, sf_dir, LOG_DAY_BEFORE, LOG_DAY_AFTER)
+    return serving.realtime_hour(dau.daily_first(days), "dau", LOG_DAY)
 
 
 @query

@@ -95,6 +95,65 @@ def route_cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{path}/ods").groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _publish_dimensions(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Change records of all dimension tables, routed to one topic per table."""
+    price = (F.col("price_cents") / 100).cast("string")
+    tables = {
+        "base_trademark": views.trademark(spark, sf_dir),
+        "base_category3": views.category3(spark, sf_dir),
+        "spu_info": views.spu(spark, sf_dir),
+        "sku_info": views.sku(spark, sf_dir).withColumn("price", price).drop("price_cents"),
+        "user_info": views.users(spark, sf_dir),
+    }
+    for name, rows in tables.items():
+        publish(views.change_messages(rows, name), "changes", f"{path}/topics")
+    routed = cdc.route_cdc_maxwell(
+        readers.read_topic(spark, "changes", "parquet", path=f"{path}/topics")
+    )
+    jobs.drain(routed, jobs.topic_sink(f"{path}/ods"), f"{path}/checkpoints/ods")
+    return f"{path}/ods"
+
+
+def _dimension(spark: SparkSession, path: str, name: str, schema, key: str, prepare=None) -> DataFrame:
+    """Run one dimension job over its topic and return the stored table."""
+    topic = readers.read_topic(spark, f"ods_{name}", "parquet", path=f"{path}/ods").select("value")
+    rows = readers.parse_json(topic, schema).where(F.col("_corrupt").isNull()).drop("_corrupt")
+    sink = jobs.dimension_sink(f"{path}/dim/{name}", [key], prepare)
+    jobs.drain(rows, sink, f"{path}/checkpoints/{name}")
+    return writers.read_keyed(spark, f"{path}/dim/{name}")
+
+
+@query
+def sku_dimension_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dimension jobs in their order: plain tables first, then SKUs with the names from them."""
+    path = workspace(spark, "sku_dimension")
+    _publish_dimensions(spark, sf_dir, path)
+    _dimension(spark, path, "base_trademark", schemas.TRADEMARK, "tm_id")
+    _dimension(spark, path, "base_category3", schemas.CATEGORY3, "id")
+    _dimension(spark, path, "spu_info", schemas.SPU, "id")
+
+    def names(batch: DataFrame) -> DataFrame:
+        stored = [
+            writers.read_keyed(batch.sparkSession, f"{path}/dim/{name}")
+            for name in ("base_category3", "base_trademark", "spu_info")
+        ]
+        return dims.denormalize_sku(batch.drop("category3_name", "tm_name", "spu_name"), *stored)
+
+    table = _dimension(spark, path, "sku_info", schemas.SKU, "id", names)
+    return table.drop("price", "create_time")
+
+
+@query
+def user_dimension_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User change records stored with their age band and gender name."""
+    path = workspace(spark, "user_dimension")
+    _publish_dimensions(spark, sf_dir, path)
+    table = _dimension(
+        spark, path, "user_info", schemas.USER, "id", lambda rows: dims.user_bands(rows, views.AS_OF)
+    )
+    return table.drop("user_level")
+
+
 @query
 def order_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order and line streams joined within 50 seconds."""
@@ -168,11 +227,10 @@ def ads_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.drain(routed, jobs.topic_sink(topics), f"{path}/checkpoints/ods")
 
     # DWD: orders with flag, province and user; lines with their product
-    province = views.province(spark, sf_dir)
-    people = dims.user_bands(views.users(spark, sf_dir), views.AS_OF)
-
     def emit_orders(flagged: DataFrame, batch_id: int) -> None:
-        rows = dims.with_user(dims.with_province(flagged, province), people)
+        session = flagged.sparkSession  # dimensions are read afresh for every batch
+        people = dims.user_bands(views.users(session, sf_dir), views.AS_OF)
+        rows = dims.with_user(dims.with_province(flagged, views.province(session, sf_dir)), people)
         messages = writers.as_messages(rows, "id").withColumn("topic", F.lit(ORDERS))
         writers.write_topic_once(messages, batch_id, topics)
 

@@ -32,14 +32,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+def between(df: DataFrame, ts_col: str, start: str | None, end: str | None) -> DataFrame:
+    """Rows with start <= ts < end; compared on the stored column, so that the scan can skip."""
+    if start:
+        df = df.where(F.col(ts_col) >= F.lit(start).cast("timestamp_ntz"))
+    if end:
+        df = df.where(F.col(ts_col) < F.lit(end).cast("timestamp_ntz"))
+    return df
+
+
+def order_info(
+    spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None
+) -> DataFrame:
     """One row per order with its customer's province; create_time has a derived hour."""
     customer = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("province_id")
     )
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     hour = F.lpad(((F.col("o_orderkey") * 7919) % 24).cast("string"), 2, "0")
-    base = table(spark, sf_dir, "orders").select(
+    base = between(table(spark, sf_dir, "orders"), "o_orderdate", start, end).select(
         F.col("o_orderkey").alias("id"),
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderstatus").alias("order_status"),
@@ -194,9 +205,11 @@ def word_set_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.word_members(items, F.array_distinct(similarity.genre_words(F.col("genres"))))
 
 
-def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def logs(
+    spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None
+) -> DataFrame:
     """(mid, ts epoch ms, ch) application log records."""
-    return table(spark, sf_dir, "events").select(
+    return between(table(spark, sf_dir, "events"), "ts", start, end).select(
         F.col("user_id").cast("string").alias("mid"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("ts"),
         F.col("event_type").alias("ch"),

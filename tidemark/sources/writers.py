@@ -222,9 +222,12 @@ def create_table(
     n_buckets: int = 8,
     sort_by: list[str] | None = None,
     comment: str | None = None,
+    column_comments: dict[str, str] | None = None,
     fmt: str = "parquet",
 ) -> None:
     """Create a table from a query: partitioned, bucketed and sorted; external with a path."""
+    for col, text in (column_comments or {}).items():
+        df = df.withColumn(col, F.col(col).alias(col, metadata={"comment": text}))
     database = name.split(".")[0] if "." in name else None
     if database:
         df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {database}")

@@ -112,6 +112,28 @@ def dau_stream(logs: DataFrame, delay: str = "1 day", salts: int = 16) -> DataFr
     return thinned.drop("_salt").dropDuplicates(["mid", "day"])
 
 
+# ---- dimensions -----------------------------------------------------------------------------------
+
+
+def dimension_sink(
+    path: str,
+    keys: list[str],
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    version: list[str] | None = None,
+    buckets: int = 8,
+) -> BatchSink:
+    """Upsert a dimension by key.  ``prepare`` may look other tables up; it runs per batch, so it
+    reads them as they are then.  ``version`` columns decide between changes to the same key."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        with batch_work(batch) as batch:
+            if batch is not None:
+                rows = prepare(batch) if prepare else batch
+                writers.upsert(rows, path, keys, version, buckets=buckets)
+
+    return run
+
+
 # ---- first order ------------------------------------------------------------------------------------
 
 _STATUS = "user_id bigint, first_order_id bigint, batch_id bigint"
