@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Topic names and the tables each capture format forwards.
-START_TOPIC = "gmall_start_0523"
-EVENT_TOPIC = "gmall_event_0523"
+START_TOPIC = "start_log"
+EVENT_TOPIC = "event_log"
 ODS_PREFIX = "ods_"
 CANAL_TYPES = ["INSERT", "UPDATE"]
 INSERT_ONLY_TABLES = ["order_info", "order_detail"]

@@ -316,7 +316,7 @@ from days"""
 ORACLES["route_logs"] = (
     _with(_LOGS)
     + """
-select case when ch = 'view' then 'gmall_start_0523' else 'gmall_event_0523' end topic,
+select case when ch = 'view' then 'start_log' else 'event_log' end topic,
        mid, ch, ts, ch = 'view' is_start
 from logs"""
 )

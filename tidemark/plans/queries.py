@@ -13,7 +13,7 @@ from .. import schemas
 from ..functions.scalar import round_half_up_2, word_tokens
 from ..operators import cdc, dau, dims, factorization, online, orders, ratings, serving, similarity
 from ..operators.relational import collect_recs, explode_recs
-from ..session import tune, workspace
+from ..session import stored, tune, workspace
 from ..sources import readers, writers
 from . import views
 
@@ -294,8 +294,11 @@ def _word_set_sims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 
 def _candidates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    rated = views.ratings(spark, sf_dir)
+    """Candidates with the tables they come from; ratings and pairs are read several times, so
+    they are computed once and stored."""
+    rated = stored(views.ratings(spark, sf_dir), "ratings")
     sims, members = _word_set_sims(spark, sf_dir)
+    sims = stored(sims, "sims")
     events = ratings.recent_ratings(rated, 1).select("uid", "mid")
     return online.top_unseen_similar(events, rated, sims, members), rated, sims, members
 

@@ -220,10 +220,10 @@ def ads_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = views.change_messages(views.order_records(spark, sf_dir), "order_info").unionByName(
         views.change_messages(views.detail_records(spark, sf_dir), "order_detail")
     )
-    publish(changes, "gmall2020_db_m", topics)
+    publish(changes, "db_changes", topics)
 
     # ODS: route change records by table
-    routed = cdc.route_cdc_maxwell(readers.read_topic(spark, "gmall2020_db_m", "parquet", path=topics))
+    routed = cdc.route_cdc_maxwell(readers.read_topic(spark, "db_changes", "parquet", path=topics))
     jobs.drain(routed, jobs.topic_sink(topics), f"{path}/checkpoints/ods")
 
     # DWD: orders with flag, province and user; lines with their product
