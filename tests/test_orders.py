@@ -9,7 +9,7 @@ WIDE = "order_id long, order_detail_id long, detail_cents long"
 HEAD = "order_id long, original_cents long, final_cents long"
 
 
-def reference_shares(lines, original, final):
+def shares_line_by_line(lines, original, final):
     """Line by line: the first line to reach the total takes the rest."""
     before = given = 0
     done, out = False, []
@@ -55,7 +55,7 @@ def test_allocation_cases(spark, part_rows):
     got = orders.allocate_paid_amount(wide, ["order_detail_id"]).collect()
     for key, (lines, original, final) in cases.items():
         rows = sorted((r.order_detail_id, r.share_cents) for r in got if r.order_id == key)
-        assert [s for _, s in rows] == reference_shares(lines, original, final), key
+        assert [s for _, s in rows] == shares_line_by_line(lines, original, final), key
         if sum(lines) == original:
             assert sum(s for _, s in rows) == final
 
@@ -179,6 +179,11 @@ def test_top_n_keep_first_and_lists(spark):
     assert [r.mid for r in paged.collect()] == [3, 4]
 
 
+def test_word_count(spark):
+    df = spark.createDataFrame([("One two, TWO",), ("",), (None,), ("--three two-",)], "text string")
+    assert {r.word: r.n for r in relational.word_count(df, "text").collect()} == {"one": 1, "two": 3, "three": 1}
+
+
 def test_rename_to(spark):
     df = spark.createDataFrame([(1, "a")], "tm_id long, tm_name string")
     assert relational.rename_to(df, ["ID", "TM_NAME"]).columns == ["ID", "TM_NAME"]

@@ -87,6 +87,12 @@ def page(df: DataFrame, order: list[Column], offset: int, size: int) -> DataFram
     return df.orderBy(*order).offset(offset).limit(size)
 
 
+def word_count(df: DataFrame, col: str) -> DataFrame:
+    """(word, n) over the lower-case words of a text column; counted per task before the shuffle."""
+    words = df.select(F.explode(F.split(F.lower(col), r"[^\p{L}\p{N}]+")).alias("word"))
+    return words.where(F.col("word") != "").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
 def rename_to(df: DataFrame, names: list[str]) -> DataFrame:
     """Rename columns by position to a target table's columns."""
     return df.withColumnsRenamed(dict(zip(df.columns, names, strict=True)))

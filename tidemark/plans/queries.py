@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.scalar import round_half_up_2, word_tokens
+from ..functions.scalar import round_half_up_2
 from ..operators import cdc, dau, dims, factorization, online, orders, ratings, serving, similarity
 from ..operators.relational import collect_recs, explode_recs
+from ..operators.relational import word_count as count_words
 from ..session import stored, tune, workspace
 from ..sources import readers, writers
 from . import views
@@ -384,8 +385,7 @@ def als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = views.table(spark, sf_dir, "documents").select(F.explode(word_tokens(F.col("text"))).alias("word"))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return count_words(views.table(spark, sf_dir, "documents"), "text")
 
 
 @query
