@@ -33,6 +33,9 @@ def tune(spark: SparkSession) -> SparkSession:
     local = spark.sparkContext.master.startswith("local")
     for key, value in (RUNTIME_CONF if local else {**RUNTIME_CONF, **CLUSTER_CONF}).items():
         spark.conf.set(key, value)
+    if local and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        # the default width is far too wide for one machine, above all for streaming state
+        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return spark
 
 
