@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing, rules
+from tidemark.llm import licenses, mixing, rules, urls
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -94,7 +94,73 @@ def _rules_sql(rounds: int = 10) -> str:
     from votes join q{rounds} using ({', '.join(names)})"""
 
 
+def _license_sql() -> str:
+    """Every window of every class against every template, without any retrieval step."""
+    toks = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\p{{L}}\p{{N}}]+')"
+    listed = ", ".join(f"('{n}', '{t}')" for n, t in licenses.TEMPLATES.items())
+    grams = "list_transform(range(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2])"
+    return f"""
+    with templates as (
+      select *, greatest(4, pow(2, ceil(log2(len(g))))::int) c from (
+        select license, list_distinct({grams}) g from (
+          select license, {toks.format('x')} t from (values {listed}) v(license, x)))),
+    docs as (
+      select doc_id, {grams} g from (select doc_id, {toks.format("coalesce(text, '')")} t from documents)),
+    windows as (
+      select doc_id, c, s, g[s + 1 : s + 2 * c] g from (
+        select doc_id, g, c, unnest(range(0, len(g), c)) s from docs, (select distinct c from templates))),
+    shares as (
+      select doc_id, license, s, len(list_intersect(list_distinct(w.g), t.g)) / len(t.g) "share"
+      from windows w join templates t using (c) where list_has_any(w.g, t.g))
+    select doc_id, license, max("share") containment, min(s)::bigint first_word, count(*) n_windows
+    from shares where "share" >= 0.8 group by doc_id, license"""
+
+
+def _urls_sql(rounds: int = 12) -> str:
+    listed = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in urls.RULES)
+    fold = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    link, owner = urls.LINK.replace("'", "''").replace("(?i)", ""), urls.OWNER.replace(r"©", "©")
+    ctes = [f"""
+    rules as (select * from (values {listed}) v(h, p, v)),
+    cut as (
+      select page_id, html, case when contains(url, '://') then substr(url, instr(url, '://') + 3) else '' end r from pages),
+    split as (
+      select page_id, html, {fold.format("regexp_extract(r, '^[^/?#]*')")} host,
+        regexp_extract(substr(r, length(regexp_extract(r, '^[^/?#]*')) + 1), '^[^?#]*') path from cut),
+    ruled as (
+      select page_id, host, path, h || p rule, v from split left join rules
+        on (host = h or ends_with(host, '.' || h)) and starts_with(path, p)
+      qualify row_number() over (partition by page_id order by length(h || p) desc) = 1),
+    links as (
+      select host src, {fold.format('dst')} dst from (
+        select host, unnest(list_distinct(list_concat(
+          regexp_extract_all(html, '{link}', 1, 'i'), regexp_extract_all(html, '{owner}', 1)))) dst from split)),
+    edges as (select src, dst, count(*) n from links where src <> dst and src <> '' group by all),
+    flow as (
+      select src host, 0 kind, dst "to", n / sum(n) over (partition by src) "share" from edges
+      union all select dst, 1, src, n / sum(n) over (partition by dst) from edges),
+    shares as (
+      select host, avg((coalesce(v, '') = 'allow')::int) a, avg((coalesce(v, '') = 'block')::int) b from ruled group by host),
+    seeds as (
+      select host, 0 kind, a score from shares where a > 0 union all select host, 1, b from shares where b > 0),
+    s0 as (select * from seeds)"""]
+    for k in range(rounds):
+        ctes.append(f"""
+    s{k + 1} as materialized (
+      select host, kind, sum(score) score from (
+        select "to" host, kind, 0.85 * score * "share" score from flow join s{k} using (host, kind)
+        union all select * from seeds) group by host, kind)""")
+    return f"""with {', '.join(ctes)},
+    hosts as (
+      select host, sum(case kind when 1 then score else -score end) excess from s{rounds} group by host)
+    select page_id, host, path, rule,
+      coalesce(v, case when coalesce(excess, 0) >= 0.5 then 'block' else 'allow' end) verdict
+    from ruled left join hosts using (host)"""
+
+
 ORACLES: dict[str, str] = {
     "op4_curriculum_mix": _mix_sql(),
     "op6_weak_supervision": _rules_sql(),
+    "op5_license_scan": _license_sql(),
+    "op3_link_trust": _urls_sql(),
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, rules
+from tidemark.llm import licenses, mixing, rules, urls
 from tidemark.llm.common import table
 from tidemark.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
 
@@ -47,3 +47,16 @@ def op6_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed",
         "kept",
     )
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses found per document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict per page."""
+    pages = table(spark, sf_dir, "pages")
+    return urls.judge(pages).select("page_id", "host", "path", "rule", "verdict")
