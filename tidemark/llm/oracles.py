@@ -158,9 +158,29 @@ def _urls_sql(rounds: int = 12) -> str:
     from ruled left join hosts using (host)"""
 
 
+#: Every pair of a label; components by repeated smallest neighbour along a recursive walk.
+VECTOR_SQL = """
+    with recursive good as (
+      select vec_id, label, embedding::double[] v from embeddings
+      where label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links as materialized (
+      select a.vec_id a, b.vec_id b from good a join good b using (label)
+      where a.vec_id <> b.vec_id and len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= 0.98),
+    walk as (
+      select vec_id id, vec_id reached from good union select walk.id, links.b from walk join links on links.a = walk.reached),
+    least as (select id, min(reached) component_id from walk group by id),
+    counts as (select a, count(*) n from links group by a)
+    select e.vec_id, coalesce(n, 0)::bigint n_links, coalesce(component_id, e.vec_id) component_id,
+      e.vec_id = coalesce(component_id, e.vec_id) kept
+    from embeddings e left join least on id = e.vec_id left join counts on a = e.vec_id"""
+
+
 ORACLES: dict[str, str] = {
     "op4_curriculum_mix": _mix_sql(),
     "op6_weak_supervision": _rules_sql(),
     "op5_license_scan": _license_sql(),
     "op3_link_trust": _urls_sql(),
+    "op10_vector_cells": VECTOR_SQL,
 }

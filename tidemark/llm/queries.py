@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import licenses, mixing, rules, urls
+from tidemark.llm import classifier, embed, licenses, mixing, rules, urls
 from tidemark.llm.common import table
 from tidemark.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
 
@@ -60,3 +60,23 @@ def op3_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict per page."""
     pages = table(spark, sf_dir, "pages")
     return urls.judge(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op1_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; a third of the ids is held out of the labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    labels = table(spark, sf_dir, "labels").where(remainder != 1)
+    return classifier.score(docs, classifier.fit(docs, labels)).select(
+        "doc.doc_id",
+        (F.crc32(F.col("doc.doc_id").cast("string").cast("binary")) % 3 == 1).alias("held_out"),
+        "score",
+        "predicted",
+    )
+
+
+@query
+def op10_vector_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and verdict per vector."""
+    return embed.near_duplicates(table(spark, sf_dir, "embeddings"))
