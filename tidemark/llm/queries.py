@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import classifier, embed, licenses, mixing, rules, urls
+from tidemark.llm import classifier, embed, licenses, mixing, rules, suffix, urls
 from tidemark.llm.common import table
 from tidemark.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
 
@@ -80,3 +80,12 @@ def op1_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_vector_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, component and verdict per vector."""
     return embed.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op2_previous_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that an earlier one has in a 50-byte string."""
+    rows = suffix.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    )
