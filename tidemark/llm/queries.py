@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import classifier, embed, licenses, mixing, rules, suffix, urls
+from tidemark.llm import classifier, embed, jaccard, licenses, mixing, rules, suffix, urls
 from tidemark.llm.common import table
 from tidemark.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
 
@@ -89,3 +89,9 @@ def op2_previous_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "doc.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256")
     )
+
+
+@query
+def op8_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of the shingle set and component of every document."""
+    return jaccard.clusters(table(spark, sf_dir, "documents").select("doc_id", "text"))

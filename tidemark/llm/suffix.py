@@ -38,7 +38,7 @@ PACKET_BYTES, PIECE_BYTES = 4 << 20, 1 << 20
 NOTE = "g int, bucket int, id long, data binary"
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def mix(x: np.ndarray) -> np.ndarray:
     x = x * np.uint64(0x9E3779B97F4A7C15)
     x ^= x >> np.uint64(29)
     return x
@@ -49,9 +49,9 @@ def _runs(piece: bytes, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.n
     n = len(piece)
     a = np.frombuffer(piece + bytes(length), np.uint8)
     word = np.lib.stride_tricks.as_strided(a, (n + SEED - 8, 8), (1, 1)).copy().view(np.uint64).ravel()
-    h = _mix(word[:n])
+    h = mix(word[:n])
     for at in range(8, SEED, 8):
-        h = _mix(h ^ word[at : at + n])
+        h = mix(h ^ word[at : at + n])
     wide, step = length - SEED + 1, 1
     m = np.concatenate([h, np.full(wide, np.uint64(0xFFFFFFFFFFFFFFFF))])
     while step * 2 <= wide:
@@ -93,14 +93,14 @@ def anchor_runs(texts: list[bytes], length: int):
         at = to
 
 
-def _joined(parts, width: int = 4):
+def joined(parts, width: int = 4):
     parts = list(parts)
     if not parts:
         return [np.zeros(0, np.int64)] * (width - 1) + [np.zeros(0, np.uint64)]
     return [np.concatenate(x) for x in zip(*parts)]
 
 
-def _table(rows: list[tuple]) -> pa.Table:
+def note_table(rows: list[tuple]) -> pa.Table:
     g, b, i, d = zip(*rows) if rows else ((), (), (), ())
     return pa.table({
         "g": pa.array(g, pa.int32()), "bucket": pa.array(b, pa.int32()),
@@ -108,7 +108,7 @@ def _table(rows: list[tuple]) -> pa.Table:
     })
 
 
-def _class_heads(docs: pa.Table, notes: pa.Table) -> list[tuple[int, bytes]]:
+def class_heads(docs: pa.Table, notes: pa.Table) -> list[tuple[int, bytes]]:
     """(id, text) of the packet's documents that are the first of their text, in id order."""
     heads = set(notes["id"].drop_null().to_pylist())
     ids = docs["id"].to_pylist()
@@ -117,37 +117,45 @@ def _class_heads(docs: pa.Table, notes: pa.Table) -> list[tuple[int, bytes]]:
     return [(i, texts[k].as_py()) for i, k in pick]
 
 
+def hash_request(g: int, h: np.ndarray, owner: np.ndarray, bits: int) -> list[tuple]:
+    """Rows (g, bucket, null, data) with the distinct hashes; flags tell which of them have several owners.
+
+    Equal hashes must come with ascending owners.
+    """
+    order = np.argsort(h, kind="stable")
+    h, owner = h[order], owner[order]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    last = np.concatenate([first[1:], [len(h)]]) - 1
+    several = owner[first] != owner[last]
+    h = h[first]
+    bucket = (h >> np.uint64(64 - bits)).astype(np.int64)
+    low = (h >> np.uint64(32 - bits)).astype(np.uint32)
+    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+    rows = []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        # the count goes first; flags behind the hashes
+        data = np.array([b - a], np.uint32).tobytes() + low[a:b].tobytes() + np.packbits(several[a:b]).tobytes()
+        rows.append((g, int(bucket[a]), None, data))
+    return rows
+
+
 def _ask(bits: int, length: int):
     """Packet: its distinct anchor hashes, by bucket."""
 
     def run(docs: pa.Table, notes: pa.Table) -> pa.Table:
         if not docs.num_rows:
-            return _table([])
-        heads = _class_heads(docs, notes)
+            return note_table([])
+        heads = class_heads(docs, notes)
         g, ids = docs["g"][0].as_py(), np.array([i for i, _ in heads])
-        owner, _, _, h = _joined(anchor_runs([t for _, t in heads], length))
+        owner, _, _, h = joined(anchor_runs([t for _, t in heads], length))
         if not len(h):
-            return _table([])
-        order = np.argsort(h, kind="stable")
-        h, owner = h[order], ids[owner[order]]
-        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        last = np.concatenate([first[1:], [len(h)]]) - 1
-        several = owner[first] != owner[last]
-        h = h[first]
-        bucket = (h >> np.uint64(64 - bits)).astype(np.int64)
-        low = (h >> np.uint64(32 - bits)).astype(np.uint32)
-        cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-        rows = []
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            # the count goes first; flags behind the hashes
-            data = np.array([b - a], np.uint32).tobytes() + low[a:b].tobytes() + np.packbits(several[a:b]).tobytes()
-            rows.append((g, int(bucket[a]), None, data))
-        return _table(rows)
+            return note_table([])
+        return note_table(hash_request(g, h, ids[owner], bits))
 
     return run
 
 
-def _answer(table: pa.Table) -> pa.Table:
+def shared_hashes(table: pa.Table) -> pa.Table:
     """Bucket: per packet, the hashes that more than one document has."""
     lows, flags, sizes = [], [], []
     for data in table["data"].to_pylist():
@@ -167,7 +175,7 @@ def _answer(table: pa.Table) -> pa.Table:
     low, packet = low[order], packet[order]
     cuts = np.searchsorted(packet, np.arange(len(sizes) + 1))
     gs, bucket = table["g"].to_pylist(), table["bucket"][0].as_py()
-    return _table([(gs[k], bucket, None, low[a:b].tobytes()) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a])
+    return note_table([(gs[k], bucket, None, low[a:b].tobytes()) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a])
 
 
 def _spans_row(g: int, bucket: int, ids, begins, ends) -> tuple:
@@ -181,16 +189,16 @@ def _send(bits: int, wide: int, length: int):
 
     def run(docs: pa.Table, notes: pa.Table) -> pa.Table:
         if not docs.num_rows:
-            return _table([])
+            return note_table([])
         g = docs["g"][0].as_py()
-        heads = _class_heads(docs, notes)
+        heads = class_heads(docs, notes)
         known = [
             (np.uint64(b) << np.uint64(32)) | np.frombuffer(d, np.uint32).astype(np.uint64)
             for b, d in zip(notes["bucket"].to_pylist(), notes["data"].to_pylist())
             if d is not None
         ]
         if not known:
-            return _table([])
+            return note_table([])
         known = np.sort(np.concatenate(known))
         texts = [t for _, t in heads]
         by_bucket: dict[int, list] = {}
@@ -216,7 +224,7 @@ def _send(bits: int, wide: int, length: int):
             rows.append((g, b, None, pack(raw)))
         if local:
             rows.append(_spans_row(g, g % (1 << wide), *zip(*local)))
-        return _table(rows)
+        return note_table(rows)
 
     return run
 
@@ -259,7 +267,7 @@ def _sort(length: int):
             texts.append(raw[8 + 24 * n :])
             whose.append(np.full(n, g))
         if not parts:
-            return _table(rows)
+            return note_table(rows)
         doc, start, count = np.concatenate(parts).T
         whose, text = np.concatenate(whose), np.frombuffer(b"".join(texts), np.uint8)
         sizes = count + length - 1
@@ -280,7 +288,7 @@ def _sort(length: int):
         cuts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1], [True]])) if len(owner) else []
         for a, b in zip(cuts[:-1], cuts[1:]):
             rows.append(_spans_row(int(owner[a]), bucket, *spans[a:b].T))
-        return _table(rows)
+        return note_table(rows)
 
     return run
 
@@ -361,7 +369,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, packet_bytes: int = PA
     )
     dealt = base.groupBy("g")
     asked = dealt.cogroup(heads.groupBy("g")).applyInArrow(_ask(bits, length), NOTE)
-    shared = asked.groupBy("bucket").applyInArrow(_answer, NOTE)
+    shared = asked.groupBy("bucket").applyInArrow(shared_hashes, NOTE)
     sent = dealt.cogroup(heads.unionByName(shared).groupBy("g")).applyInArrow(_send(bits, wide, length), NOTE)
     spans = sent.groupBy("bucket").applyInArrow(_sort(length), NOTE)
     kind = base.schema["doc"].dataType.simpleString()
