@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import classifier, embed, jaccard, licenses, mixing, rules, suffix, urls
+from tidemark.llm import classifier, embed, jaccard, katz, licenses, mixing, rules, suffix, urls
 from tidemark.llm.common import table
 from tidemark.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
 
@@ -95,3 +95,11 @@ def op2_previous_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size of the shingle set and component of every document."""
     return jaccard.clusters(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op7_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every text; a tenth of the ids is held out of the counts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10
+    return katz.score(docs, remainder != 0)
