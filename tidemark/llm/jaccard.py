@@ -32,7 +32,7 @@ from tidemark.session import stored
 ship(__name__)
 
 SHINGLE, PERCENT = 4, 85
-PACKET_BYTES, BLOCK_BYTES = 4 << 20, 4 << 20
+PACKET_BYTES, BLOCK_BYTES = 2 << 20, 4 << 20
 
 
 def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:

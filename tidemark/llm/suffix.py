@@ -34,7 +34,7 @@ from tidemark.llm.common import packets, ship
 ship(__name__)
 
 LENGTH, SEED = 50, 24
-PACKET_BYTES, PIECE_BYTES = 4 << 20, 1 << 20
+PACKET_BYTES, PIECE_BYTES = 2 << 20, 256 << 10
 NOTE = "g int, bucket int, id long, data binary"
 
 
