@@ -1,27 +1,65 @@
-"""From raw documents to encoded training rows, stage by stage."""
+"""From raw documents to encoded training rows, stage by stage.
+
+Every stage but the last takes and returns the columns of documents; stages are written and read
+again, so a lost executor repeats one stage at most.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import mixing
+from tidemark.llm import classifier, jaccard, mixing, pieces, suffix
 from tidemark.session import workspace
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier takes for good."""
+    return classifier.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares 80 % of its five-word shingles."""
+    return jaccard.keep_one(docs, width=5, percent=80)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages that an earlier document has; n_chars follows the text."""
+    return suffix.without_repeats(docs).withColumn(
+        "n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
+    )
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in training order, once per pass."""
     return mixing.mixed_documents(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("mix", mix)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every row."""
+    return pieces.encode(docs).select(
+        "doc.doc_id", "doc.source", F.coalesce(F.size("ids"), F.lit(0)).alias("n_tokens"), "ids"
+    )
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("suffix-array dedup", repeated_passages),
+    ("mixing sources to target weights", mix),
+    ("SentencePiece encoding and decoding", encode),
+]
+
+#: A trained classifier is no SQL; the stages are tested against brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to the documents; every stage's result is written and read again."""
+    """The stages applied to the documents of sf_dir."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = workspace(spark, f"stage-{name.replace(' ', '-')}")

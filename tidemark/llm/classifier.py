@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ship
+from tidemark.llm.common import ship, with_doc
 from tidemark.session import stored
 
 ship(__name__)
@@ -212,8 +212,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     rows = docs.select(
         whole.alias("doc"), F.col("text").cast("binary").alias("text"), F.col("n_chars").cast("long").alias("n_chars")
     )
-    kind = rows.schema["doc"].dataType.simpleString()
-    scored = rows.mapInArrow(run, f"doc {kind}, score double")
+    scored = rows.mapInArrow(run, with_doc(rows, "score double"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -61,3 +62,8 @@ def packets(docs: DataFrame, target_bytes: int, text: str = "text") -> int:
     """How many packets of about target_bytes of text the documents make; reads one column once."""
     total = docs.agg(F.sum(F.octet_length(F.col(text)).cast("long"))).first()[0] or 0
     return max(1, -(-int(total) // target_bytes))
+
+
+def with_doc(df: DataFrame, rest: str) -> StructType:
+    """Schema of ``doc`` as df has it, null or not, and of the fields in ``rest``."""
+    return StructType([StructField("doc", df.schema["doc"].dataType), *StructType.fromDDL(rest).fields])

@@ -266,5 +266,5 @@ def clusters(
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs whose document is the first of its component; of equal doc_ids, all or none."""
     found = clusters(docs.select("doc_id", "text"), **options)
-    heads = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(heads, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    heads = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("__kept")).distinct()
+    return docs.join(heads, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import classifier, embed, jaccard, katz, licenses, mixing, rules, suffix, urls
+from tidemark.llm import classifier, embed, jaccard, katz, licenses, mixing, pieces, rules, suffix, urls
 from tidemark.llm.common import table
 from tidemark.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
 
@@ -103,3 +103,16 @@ def op7_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10
     return katz.score(docs, remainder != 0)
+
+
+@query
+def op9_piece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every text, and whether they decode to it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.decode(pieces.encode(docs))
+    return coded.select(
+        "doc.doc_id",
+        F.coalesce(F.size("ids"), F.lit(0)).alias("n_tokens"),
+        "ids",
+        F.coalesce(F.col("decoded") == F.col("doc.text"), F.lit(True)).alias("exact"),
+    )

@@ -166,8 +166,8 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = 10, th
 
 def filter_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs that are kept, with all their columns."""
-    copy = docs.withColumn("whole_text", F.col("text"))
+    copy = docs.withColumn("__whole_text", F.col("text"))
     kept = judge(copy, **options).where("kept")
     return kept.select(*[
-        F.col("doc.whole_text").alias(c) if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns
+        F.col("doc.__whole_text").alias(c) if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns
     ])

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import packets, ship
+from tidemark.llm.common import packets, ship, with_doc
 
 ship(__name__)
 
@@ -372,9 +372,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, packet_bytes: int = PA
     shared = asked.groupBy("bucket").applyInArrow(shared_hashes, NOTE)
     sent = dealt.cogroup(heads.unionByName(shared).groupBy("g")).applyInArrow(_send(bits, wide, length), NOTE)
     spans = sent.groupBy("bucket").applyInArrow(_sort(length), NOTE)
-    kind = base.schema["doc"].dataType.simpleString()
     done = dealt.cogroup(heads.unionByName(spans).groupBy("g")).applyInArrow(
-        _finish(length), f"doc {kind}, kept_text string, n_bytes long, n_spans long, kept binary"
+        _finish(length), with_doc(base, "kept_text string, n_bytes long, n_spans long, kept binary")
     )
     return done.select("doc", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"), "n_spans", "kept", "kept_text")
 
@@ -384,7 +383,7 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
 
     Null texts stay null.
     """
-    marked = docs.withColumn("had_text", F.col("text").isNotNull())
+    marked = docs.withColumn("__had_text", F.col("text").isNotNull())
     rows = remove_repeats(marked, **options)
-    text = F.when(F.col("doc.had_text"), F.col("kept_text"))
+    text = F.when(F.col("doc.__had_text"), F.col("kept_text"))
     return rows.select(*[text.alias(c) if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
