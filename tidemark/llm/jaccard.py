@@ -3,8 +3,9 @@
 A document is its set of ``SHINGLE``-word shingles as 64-bit hashes.  Texts that are equal but for
 ASCII case are one class first.  Of each set, shingles that no other class has can be in no
 intersection; ``suffix.hash_request`` and ``shared_hashes`` find them exactly as anchors are found
-there (4 bytes per distinct shingle and packet).  In the order "unshared first, then by hash", a pair
-at or above the threshold has a common shingle among the first n - ceil(t n) + 1 of either set, so a
+there (4 bytes per distinct shingle and packet), and tell how widely the others are spread.  In the
+order "unshared first, then by the logarithm of the spread, then by hash", a pair at or above the
+threshold has a common shingle among the first n - ceil(t n) + 1 of either set, so a
 document whose prefix is all unshared is linked with nothing; few others remain.
 
 Those with a common prefix shingle form clusters (components of the shingle-to-document graph, by
@@ -93,25 +94,30 @@ def _profiles(bits: int, width: int, percent: int):
     def run(docs: pa.Table, notes: pa.Table) -> pa.Table:
         heads = class_heads(docs, notes) if docs.num_rows else []
         owner, h = shingle_sets([t for _, t in heads], width)
-        known = [
-            (np.uint64(b) << np.uint64(32)) | np.frombuffer(d, np.uint32).astype(np.uint64)
-            for b, d in zip(notes["bucket"].to_pylist(), notes["data"].to_pylist())
-            if d is not None
-        ]
-        shared = np.zeros(len(h), bool)
+        known, sizes_of = [], []
+        for b, d in zip(notes["bucket"].to_pylist(), notes["data"].to_pylist()):
+            if d is not None:
+                n = len(d) // 5
+                known.append((np.uint64(b) << np.uint64(32)) | np.frombuffer(d, np.uint32, n).astype(np.uint64))
+                sizes_of.append(np.frombuffer(d, np.uint8, n, 4 * n))
+        shared, spread = np.zeros(len(h), bool), np.zeros(len(h), np.uint8)
         if known and len(h):
-            known = np.sort(np.concatenate(known))
+            known, sizes_of = np.concatenate(known), np.concatenate(sizes_of)
+            order = np.argsort(known)
+            known, sizes_of = known[order], sizes_of[order]
             key = h >> np.uint64(32 - bits)
-            shared = known[np.minimum(np.searchsorted(known, key), len(known) - 1)] == key
+            at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+            shared, spread = known[at] == key, sizes_of[at]
         cuts = np.searchsorted(owner, np.arange(len(heads) + 1))
         sizes, prefixes, sets = [], [], []
         for a, b in zip(cuts[:-1], cuts[1:]):
             n = int(b - a)
             mine = h[a:b][shared[a:b]]
+            rarest = mine[np.argsort(spread[a:b][shared[a:b]], kind="stable")]
             prefix = n - -(-percent * n // 100) + 1 - (n - len(mine))
             fit = n > 0 and prefix > 0
             sizes.append(n)
-            prefixes.append(mine[:prefix].tobytes() if fit else None)
+            prefixes.append(rarest[:prefix].tobytes() if fit else None)
             sets.append(mine.tobytes() if fit else None)
         return pa.table({
             "id": pa.array([i for i, _ in heads], pa.int64()),
@@ -219,7 +225,7 @@ def clusters(
     dealt = base.groupBy("g")
     told = heads.select(packet.alias("g"), F.lit(-1).alias("bucket"), "id", F.lit(None).cast("binary").alias("data"))
     asked = dealt.cogroup(told.groupBy("g")).applyInArrow(_ask(bits, width), NOTE)
-    shared = asked.groupBy("bucket").applyInArrow(shared_hashes, NOTE)
+    shared = asked.groupBy("bucket").applyInArrow(lambda t: shared_hashes(t, classes=True), NOTE)
     profiles = stored(
         dealt.cogroup(told.unionByName(shared).groupBy("g")).applyInArrow(
             _profiles(bits, width, percent), "id long, size long, prefix binary, shared binary"

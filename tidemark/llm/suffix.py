@@ -155,8 +155,11 @@ def _ask(bits: int, length: int):
     return run
 
 
-def shared_hashes(table: pa.Table) -> pa.Table:
-    """Bucket: per packet, the hashes that more than one document has."""
+def shared_hashes(table: pa.Table, classes: bool = False) -> pa.Table:
+    """Bucket: per packet, the hashes that more than one document has.
+
+    With ``classes``, a byte per hash follows: the binary logarithm of how many packets have it.
+    """
     lows, flags, sizes = [], [], []
     for data in table["data"].to_pylist():
         n = int(np.frombuffer(data, np.uint32, 1)[0])
@@ -169,13 +172,19 @@ def shared_hashes(table: pa.Table) -> pa.Table:
     low, several, packet = low[order], several[order], packet[order]
     first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
     counts = np.diff(np.concatenate([first, [len(low)]]))
-    shared = np.repeat((counts > 1) | np.logical_or.reduceat(several, first), counts)
-    low, packet = low[shared], packet[shared]
+    inside = np.logical_or.reduceat(several, first)
+    shared = np.repeat((counts > 1) | inside, counts)
+    size = np.repeat(np.log2(counts + inside).astype(np.uint8), counts)
+    low, packet, size = low[shared], packet[shared], size[shared]
     order = np.argsort(packet, kind="stable")
-    low, packet = low[order], packet[order]
+    low, packet, size = low[order], packet[order], size[order]
     cuts = np.searchsorted(packet, np.arange(len(sizes) + 1))
     gs, bucket = table["g"].to_pylist(), table["bucket"][0].as_py()
-    return note_table([(gs[k], bucket, None, low[a:b].tobytes()) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a])
+    return note_table([
+        (gs[k], bucket, None, low[a:b].tobytes() + (size[a:b].tobytes() if classes else b""))
+        for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))
+        if b > a
+    ])
 
 
 def _spans_row(g: int, bucket: int, ids, begins, ends) -> tuple:
