@@ -378,7 +378,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, packet_bytes: int = PA
     )
     dealt = base.groupBy("g")
     asked = dealt.cogroup(heads.groupBy("g")).applyInArrow(_ask(bits, length), NOTE)
-    shared = asked.groupBy("bucket").applyInArrow(shared_hashes, NOTE)
+    shared = asked.groupBy("bucket").applyInArrow(lambda t: shared_hashes(t), NOTE)
     sent = dealt.cogroup(heads.unionByName(shared).groupBy("g")).applyInArrow(_send(bits, wide, length), NOTE)
     spans = sent.groupBy("bucket").applyInArrow(_sort(length), NOTE)
     done = dealt.cogroup(heads.unionByName(spans).groupBy("g")).applyInArrow(
