@@ -19,6 +19,8 @@ result, so pairs are never written down.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -92,7 +94,8 @@ def _profiles(bits: int, width: int, percent: int):
     """Packet: per class its size and, if it can be linked at all, its prefix and its shared shingles."""
 
     def run(docs: pa.Table, notes: pa.Table) -> pa.Table:
-        heads = class_heads(docs, notes) if docs.num_rows else []
+        # rows that repeat an id and its text are one class
+        heads = sorted(set(class_heads(docs, notes))) if docs.num_rows else []
         owner, h = shingle_sets([t for _, t in heads], width)
         known, sizes_of = [], []
         for b, d in zip(notes["bucket"].to_pylist(), notes["data"].to_pylist()):
@@ -121,6 +124,7 @@ def _profiles(bits: int, width: int, percent: int):
             sets.append(mine.tobytes() if fit else None)
         return pa.table({
             "id": pa.array([i for i, _ in heads], pa.int64()),
+            "key": pa.array([hashlib.sha256(t.lower()).digest() for _, t in heads], pa.binary()),
             "size": pa.array(sizes, pa.int64()),
             "prefix": pa.array(prefixes, pa.binary()),
             "shared": pa.array(sets, pa.binary()),
@@ -228,7 +232,7 @@ def clusters(
     shared = asked.groupBy("bucket").applyInArrow(lambda t: shared_hashes(t, classes=True), NOTE)
     profiles = stored(
         dealt.cogroup(told.unionByName(shared).groupBy("g")).applyInArrow(
-            _profiles(bits, width, percent), "id long, size long, prefix binary, shared binary"
+            _profiles(bits, width, percent), "id long, key binary, size long, prefix binary, shared binary"
         ),
         "shingle-profiles",
     )
@@ -258,7 +262,7 @@ def clusters(
     )
     edges = spread.groupBy("bin", "i", "j").applyInArrow(_grouped_join(percent), "a long, b long")
     roots = components(edges)
-    per_class = heads.join(profiles.select("id", "size"), "id").join(roots, "id", "left").select(
+    per_class = heads.join(profiles.select("id", "key", "size"), ["id", "key"]).join(roots, "id", "left").select(
         "key", F.col("size").alias("n_shingles"), F.coalesce("root", "id").alias("root"), F.col("id").alias("head")
     )
     empty = F.col("n_shingles") == 0

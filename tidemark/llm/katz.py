@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -38,7 +39,7 @@ ship(__name__)
 
 GT = 5  # counts up to this are discounted
 MAX_VOCABULARY = 1 << 17
-PACK_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
+COUNT_BYTES, PACK_BYTES, BUCKET_BYTES = 8 << 20, 2 << 20, 8 << 20
 DOCS, RARE, PAIRS = 0, 1, 2
 ROW = "kind int, bucket int, batch long, grams binary, data binary"
 
@@ -138,22 +139,22 @@ def _tokenise(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (np.concatenate(parts) if parts else np.zeros(0, np.int64)), np.array(sizes, np.int64), names
 
 
-def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of about PACK_BYTES of text; a longer text is one slice."""
+def _packs(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of about ``limit`` bytes of text; a longer text is one slice."""
     for b in batches:
-        texts = b["bytes"].to_pylist()
+        sizes = pc.binary_length(b["bytes"]).to_pylist()
         at, size = 0, 0
-        for k, t in enumerate(texts):
-            if k > at and (size + len(t) > PACK_BYTES or k - at == 65_000):
-                yield b.slice(at, k - at), texts[at:k]
+        for k, n in enumerate(sizes):
+            if k > at and (size + n > limit or k - at == 65_000):
+                yield (part := b.slice(at, k - at)), part["bytes"].to_pylist()
                 at, size = k, 0
-            size += len(t)
-        if at < len(texts):
-            yield b.slice(at), texts[at:]
+            size += n
+        if at < len(sizes):
+            yield (part := b.slice(at)), part["bytes"].to_pylist()
 
 
 def _unigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b, texts in _packs(batches):
+    for b, texts in _packs(batches, COUNT_BYTES):
         train = b["train"].to_pylist()
         ids, _, names = _tokenise([t for t, ok in zip(texts, train) if ok])
         counts = np.bincount(ids, minlength=len(names))
@@ -230,7 +231,7 @@ def _grams(sent):
         log_base = model.base(np.concatenate([model.counts, [0, model.texts]]))
         log_base[model.rare] = 0.0  # added by the buckets
         number = TaskContext.get().partitionId() << 24
-        for b, texts in _packs(batches):
+        for b, texts in _packs(batches, PACK_BYTES):
             number += 1
             ids, sizes, names = _tokenise(texts)
             at = np.minimum(np.searchsorted(model.words, names), max(0, len(model.words) - 1))
