@@ -1,9 +1,11 @@
 import random
 
 import pytest
+from conftest import SF
 from pyspark.sql import functions as F
 
 from tidemark.operators import dims, orders, relational, skew
+from tidemark.plans import views
 
 WIDE = "order_id long, order_detail_id long, detail_cents long"
 HEAD = "order_id long, original_cents long, final_cents long"
@@ -60,12 +62,25 @@ def test_allocation_cases(spark, part_rows):
             assert sum(s for _, s in rows) == final
 
 
-def test_allocation_with_counted_heads(spark):
-    heads = spark.createDataFrame([(1, 600, 500, 3)], HEAD + ", n_lines long")
+def test_allocation_with_known_hot_orders(spark):
+    """Both sides take the parts from one table, whatever else an order's lines were counted as."""
+    heads = spark.createDataFrame([(1, 600, 500)], HEAD)
     lines = spark.createDataFrame([(1, 1, 100), (1, 2, 200), (1, 3, 300)], WIDE)
-    wide = orders.order_wide(heads, lines, n_lines="n_lines", max_part_rows=2)
-    rows = orders.allocate_paid_amount(wide, ["order_detail_id"]).orderBy("order_detail_id").collect()
-    assert [r.share_cents for r in rows] == [83, 167, 250]
+    stats = lines.groupBy("order_id").agg(*skew.key_stats("order_detail_id"))
+    hot = skew.hot_of(stats, "order_id", 2)
+    for split in (True, False):
+        wide = orders.order_wide(heads, lines, hot=hot if split else None, split=split)
+        done = orders.allocate_paid_amount(wide, ["order_detail_id"], split=split)
+        rows = done.orderBy("order_detail_id").collect()
+        assert [r.share_cents for r in rows] == [83, 167, 250]
+
+
+def test_one_day_reads_lines_once_besides_the_totals(spark):
+    info = views.on_days(views.order_info(spark, SF), "1995-01-02")
+    plan = views.allocated(spark, SF, info)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_extendedprice") > 0
+    scans = views.allocated(spark, SF, info)._jdf.queryExecution().executedPlan().toString().count("FileScan parquet [l_orderkey")
+    assert scans <= 1 and "LeftSemi" in plan
 
 
 def test_share_of_huge_amounts(spark):

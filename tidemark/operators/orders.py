@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .skew import MAX_PART_ROWS, assign_parts, fan_out, fan_out_counted, hot_keys, running_sums
+from .skew import MAX_PART_ROWS, assign_parts, fan_out, hot_keys, running_sums
 
 
 def with_create_date_hour(orders: DataFrame) -> DataFrame:
@@ -58,23 +58,24 @@ def order_wide(
     orders: DataFrame,
     details: DataFrame,
     line_id: str = "order_detail_id",
-    n_lines: str | None = None,
     max_part_rows: int = MAX_PART_ROWS,
+    hot: DataFrame | None = None,
+    split: bool = True,
 ) -> DataFrame:
     """Inner join of orders (key order_id) with their lines.
 
     Lines meet their order on (order_id, part), so an order with very many lines is spread over
     several tasks; ``part`` and ``n_parts`` stay in the result for the allocation.  ``line_id``
-    is the numeric line order; ``n_lines`` names a column of orders with their line count, which
-    saves one pass over the lines.
+    is the numeric line order.  Both sides take the parts of an order from one table of hot orders:
+    ``hot``, from ``skew.hot_of``, or a pass over the lines.  ``split=False`` says that there is none.
     """
-    hot = hot_keys(details, "order_id", line_id, max_part_rows)
+    if not split:
+        whole = details.withColumns({"part": F.lit(0), "n_parts": F.lit(None).cast("int")})
+        return whole.join(orders, "order_id")
+    if hot is None:
+        hot = hot_keys(details, "order_id", line_id, max_part_rows)
     lines = assign_parts(details, hot, "order_id", line_id)
-    if n_lines:
-        heads = fan_out_counted(orders, n_lines, max_part_rows).drop(n_lines)
-    else:
-        heads = fan_out(orders, hot, "order_id")
-    return lines.join(heads, ["order_id", "part"])
+    return lines.join(fan_out(orders, hot, "order_id"), ["order_id", "part"])
 
 
 def proportional_share(final: Column, detail: Column, original: Column) -> Column:
@@ -93,14 +94,15 @@ def proportional_share(final: Column, detail: Column, original: Column) -> Colum
 CARRY = ["carry_detail", "carry_given", "carry_lines"]
 
 
-def allocate_paid_amount(wide: DataFrame, line_order: list[str]) -> DataFrame:
+def allocate_paid_amount(wide: DataFrame, line_order: list[str], split: bool = True) -> DataFrame:
     """Spread each order's paid amount over its lines: adds ``share_cents``.
 
     Every line gets its proportional share, except that the first line at which the running line
     total reaches the order total takes what is left of the paid amount.  ``wide`` comes from
     ``order_wide`` and has detail_cents >= 0, original_cents and final_cents; ``line_order`` is
     the order of the lines inside their order.  Columns named in CARRY, if present, hold what
-    earlier batches already summed, gave out and counted for the order.
+    earlier batches already summed, gave out and counted for the order.  ``split=False`` says that
+    no order of ``wide`` is in parts.
     """
     detail, original, final = F.col("detail_cents"), F.col("original_cents"), F.col("final_cents")
     summed = running_sums(
@@ -108,6 +110,7 @@ def allocate_paid_amount(wide: DataFrame, line_order: list[str]) -> DataFrame:
         "order_id",
         line_order,
         {"_before": detail, "_given": F.col("_prop"), "_lines": F.lit(1)},
+        split,
     )
     if set(CARRY) <= set(wide.columns):
         summed = summed.withColumns(

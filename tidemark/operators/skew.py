@@ -1,4 +1,7 @@
-"""Keeping one oversized key from landing in one task.
+"""Spreading one oversized key over tasks.
+
+Slices follow the range of an order column, so rows that crowd in a part of the range share a
+slice: the row limit holds on average over the range, not for every slice.
 
 A key with more than ``max_rows`` rows is *hot*.  A table of R rows has at most R / max_rows hot
 keys, so the table of hot keys (a key and three numbers each) stays small enough to broadcast:
@@ -14,18 +17,27 @@ from pyspark.sql import functions as F
 MAX_PART_ROWS = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, order_col: str, max_rows: int = MAX_PART_ROWS) -> DataFrame:
-    """Keys with more than max_rows rows, the range of their order column and a part count."""
-    stats = df.groupBy(key).agg(
+def key_stats(order_col: str) -> list[Column]:
+    """Aggregates that ``hot_of`` needs of a key: its rows and the range of their order column."""
+    return [
         F.count(F.lit(1)).alias("n_rows"),
         F.min(order_col).cast("double").alias("lo"),
         F.max(order_col).cast("double").alias("hi"),
-    )
+    ]
+
+
+def hot_of(stats: DataFrame, key: str, max_rows: int = MAX_PART_ROWS) -> DataFrame:
+    """Keys with more than max_rows rows, the range of their order column and a part count."""
     return stats.where(F.col("n_rows") > max_rows).select(
         key, "lo", "hi", F.ceil(F.col("n_rows") / F.lit(max_rows)).cast("int").alias("n_parts")
     )
 
 
+def hot_keys(df: DataFrame, key: str, order_col: str, max_rows: int = MAX_PART_ROWS) -> DataFrame:
+    """``hot_of`` the rows of df."""
+    return hot_of(df.groupBy(key).agg(*key_stats(order_col)), key, max_rows)
+
+
 def assign_parts(df: DataFrame, hot: DataFrame, key: str, order_col: str) -> DataFrame:
     """Add ``part``: 0, or for hot keys the slice of the order column's range the row falls in.
 
@@ -47,23 +59,18 @@ def fan_out(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     return _repeat(marked, F.coalesce(F.col("n_parts"), F.lit(1))).drop("n_parts")
 
 
-def fan_out_counted(df: DataFrame, n_rows: str, max_rows: int = MAX_PART_ROWS) -> DataFrame:
-    """``fan_out`` for rows that already know how many rows their key has."""
-    parts = F.ceil(F.col(n_rows) / F.lit(max_rows)).cast("int")
-    return _repeat(df, F.greatest(parts, F.lit(1)))
-
-
 def _repeat(df: DataFrame, n_parts: Column) -> DataFrame:
     return df.withColumn("part", F.explode(F.sequence(F.lit(0), n_parts - 1)))
 
 
 def running_sums(
-    df: DataFrame, key: str, order_by: list[str | Column], sums: dict[str, Column]
+    df: DataFrame, key: str, order_by: list[str | Column], sums: dict[str, Column], split: bool = True
 ) -> DataFrame:
     """Exclusive running sums per key over rows that carry ``part`` and ``n_parts``.
 
     Each (key, part) is summed on its own; the totals of earlier parts are added for hot keys
-    only.  There are at most 2 R / max_rows such totals, so they are broadcast.
+    only.  There are at most 2 R / max_rows such totals, so they are broadcast.  ``split=False``
+    says that no key is hot.
     """
     before = Window.partitionBy(key, "part").orderBy(*order_by).rowsBetween(
         Window.unboundedPreceding, -1
@@ -71,6 +78,8 @@ def running_sums(
     local = df.withColumns(
         {name: F.coalesce(F.sum(col).over(before), F.lit(0)) for name, col in sums.items()}
     )
+    if not split:
+        return local
     totals = (
         df.where(F.col("n_parts") > 1)
         .groupBy(key, "part")

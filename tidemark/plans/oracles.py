@@ -449,7 +449,7 @@ ORACLES["doc_search_actor"] = (
 select doc_id id, cast(n_chars as double) "doubanScore" from documents
 where """
     + _DOC_HIT % "['the']"
-    + r""" and list_contains(list_filter(regexp_split_to_array(text, '\s+'), lambda t: t <> '')[1:3], 'The')
+    + r""" and list_contains(list_filter(regexp_split_to_array(text, '\s+'), lambda t: t <> ''), 'The')
 order by 2, 1 limit 20"""
 )
 
@@ -500,9 +500,10 @@ from oi group by user_id"""
 )
 
 ORACLES["genre_list"] = """
-select genre, count(p_type) n
+select genre, count(t) n
 from (select unnest(['Economy', 'Small', 'Standard', 'Medium', 'Large', 'Promo']) genre) g
-     left join part on lower(genre) = lower(p_type)
+     left join (select unnest(list_distinct(string_split(lower(p_type || '|' || replace(p_name, ' ', '|')), '|'))) t
+                from part) w on lower(genre) = t
 group by genre"""
 
 # ---- streams --------------------------------------------------------------------------------------
@@ -551,7 +552,7 @@ ORACLES["first_order_stream"] = (
 select id, user_id,
        case when row_number() over (partition by user_id order by create_date, create_hour, id) = 1
             then '1' else '0' end if_first_order
-from oi where id in (select l_orderkey from lineitem)"""
+from oi"""
 )
 
 ORACLES["online_recs_stream"] = ORACLES["rescore"]

@@ -373,10 +373,8 @@ def als_item_sims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best of four settings."""
-    grid = factorization.grid_search_als(
-        views.ratings(spark, sf_dir), ranks=(10, 20), regs=(0.01, 0.1), iters=5
-    )
+    """The best of the nine settings."""
+    grid = factorization.grid_search_als(views.ratings(spark, sf_dir))
     return factorization.best_params(grid)
 
 
@@ -540,7 +538,8 @@ def user_status_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def genre_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many movies carry each constant genre name."""
     names = readers.literal_rows(spark, TEST_GENRES, "genre")
-    types = views.movies(spark, sf_dir).groupBy(F.get(F.split("genres", r"\|"), F.lit(0)).alias("t")).count()
-    return names.join(types, F.lower("genre") == F.lower("t"), "left").select(
+    tokens = F.array_distinct(F.split(F.lower("genres"), r"\|"))
+    types = views.movies(spark, sf_dir).select(F.explode(tokens).alias("t")).groupBy("t").count()
+    return names.join(types, F.lower("genre") == F.col("t"), "left").select(
         "genre", F.coalesce("count", F.lit(0)).alias("n")
     )

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import to_cents
-from ..operators import dims, orders, similarity
+from ..operators import dims, orders, similarity, skew
 from ..operators.relational import keep_last
+from ..session import stored
 
 AS_OF = "2024-01-01"
 LINE_ORDER = [
@@ -119,9 +120,9 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_totals(details: DataFrame) -> DataFrame:
-    """Sum and number of each order's lines."""
+    """Sum of each order's lines, their number and the range of their ids."""
     return details.groupBy("order_id").agg(
-        F.sum("detail_cents").alias("original_cents"), F.count(F.lit(1)).alias("n_lines")
+        F.sum("detail_cents").alias("original_cents"), *skew.key_stats("order_detail_id")
     )
 
 
@@ -130,22 +131,29 @@ def allocated(
 ) -> DataFrame:
     """Order lines with their order and the allocated amount.
 
-    ``order_rows`` narrows the orders first (a day, say).  ``names`` adds the product columns.
+    ``order_rows`` narrows the orders first (a day, say), and with them the lines.  One aggregate per
+    order, stored once, gives its total and tells whether it is hot; without a hot order the
+    branches that split one are left out.  ``names`` adds the product columns, after the allocation.
     """
     info = order_info(spark, sf_dir) if order_rows is None else order_rows
+    info = info.withColumnRenamed("id", "order_id")
     lines = order_detail(spark, sf_dir)
+    if order_rows is not None:
+        lines = lines.join(info.select("order_id"), "order_id", "left_semi")
+    stats = stored(order_totals(lines), "order-stats")
+    hot = skew.hot_of(stats, "order_id")
+    split = not hot.isEmpty()
+    head = info.join(stats.select("order_id", "original_cents"), "order_id")
+    wide = orders.order_wide(head, lines, hot=hot if split else None, split=split)
+    done = orders.allocate_paid_amount(wide, LINE_ORDER, split=split).withColumn("dt", F.col("create_date"))
     if names:
         product = dims.denormalize_sku(
             sku(spark, sf_dir), category3(spark, sf_dir), trademark(spark, sf_dir), spu(spark, sf_dir)
         )
-        lines = dims.with_sku(lines, product.select(
+        done = dims.with_sku(done, product.select(
             "id", "spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name"
         ))
-    head = info.withColumnRenamed("id", "order_id").join(
-        order_totals(order_detail(spark, sf_dir)), "order_id"
-    )
-    wide = orders.order_wide(head, lines, n_lines="n_lines")
-    return orders.allocate_paid_amount(wide, LINE_ORDER).withColumn("dt", F.col("create_date"))
+    return done
 
 
 def on_days(info: DataFrame, *days: str) -> DataFrame:
@@ -266,10 +274,10 @@ def cdc_canal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search documents: the text is the name, its first three words are the actors."""
+    """Search documents: the text is the name, its words are the actors."""
     words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
     actors = F.transform(
-        F.slice(words, 1, 3), lambda w, i: F.struct((i + 1).cast("bigint").alias("id"), w.alias("name"))
+        words, lambda w, i: F.struct((i + 1).cast("bigint").alias("id"), w.alias("name"))
     )
     return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"),
@@ -294,10 +302,9 @@ def _line_hash() -> Column:
 
 
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as order_info records."""
-    rows = order_info(spark, sf_dir).join(
-        order_totals(order_detail(spark, sf_dir)).withColumnRenamed("order_id", "id"), "id"
-    )
+    """Orders as order_info records; an order without lines has the total 0."""
+    totals = order_totals(order_detail(spark, sf_dir)).select(F.col("order_id").alias("id"), "original_cents")
+    rows = order_info(spark, sf_dir).join(totals, "id", "left").fillna(0, ["original_cents"])
     return rows.select(
         "id", "province_id", "order_status", "user_id",
         (F.col("final_cents") / 100).alias("final_total_amount"),
