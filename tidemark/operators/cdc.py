@@ -45,17 +45,27 @@ def route_cdc_maxwell(
     insert_only: list[str] = INSERT_ONLY_TABLES,
     any_type: list[str] = ANY_TYPE_TABLES,
     drop_deletes: bool = False,
+    versioned: bool = False,
 ) -> DataFrame:
     """(topic, value) for records with a non-empty ``data`` object.
 
     Fact tables pass on insert only, dimension tables on every type; other tables are dropped.
+    ``versioned`` puts the change's time, position and kind in front of the row's fields, as _ts,
+    _pos and _type (the envelope's ts, xoffset and type; 0 where it has none).
     """
-    records = _envelope(df, value)
+    fields = ["type", "table", "data", "ts", "xoffset"]
+    records = df.select(F.json_tuple(value, *fields).alias(*fields))
     filled = F.col("data").isNotNull() & (F.col("data") != "{}")  # re-written without spaces
     fact = F.col("table").isin(insert_only) & F.col("type").eqNullSafe("insert")
     dim = F.col("table").isin(any_type)
     if drop_deletes:
         dim = dim & ~F.col("type").eqNullSafe("delete")
+    out = F.col("data")
+    if versioned:
+        out = F.concat(
+            F.lit('{"_ts":'), F.coalesce("ts", F.lit("0")), F.lit(',"_pos":'), F.coalesce("xoffset", F.lit("0")),
+            F.lit(',"_type":"'), F.coalesce("type", F.lit("")), F.lit('",'), F.substring("data", 2, 2**31 - 1),
+        )
     return records.where(filled & (fact | dim)).select(
-        F.concat(F.lit(ODS_PREFIX), "table").alias("topic"), F.col("data").alias("value")
+        F.concat(F.lit(ODS_PREFIX), "table").alias("topic"), out.alias("value")
     )

@@ -555,6 +555,10 @@ select id, user_id,
 from oi"""
 )
 
+ORACLES["dimension_changes_stream"] = """
+select cast(p_partkey as varchar) tm_id, case when p_partkey % 2 = 0 then 'omega' else 'alpha' end tm_name
+from part where p_partkey % 3 <> 0"""
+
 ORACLES["online_recs_stream"] = ORACLES["rescore"]
 
 ORACLES["ads_once"] = (

@@ -107,20 +107,61 @@ def _publish_dimensions(spark: SparkSession, sf_dir: str, path: str) -> str:
     }
     for name, rows in tables.items():
         publish(views.change_messages(rows, name), "changes", f"{path}/topics")
-    routed = cdc.route_cdc_maxwell(
-        readers.read_topic(spark, "changes", "parquet", path=f"{path}/topics")
-    )
+    return _route_dimensions(spark, path)
+
+
+def _route_dimensions(spark: SparkSession, path: str) -> str:
+    changes = readers.read_topic(spark, "changes", "parquet", path=f"{path}/topics", max_files=1)
+    routed = cdc.route_cdc_maxwell(changes, versioned=True)
     jobs.drain(routed, jobs.topic_sink(f"{path}/ods"), f"{path}/checkpoints/ods")
     return f"{path}/ods"
 
 
+VERSION = ["_ts", "_pos"]
+
+
+def _read_dimension(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A stored dimension as it stands; deleted rows stay stored, so that late changes lose to them."""
+    rows = writers.read_keyed(spark, f"{path}/dim/{name}")
+    return rows.where(F.col("_type") != "delete").drop(*VERSION, "_type")
+
+
 def _dimension(spark: SparkSession, path: str, name: str, schema, key: str, prepare=None) -> DataFrame:
     """Run one dimension job over its topic and return the stored table."""
-    topic = readers.read_topic(spark, f"ods_{name}", "parquet", path=f"{path}/ods").select("value")
-    rows = readers.parse_json(topic, schema).where(F.col("_corrupt").isNull()).drop("_corrupt")
-    sink = jobs.dimension_sink(f"{path}/dim/{name}", [key], prepare)
+    topic = readers.read_topic(spark, f"ods_{name}", "parquet", path=f"{path}/ods", max_files=1).select("value")
+    full = schemas.extend(schema, "_ts:long _pos:long _type:string")
+    rows = readers.parse_json(topic, full).where(F.col("_corrupt").isNull()).drop("_corrupt")
+    sink = jobs.dimension_sink(f"{path}/dim/{name}", [key], VERSION, prepare)
     jobs.drain(rows, sink, f"{path}/checkpoints/{name}")
-    return writers.read_keyed(spark, f"{path}/dim/{name}")
+    return _read_dimension(spark, path, name)
+
+
+@query
+def dimension_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insert, updates, late changes and deletes of the same keys in one batch and over several.
+
+    The topic has two publications.  The first inserts every part, then renames it twice; the second
+    renames even keys, repeats an old name for every fifth and deletes every third.
+    """
+    path = workspace(spark, "dimension_changes")
+    key = F.col("p_partkey")
+    parts = views.table(spark, sf_dir, "part").select("p_partkey")
+
+    def change(kind: str, ts: int, position: int, name: str, rows: DataFrame = parts) -> DataFrame:
+        data = F.struct(key.cast("string").alias("tm_id"), F.lit(name).alias("tm_name"))
+        return rows.select(F.to_json(F.struct(
+            F.lit(kind).alias("type"), F.lit("base_trademark").alias("table"), data.alias("data"),
+            F.lit(ts).alias("ts"), F.lit(position).alias("xoffset"),
+        )).alias("value"))
+
+    first = change("insert", 1, 0, "new").unionByName(change("update", 2, 0, "zeta"))
+    publish(first.unionByName(change("update", 2, 1, "alpha")), "changes", f"{path}/topics")
+    second = change("update", 3, 0, "omega", parts.where(key % 2 == 0)).unionByName(
+        change("update", 1, 1, "late", parts.where(key % 5 == 0))
+    )
+    publish(second.unionByName(change("delete", 4, 0, "omega", parts.where(key % 3 == 0))), "changes", f"{path}/topics")
+    _route_dimensions(spark, path)
+    return _dimension(spark, path, "base_trademark", schemas.TRADEMARK, "tm_id")
 
 
 @query
@@ -134,7 +175,7 @@ def sku_dimension_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def names(batch: DataFrame) -> DataFrame:
         stored = [
-            writers.read_keyed(batch.sparkSession, f"{path}/dim/{name}")
+            _read_dimension(batch.sparkSession, path, name)
             for name in ("base_category3", "base_trademark", "spu_info")
         ]
         return dims.denormalize_sku(batch.drop("category3_name", "tm_name", "spu_name"), *stored)
@@ -212,8 +253,8 @@ def online_recs_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ads_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole flow in layers: change records, typed facts, wide lines, brand sums.
 
-    The statistics batch is written a second time at the end, as after a crash before its
-    checkpoint; the sums stay the same.
+    Every batch of every layer runs twice, as after a crash before its checkpoint; the sums stay the
+    same.
     """
     path = workspace(spark, "layers")
     topics = f"{path}/topics"
@@ -224,7 +265,7 @@ def ads_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # ODS: route change records by table
     routed = cdc.route_cdc_maxwell(readers.read_topic(spark, "db_changes", "parquet", path=topics))
-    jobs.drain(routed, jobs.topic_sink(topics), f"{path}/checkpoints/ods")
+    jobs.drain(routed, jobs.replayed(jobs.topic_sink(topics, "ods")), f"{path}/checkpoints/ods")
 
     # DWD: orders with flag, province and user; lines with their product
     def emit_orders(flagged: DataFrame, batch_id: int) -> None:
@@ -232,23 +273,25 @@ def ads_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         people = dims.user_bands(views.users(session, sf_dir), views.AS_OF)
         rows = dims.with_user(dims.with_province(flagged, views.province(session, sf_dir)), people)
         messages = writers.as_messages(rows, "id").withColumn("topic", F.lit(ORDERS))
-        writers.write_topic_once(messages, batch_id, topics)
+        writers.write_topic_once(messages, batch_id, topics, "dwd_orders")
 
     jobs.drain(
         order_stream(spark, topics, "ods_order_info"),
-        jobs.first_order_sink(f"{path}/status", emit_orders),
+        jobs.replayed(jobs.first_order_sink(f"{path}/status", emit_orders)),
         f"{path}/checkpoints/dwd_orders",
     )
-    product = dims.denormalize_sku(
-        views.sku(spark, sf_dir), views.category3(spark, sf_dir),
-        views.trademark(spark, sf_dir), views.spu(spark, sf_dir),
-    ).select("id", "spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name")
 
     def emit_details(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        product = dims.denormalize_sku(
+            views.sku(session, sf_dir), views.category3(session, sf_dir),
+            views.trademark(session, sf_dir), views.spu(session, sf_dir),
+        ).select("id", "spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name")
         messages = writers.as_messages(dims.with_sku(batch, product), "order_id")
-        writers.write_topic_once(messages.withColumn("topic", F.lit(DETAILS)), batch_id, topics)
+        writers.write_topic_once(messages.withColumn("topic", F.lit(DETAILS)), batch_id, topics, "dwd_details")
 
-    jobs.drain(detail_stream(spark, topics, "ods_order_detail"), emit_details, f"{path}/checkpoints/dwd_details")
+    details = detail_stream(spark, topics, "ods_order_detail")
+    jobs.drain(details, jobs.replayed(emit_details), f"{path}/checkpoints/dwd_details")
 
     # DWS: join the two streams and allocate the paid amount
     enriched = schemas.extend(schemas.ORDER_DETAIL, "tm_id:string tm_name:string")
@@ -259,13 +302,12 @@ def ads_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         _heads(order_stream(spark, topics, ORDERS)), _lines(lines, "tm_id", "tm_name")
     )
     sink = jobs.allocate_sink(f"{path}/state", jobs.table_sink(f"{path}/wide"), ["order_detail_id"])
-    jobs.drain(wide, sink, f"{path}/checkpoints/dws")
+    jobs.drain(wide, jobs.replayed(sink), f"{path}/checkpoints/dws")
 
     # ADS: brand sums per batch, written once
     stored = spark.read.parquet(f"{path}/wide")
     flow = spark.readStream.schema(stored.schema).parquet(f"{path}/wide")
     stat = jobs.stat_sink(f"{path}/stat", ["tm_id", "tm_name"])
-    jobs.drain(flow, stat, f"{path}/checkpoints/ads")
-    stat(stored, 0)
+    jobs.drain(flow, jobs.replayed(stat), f"{path}/checkpoints/ads")
     sums = spark.read.parquet(f"{path}/stat").groupBy("tm_id", "tm_name")
     return sums.agg(F.sum("amount_cents").alias("amount_cents"))

@@ -1,4 +1,4 @@
-"""Sinks.  Every keyed rewrite touches only the partitions or buckets its batch falls in."""
+"""Sinks.  A keyed rewrite replaces the partitions or buckets its batch falls in, as a whole."""
 
 from __future__ import annotations
 
@@ -131,30 +131,46 @@ def replace_by_key(df: DataFrame, path: str, key: str, buckets: int = BUCKETS) -
 # ---- batches, topics, stores ------------------------------------------------------------------
 
 
-def write_topic_once(messages: DataFrame, batch_id: int, path: str) -> None:
-    """Folder form of ``write_topic`` for a micro-batch with a ``topic`` column.
+def _once(spark: SparkSession, path: str, job: str, batch_id: int, write: Callable[[], None]) -> None:
+    """Run ``write`` unless this job has recorded the batch as done.
 
-    A replayed batch replaces its own folder of each topic.
+    The record stands beside the data.  A replay of a recorded batch leaves the files alone, so a
+    stream that follows them sees nothing new; one that crashed before the record is written again.
     """
-    rows = messages if "key" in messages.columns else messages.withColumn("key", F.lit(None).cast("string"))
-    (
-        rows.select("key", "value", "topic", F.lit(batch_id).alias("batch_id"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("topic", "batch_id")
-        .parquet(path)
-    )
+    mark = f"{path}.batches/{job}/{batch_id}"
+    if _stored(spark, mark, T.StructType([T.StructField("id", T.LongType())])) is None:
+        write()
+        spark.range(1).write.mode("overwrite").parquet(mark)
 
 
-def write_batch_once(df: DataFrame, batch_id: int, path: str) -> None:
-    """Write a micro-batch's result under its own batch folder.
+def write_topic_once(messages: DataFrame, batch_id: int, path: str, job: str = "batch") -> None:
+    """Folder form of ``write_topic`` for a micro-batch with a ``topic`` column, written once per batch.
 
-    A replayed batch replaces that folder, so the result counts once however often the batch runs
-    before its checkpoint is committed.
+    Jobs that share a path need names of their own.
     """
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-        f"{path}/batch_id={batch_id}"
-    )
+    rows = messages if "key" in messages.columns else messages.withColumn("key", F.lit(None).cast("string"))
+    out = rows.select("key", "value", "topic", F.lit(batch_id).alias("batch_id"))
+
+    def write() -> None:
+        (
+            out.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("topic", "batch_id")
+            .parquet(path)
+        )
+
+    _once(messages.sparkSession, path, job, batch_id, write)
+
+
+def write_batch_once(df: DataFrame, batch_id: int, path: str, job: str = "batch") -> None:
+    """Write a micro-batch's result under its own batch folder, once per batch."""
+
+    def write() -> None:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            f"{path}/batch_id={batch_id}"
+        )
+
+    _once(df.sparkSession, path, job, batch_id, write)
 
 
 def append_jdbc(

@@ -77,13 +77,23 @@ def batch_work(batch: DataFrame) -> Iterator[DataFrame | None]:
 
 
 def table_sink(path: str) -> BatchSink:
-    """Append rows, each batch in its own replaceable folder."""
+    """Append rows, each batch in its own folder and once."""
     return lambda df, batch_id: writers.write_batch_once(df, batch_id, path)
 
 
-def topic_sink(path: str) -> BatchSink:
-    """Publish (topic, value) rows to topic folders."""
-    return lambda df, batch_id: writers.write_topic_once(df, batch_id, path)
+def topic_sink(path: str, job: str = "batch") -> BatchSink:
+    """Publish (topic, value) rows to topic folders; jobs with one path need different names."""
+    return lambda df, batch_id: writers.write_topic_once(df, batch_id, path, job)
+
+
+def replayed(sink: BatchSink) -> BatchSink:
+    """A sink whose every batch runs twice, as after a crash just before its checkpoint."""
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        sink(df, batch_id)
+        sink(df, batch_id)
+
+    return run
 
 
 def _state(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -118,12 +128,13 @@ def dau_stream(logs: DataFrame, delay: str = "1 day", salts: int = 16) -> DataFr
 def dimension_sink(
     path: str,
     keys: list[str],
+    version: list[str],
     prepare: Callable[[DataFrame], DataFrame] | None = None,
-    version: list[str] | None = None,
     buckets: int = 8,
 ) -> BatchSink:
-    """Upsert a dimension by key.  ``prepare`` may look other tables up; it runs per batch, so it
-    reads them as they are then.  ``version`` columns decide between changes to the same key."""
+    """Upsert a dimension by key.  ``version`` columns decide between changes to the same key, in a
+    batch and across batches.  ``prepare`` may look other tables up; it runs per batch, so it reads
+    them as they are then."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         with batch_work(batch) as batch:
