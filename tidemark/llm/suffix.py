@@ -101,6 +101,7 @@ def joined(parts, width: int = 4):
 
 
 def note_table(rows: list[tuple]) -> pa.Table:
+    pa.default_memory_pool().release_unused()  # what earlier groups of the task have freed
     g, b, i, d = zip(*rows) if rows else ((), (), (), ())
     return pa.table({
         "g": pa.array(g, pa.int32()), "bucket": pa.array(b, pa.int32()),
@@ -238,23 +239,41 @@ def _send(bits: int, wide: int, length: int):
     return run
 
 
-def earlier_factors(text: np.ndarray, starts: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
-    """For suffixes of ``text`` at ``starts``, of documents ``docs``: is LPF against smaller documents >= length?"""
+def earlier_factors(
+    text: np.ndarray, starts: np.ndarray, docs: np.ndarray, length: int, block: int = 200_000
+) -> np.ndarray:
+    """For suffixes of ``text`` at ``starts``, of documents ``docs``: is LPF against smaller documents >= length?
+
+    Suffixes are ordered by their first eight bytes, then blocks of whole ties by the rest, so the
+    keys of one block are held at a time.
+    """
     padded = np.concatenate([text, np.zeros(8, np.uint8)])
     words = np.lib.stride_tricks.as_strided(padded, (len(text), 8), (1, 1))
-    offsets = [*range(0, length - 7, 8)] + ([length - 8] if length % 8 else [])
-    keys = [words[starts + o].copy().view(">u8").ravel().astype(np.uint64) for o in offsets]
-    order = np.lexsort([docs, *reversed(keys)])
-    same = np.ones(len(order), bool)
-    same[0] = False
-    for k in keys:
-        k = k[order]
-        same[1:] &= k[1:] == k[:-1]
-    run = np.cumsum(~same) - 1
-    ranked = docs[order]
-    smallest = ranked[np.flatnonzero(~same)]  # ties are in document order
-    out = np.empty(len(order), bool)
-    out[order] = ranked > smallest[run]
+
+    def key(at: np.ndarray, offset: int) -> np.ndarray:
+        return words[at + offset].view(">u8").ravel().astype(np.uint64)
+
+    offsets = [*range(8, length - 7, 8)] + ([length - 8] if length % 8 else [])
+    head = key(starts, 0)
+    order = np.argsort(head, kind="stable")
+    head = head[order]
+    ties = np.flatnonzero(np.concatenate([head[1:] != head[:-1], [True]])) + 1
+    out, at = np.empty(len(order), bool), 0
+    while at < len(order):
+        to = int(ties[np.searchsorted(ties, min(at + block, len(order)))])
+        part = order[at:to]
+        keys = [head[at:to], *[key(starts[part], o) for o in offsets]]
+        ranked = docs[part]
+        inner = np.lexsort([ranked, *reversed(keys)])
+        same = np.ones(len(inner), bool)
+        same[0] = False
+        for k in keys:
+            k = k[inner]
+            same[1:] &= k[1:] == k[:-1]
+        ranked = ranked[inner]
+        smallest = ranked[np.flatnonzero(~same)]  # ties are in document order
+        out[part[inner]] = ranked > smallest[np.cumsum(~same) - 1]
+        at = to
     return out
 
 
@@ -266,6 +285,7 @@ def _sort(length: int):
         rows, parts, texts, whose = [], [], [], []
         bucket = table["bucket"][0].as_py()
         unpack = zstandard.ZstdDecompressor().decompress
+        del table
         for g, mark, data in zip(gs, marks, datas):
             if mark is not None:
                 rows.append((g, bucket, mark, data))
@@ -273,16 +293,18 @@ def _sort(length: int):
             raw = unpack(data)
             n = int(np.frombuffer(raw, np.int64, 1)[0])
             parts.append(np.frombuffer(raw, np.int64, 3 * n, 8).reshape(n, 3))
-            texts.append(raw[8 + 24 * n :])
+            texts.append(np.frombuffer(raw, np.uint8, -1, 8 + 24 * n))
             whose.append(np.full(n, g))
         if not parts:
             return note_table(rows)
         doc, start, count = np.concatenate(parts).T
-        whose, text = np.concatenate(whose), np.frombuffer(b"".join(texts), np.uint8)
+        whose, text = np.concatenate(whose), np.concatenate(texts)
+        del parts, texts, datas
         sizes = count + length - 1
         base = np.cumsum(sizes) - sizes
         shift = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         hit = earlier_factors(text, np.repeat(base, count) + shift, np.repeat(doc, count), length)
+        del text
         # neighbouring windows that go become one span
         record = np.repeat(np.arange(len(doc)), count)
         begin = hit.copy()
@@ -358,7 +380,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, packet_bytes: int = PA
     """
     n = packets(docs, packet_bytes)
     bits = max(1, min(20, (n // 4).bit_length()))
-    wide = max(1, min(22, n.bit_length()))
+    wide = max(1, min(22, n.bit_length() + 1))
     kept = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     packet = F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
     last = (1 << 63) - 1
