@@ -19,8 +19,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-# Streaming state off the heap; on a cluster only, as a local session's state is small.
+# On a cluster only: streaming state off the heap and wide shuffles to merge from.
 CLUSTER_CONF = {
+    # adaptive merging lowers the shuffle width but never raises it
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
