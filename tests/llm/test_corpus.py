@@ -62,7 +62,7 @@ def removed_by_force(rows, length):
 
 @pytest.mark.parametrize("packet", [300, 1 << 20])
 def test_suffix_brute_force(spark, packet):
-    rows = word_soup()
+    rows = word_soup() + [(800, "spam " * 90), (801, "x" + "spam " * 70), (802, "spam " * 60 + "y " * 200), (799, "y " * 40)]
     got = suffix.remove_repeats(frame(spark, rows), packet_bytes=packet).collect()
     want = removed_by_force(rows, 50)
     assert len(got) == len(rows)
@@ -70,6 +70,13 @@ def test_suffix_brute_force(spark, packet):
         assert (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) == want[r["doc"]["doc_id"]]
 
 
+def test_suffix_texts_of_one_id(spark):
+    a, b = "abcdefghij" * 8 + "1", "klmnopqrst" * 8 + "2"
+    df = frame(spark, [(1, a), (2, "left " + a + b), (2, b + " right"), (3, b)])
+    got = sorted((r["doc"]["doc_id"], bytes(r["kept"]).decode()) for r in suffix.remove_repeats(df).collect())
+    assert got == [(1, a), (2, b + " right"), (2, "left " + b), (3, "")]
+
+
 def test_suffix_long_text_in_slices(spark, monkeypatch):
     monkeypatch.setattr(suffix, "PIECE_BYTES", 200)
     rng = np.random.default_rng(1)

@@ -9,7 +9,7 @@ matter are sorted, which loses none:
    buckets (4 bytes each); a bucket tells each packet which of its hashes more than one document has.
 2. Packets send the stretches of text around shared anchors (windows that share an anchor and follow
    each other are one stretch) to the bucket of the anchor.  Of equal stretches in a packet only the
-   first document's is sent; the others are repeats already.
+   first is sent; those of later documents are repeats already, and a document's own share its fate.
 3. A bucket sorts the suffixes that start at its windows, cut at ``length``, ties by document.  In
    that order an entry's nearest entries with a smaller document, before it (PSV) and after it (NSV),
    have the longest earlier match, LPF = max(LCP(PSV), LCP(NSV)).  Only LPF >= length counts, so
@@ -35,6 +35,7 @@ ship(__name__)
 
 LENGTH, SEED = 50, 24
 PACKET_BYTES, PIECE_BYTES = 2 << 20, 256 << 10
+STRETCH = 64  # windows; runs longer than two anchors are periodic text, whose stretches repeat
 NOTE = "g int, bucket int, id long, data binary"
 
 
@@ -45,7 +46,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _runs(piece: bytes, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor: start, number of windows, anchor hash; windows end before ``ends``."""
+    """Runs of up to STRETCH windows with one anchor: start, number of windows, anchor hash.
+
+    Windows stay inside ``ends``, the end of the text that each byte belongs to.
+    """
     n = len(piece)
     a = np.frombuffer(piece + bytes(length), np.uint8)
     word = np.lib.stride_tricks.as_strided(a, (n + SEED - 8, 8), (1, 1)).copy().view(np.uint64).ravel()
@@ -65,7 +69,10 @@ def _runs(piece: bytes, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.n
     new[1:] &= (m[1:] != m[:-1]) | ~ok[:-1]
     starts = np.flatnonzero(new)
     counts = np.bincount(np.cumsum(new)[ok] - 1, minlength=len(starts)) if len(starts) else np.zeros(0, np.int64)
-    return starts, counts, m[starts]
+    parts = -(-counts // STRETCH)
+    step = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    starts, counts = np.repeat(starts, parts) + STRETCH * step, np.repeat(counts, parts) - STRETCH * step
+    return starts, np.minimum(counts, STRETCH), m[starts]
 
 
 def anchor_runs(texts: list[bytes], length: int):
@@ -110,12 +117,21 @@ def note_table(rows: list[tuple]) -> pa.Table:
 
 
 def class_heads(docs: pa.Table, notes: pa.Table) -> list[tuple[int, bytes]]:
-    """(id, text) of the packet's documents that are the first of their text, in id order."""
+    """Different (id, text) of the packet's rows whose id is the first of a text, in order."""
     heads = set(notes["id"].drop_null().to_pylist())
-    ids = docs["id"].to_pylist()
-    pick = sorted((i, k) for k, i in enumerate(ids) if i in heads)
     texts = docs["bytes"]
-    return [(i, texts[k].as_py()) for i, k in pick]
+    return sorted({(i, texts[k].as_py()) for k, i in enumerate(docs["id"].to_pylist()) if i in heads})
+
+
+SHIFT = 40
+
+
+def offsets_of(heads: list[tuple[int, bytes]]) -> list[int]:
+    """What is added to places in a text, so that different texts of one id stay apart."""
+    out: list[int] = []
+    for k, (i, _) in enumerate(heads):
+        out.append(out[-1] + (1 << SHIFT) if k and heads[k - 1][0] == i else 0)
+    return out
 
 
 def hash_request(g: int, h: np.ndarray, owner: np.ndarray, bits: int) -> list[tuple]:
@@ -211,8 +227,9 @@ def _send(bits: int, wide: int, length: int):
             return note_table([])
         known = np.sort(np.concatenate(known))
         texts = [t for _, t in heads]
-        by_bucket: dict[int, list] = {}
-        seen: dict[bytes, int] = {}
+        offset = offsets_of(heads)
+        by_bucket: dict[int, tuple[list, list]] = {}
+        seen: dict[bytes, tuple[int, int]] = {}
         local = []
         for owner, start, count, h in anchor_runs(texts, length):
             key = h >> np.uint64(32 - bits)
@@ -220,17 +237,24 @@ def _send(bits: int, wide: int, length: int):
             pick = np.flatnonzero(known[at] == key)
             bucket = (h[pick] >> np.uint64(64 - wide)).astype(np.int64)
             for o, s, n, b in zip(owner[pick].tolist(), start[pick].tolist(), count[pick].tolist(), bucket.tolist()):
-                context, doc = texts[o][s : s + n + length - 1], heads[o][0]
-                first = seen.setdefault(context, doc)
+                context, doc, s = texts[o][s : s + n + length - 1], heads[o][0], s + offset[o]
+                found, again = by_bucket.setdefault(b, ([], []))
+                first, place = seen.setdefault(context, (doc, len(found)))
                 if first < doc:
                     local.append((doc, s, s + n + length - 1))
+                elif place < len(found):  # the document repeats itself: what holds there holds here
+                    again.append((place, s))
                 else:
-                    by_bucket.setdefault(b, []).append((doc, s, n, context))
+                    found.append((doc, s, n, context))
         pack = zstandard.ZstdCompressor(level=1).compress
         rows = []
-        for b, found in by_bucket.items():
+        for b, (found, again) in by_bucket.items():
+            if not found:
+                continue
+            sizes = np.array([len(found), len(again)], np.int64)
             figures = np.array([f[:3] for f in found], np.int64)
-            raw = np.array([len(found)], np.int64).tobytes() + figures.tobytes() + b"".join(f[3] for f in found)
+            repeats = np.array(again, np.int64)
+            raw = sizes.tobytes() + figures.tobytes() + repeats.tobytes() + b"".join(f[3] for f in found)
             rows.append((g, b, None, pack(raw)))
         if local:
             rows.append(_spans_row(g, g % (1 << wide), *zip(*local)))
@@ -282,7 +306,7 @@ def _sort(length: int):
 
     def run(table: pa.Table) -> pa.Table:
         gs, marks, datas = table["g"].to_pylist(), table["id"].to_pylist(), table["data"].to_pylist()
-        rows, parts, texts, whose = [], [], [], []
+        rows, parts, texts, whose, repeats, total = [], [], [], [], [], 0
         bucket = table["bucket"][0].as_py()
         unpack = zstandard.ZstdDecompressor().decompress
         del table
@@ -291,10 +315,12 @@ def _sort(length: int):
                 rows.append((g, bucket, mark, data))
                 continue
             raw = unpack(data)
-            n = int(np.frombuffer(raw, np.int64, 1)[0])
-            parts.append(np.frombuffer(raw, np.int64, 3 * n, 8).reshape(n, 3))
-            texts.append(np.frombuffer(raw, np.uint8, -1, 8 + 24 * n))
+            n, m = np.frombuffer(raw, np.int64, 2).tolist()
+            parts.append(np.frombuffer(raw, np.int64, 3 * n, 16).reshape(n, 3))
+            repeats.append(np.frombuffer(raw, np.int64, 2 * m, 16 + 24 * n).reshape(m, 2) + [total, 0])
+            texts.append(np.frombuffer(raw, np.uint8, -1, 16 + 24 * n + 16 * m))
             whose.append(np.full(n, g))
+            total += n
         if not parts:
             return note_table(rows)
         doc, start, count = np.concatenate(parts).T
@@ -314,6 +340,15 @@ def _sort(length: int):
         at, to = np.flatnonzero(begin), np.flatnonzero(end)
         r = record[at]
         spans = np.stack([doc[r], start[r] + shift[at], start[r] + shift[to] + length], axis=1)
+        # the same spans where a document repeats one of its stretches; r ascends
+        again, place = np.concatenate(repeats).T
+        low = np.searchsorted(r, again)
+        copies = np.searchsorted(r, again, side="right") - low
+        inner = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
+        source = np.repeat(low, copies) + inner
+        moved = np.repeat(place - start[again], copies)
+        spans = np.concatenate([spans, spans[source] + np.stack([0 * moved, moved, moved], axis=1)])
+        r = np.concatenate([r, r[source]])
         order = np.argsort(whose[r], kind="stable")
         spans, owner = spans[order], whose[r][order]
         cuts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1], [True]])) if len(owner) else []
@@ -349,10 +384,18 @@ def _finish(length: int):
                 continue
             for doc, a, b in np.frombuffer(data, np.int64).reshape(3, -1).T.tolist():
                 spans.setdefault(doc, []).append((a, b))
+        # places of the texts of one id differ by multiples of 1 << SHIFT
+        mine: dict[int, dict[bytes, int]] = {}
+        pairs = {(i, t) for i, t in zip(docs["id"].to_pylist(), docs["bytes"].to_pylist()) if i in heads}
+        for i, text in sorted(pairs):
+            mine.setdefault(i, {})[text] = len(mine.get(i, ())) << SHIFT
+        del pairs
         kept, runs, sizes = [], [], []
         for i, text in zip(docs["id"].to_pylist(), docs["bytes"].to_pylist()):
             if i in heads:
-                left, n = cut_spans(text, spans.get(i, []))
+                at = mine[i][text]
+                own = [(a - at, b - at) for a, b in spans.get(i, []) if a >> SHIFT == at >> SHIFT]
+                left, n = cut_spans(text, own)
             else:
                 left, n = (b"", 1) if len(text) >= length else (text, 0)
             kept.append(left)
@@ -375,7 +418,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, packet_bytes: int = PA
 
     ``kept_text`` leaves out bytes of characters that were cut in two.
     A null text is empty; a null doc_id counts as larger than all others.  Rows of one doc_id never
-    count as earlier than each other.  Texts under ``length`` bytes lose nothing.  An empty table gives
+    count as earlier than each other, be their texts equal or not.  Texts under ``length`` bytes lose nothing.  An empty table gives
     an empty result; extra columns stay inside ``doc``.
     """
     n = packets(docs, packet_bytes)
