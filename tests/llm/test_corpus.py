@@ -197,6 +197,57 @@ def test_katz_base_and_edges(spark):
     assert sum(r["score"] for r in seen) > sum(r["base_score"] for r in seen)
 
 
+def katz_by_force(texts, train):
+    """Scores of all texts by plain Katz backoff, every word for itself."""
+    tokens = [[*(t or "").encode().lower().split(), "end"] for t in texts]
+    learned = [t for t, ok in zip(tokens, train) if ok]
+    uni = Counter(w for t in learned for w in t[:-1])
+    pairs = Counter(g for t in learned for g in zip(["start", *t], t))
+
+    def discounts(counts):
+        n_r = Counter(counts.values())
+        return katz.discounts(np.array([0, *[n_r[r] for r in range(1, katz.GT + 2)]], float))
+
+    def cut(c, d):
+        return c * d[c] if c <= katz.GT else c
+
+    n, d1, d2 = sum(uni.values()) + len(learned), discounts(uni), discounts(pairs)
+    lost = sum(c - cut(c, d1) for c in uni.values()) / n
+    scale = 1.0 if lost > 0 else n / (n + 1)
+    p1 = {w: cut(c, d1) / n * scale for w, c in uni.items()} | {"end": len(learned) / n * scale}
+    unseen = 1 - (1 - lost) * scale
+    after = defaultdict(dict)
+    for (h, x), c in pairs.items():
+        after[h][x] = c
+
+    def p2(h, x):
+        seen = after.get(h, {})
+        if not seen:
+            return p1.get(x, unseen)
+        kept, total = sum(cut(c, d2) for c in seen.values()), sum(seen.values())
+        total += kept / total >= 1 - 1e-12
+        if x in seen:
+            return cut(seen[x], d2) / total
+        return (1 - kept / total) / (1 - sum(p1[y] for y in seen)) * p1.get(x, unseen)
+
+    return [sum(math.log10(p2(h, x)) for h, x in zip(["start", *t], t)) for t in tokens]
+
+
+@pytest.mark.parametrize("max_vocabulary", [0, 50, 1 << 17])
+def test_katz_brute_force(spark, monkeypatch, max_vocabulary):
+    """Every word is a history and a successor of its own, broadcast or not."""
+    monkeypatch.setattr(katz, "PACK_BYTES", 900)
+    monkeypatch.setattr(katz, "BUCKET_BYTES", 3000)
+    texts = [t for _, t in word_soup()] + ["never seen w1 seen w2 never seen", "w1 w2 w1 w2 w1 odd odd odd w3"]
+    train = [i % 4 != 0 for i in range(len(texts))]
+    got = katz.score(frame(spark, list(enumerate(texts))), F.col("doc_id") % 4 != 0, max_vocabulary=max_vocabulary)
+    want = katz_by_force(texts, train)
+    rows = got.collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert math.isclose(r["score"], want[r["doc_id"]], rel_tol=1e-9)
+
+
 def test_katz_pack_round_trip():
     arrays = [np.array([3, 1, 2**40], np.uint64), np.zeros(0, np.uint16), np.array([True, False])]
     for a, b in zip(arrays, katz.unpack(katz.pack(arrays), [np.uint64, np.uint16, np.bool_])):

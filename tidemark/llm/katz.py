@@ -5,17 +5,21 @@ Words are runs without ASCII white space, ASCII letters in lower case, then one
     p1(w)     = d(c) c / N, the rest of the mass goes to all unseen words together
     p2(x | h) = d(c) c(h x) / c(h) if h x was seen, else alpha(h) P1(x)
 
-Histories and successors are classes: each word of the vocabulary is one, all rarer and unseen words
-share the class "rare", in which a word w has the share p1(w) / P1(rare).  The vocabulary is every word
-from the lowest count on that keeps it within ``max_vocabulary``, so its arrays have a fixed bound and
-can be broadcast; rarer words keep their own counts, which are joined, never dropped.  alpha(h) makes
-the probabilities of all classes after h sum to one exactly.
+Every word is a history and a successor of its own; words that no training text has are one class, with
+no counts as a history and p1 of all unseen words as a successor.  alpha(h) makes the probabilities of
+all classes after h sum to one exactly.  The figures of the most frequent words (from the lowest count on
+that keeps them within ``max_vocabulary``) are arrays that are broadcast; those of all other words stay in
+partitioned tables and meet their grams there, so ``max_vocabulary`` changes no score.
 
 Counting and scoring run once over the text: packs of texts send (gram, text, count) to buckets of
-grams; a bucket adds up the training counts and keeps who asked.  This table, partitioned by kind of
-gram, is the model: one pass over its counts gives the discounts and alpha, a second evaluates
-p2 -> alpha * P1 -> p1 for every gram and sends each pack the sums of its texts.  Histories with
-more than their share of all tokens are spread over buckets by gram instead of by history.
+grams; a bucket adds up the training counts and keeps who asked.  Rows come in kinds: PAIRS are grams of
+two frequent words; AFTER lists every rare successor with its history, by successor, so that p1 is known
+in the bucket; FROM lists every gram of a rare history, by history, so that c(h) and alpha(h) are.  A gram
+of two rare words is in both: AFTER counts its successor, FROM scores it, with the successor's count
+joined from the table of unigrams.  This table is the model: one pass over its counts gives the discounts
+and alpha of frequent histories, a second evaluates p2 -> alpha * p1 for every gram and sends each pack the
+sums of its texts.  Frequent histories with more than their share of all tokens are spread over buckets by
+gram instead of by history.
 """
 
 from __future__ import annotations
@@ -38,9 +42,10 @@ from tidemark.session import stored, workspace
 ship(__name__)
 
 GT = 5  # counts up to this are discounted
-MAX_VOCABULARY = 1 << 17
+MAX_VOCABULARY = 1 << 17  # words whose figures are broadcast
 COUNT_BYTES, PACK_BYTES, BUCKET_BYTES = 8 << 20, 2 << 20, 8 << 20
-DOCS, RARE, PAIRS = 0, 1, 2
+DOCS, AFTER, PAIRS, FROM = 0, 1, 2, 3
+KEYS = {PAIRS: [], AFTER: [np.uint64], FROM: [np.uint64]}  # the second part of a gram's key
 ROW = "kind int, bucket int, batch long, grams binary, data binary"
 
 
@@ -84,7 +89,7 @@ def _discounted(counts: np.ndarray, d: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    words: np.ndarray  # hashes of the vocabulary, ascending
+    words: np.ndarray  # hashes of the frequent words, ascending
     counts: np.ndarray
     tokens: int  # N
     types: int  # V
@@ -135,7 +140,8 @@ def _tokenise(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         tokens = (text or b"").lower().split()
         parts.append(np.fromiter((known.setdefault(t, len(known)) for t in tokens), np.int64, len(tokens)))
         sizes.append(len(tokens))
-    names = np.fromiter((xxhash.xxh3_64_intdigest(t) for t in known), np.uint64, len(known))
+    # the highest bit tells a hash from the number of a class
+    names = np.fromiter((xxhash.xxh3_64_intdigest(t) | 1 << 63 for t in known), np.uint64, len(known))
     return (np.concatenate(parts) if parts else np.zeros(0, np.int64)), np.array(sizes, np.int64), names
 
 
@@ -161,8 +167,8 @@ def _unigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"word": pa.array(names.view(np.int64)), "n": pa.array(counts, pa.int64())})
 
 
-def _vocabulary(rows: DataFrame, buckets: int, max_vocabulary: int) -> Model:
-    """Unigram part of the model; what comes to the driver is bounded by max_vocabulary."""
+def _vocabulary(rows: DataFrame, buckets: int, max_vocabulary: int) -> tuple[Model, DataFrame]:
+    """Unigram part of the model, and the counts of all words; what comes to the driver is bounded by max_vocabulary."""
     unigrams = stored(
         rows.select("bytes", "train").mapInArrow(_unigrams, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")),
         "unigrams",
@@ -194,7 +200,7 @@ def _vocabulary(rows: DataFrame, buckets: int, max_vocabulary: int) -> Model:
     top = model.word_p1(counts)
     end = texts / max(1, n_all) * scale
     model.p1 = np.concatenate([top, [max(1e-12, 1 - top.sum() - end), end, 0.0]])
-    return model
+    return model, unigrams
 
 
 def _buckets_of(model: Model, key: np.ndarray) -> np.ndarray:
@@ -215,6 +221,27 @@ def _cut(kind: int, batch: int, bucket: np.ndarray, key: np.ndarray, doc: np.nda
         yield kind, int(bucket[a]), batch, None, data
 
 
+def _distinct(*columns: np.ndarray) -> list[np.ndarray]:
+    """Different rows of the columns, in order, and how often each is there."""
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    first = np.flatnonzero(new)
+    return [*[c[first] for c in columns], np.diff(np.append(first, len(order)))]
+
+
+def _cut_rare(kind: int, batch: int, buckets: int, word, other, doc, count, train: np.ndarray):
+    """Rows of one pack, one per bucket of the rare word; word and other ascend inside a bucket."""
+    bucket = ((word >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort([doc, other, word, bucket])
+    bucket, word, other, doc, count = (x[order] for x in (bucket, word, other, doc, count))
+    edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else []
+    for a, b in zip(edges[:-1], edges[1:]):
+        data = pack([_steps(word[a:b]), other[a:b], doc[a:b].astype(np.uint16), count[a:b].astype(np.uint32), train])
+        yield kind, int(bucket[a]), batch, None, data
+
+
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows)) if rows else [()] * 5
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
@@ -244,21 +271,27 @@ def _grams(sent):
             ends = np.cumsum(sizes) + np.arange(n)
             successor = np.full(len(ids) + n, model.end)
             history = np.full(len(ids) + n, model.start)
+            before, after = np.zeros((2, len(ids) + n), np.int64)
             place = np.arange(len(ids)) + doc
-            successor[place] = word_class[ids]
-            history[place + 1] = word_class[ids]
+            successor[place], after[place] = word_class[ids], ids
+            history[place + 1], before[place + 1] = word_class[ids], ids
             owner = np.repeat(np.arange(n), sizes + 1)
+            rare_x, rare_h = successor == model.rare, history == model.rare
+            pick = ~(rare_x | rare_h)
             both, count = np.unique(
-                ((history * model.classes + successor).astype(np.uint64) << np.uint64(16)) | owner.astype(np.uint64),
+                ((history[pick] * model.classes + successor[pick]).astype(np.uint64) << np.uint64(16))
+                | owner[pick].astype(np.uint64),
                 return_counts=True,
             )
             key = (both >> np.uint64(16)).astype(np.int64)
             rows = list(_cut(PAIRS, number, _buckets_of(model, key), key, both & np.uint64(0xFFFF), count, train))
-            is_rare = ~known[ids]
-            both, count = np.unique((ids[is_rare] << 16) | doc[is_rare], return_counts=True)
-            key = names[both >> 16]
-            bucket = (key >> np.uint64(20)) % np.uint64(model.buckets)
-            rows += _cut(RARE, number, bucket.astype(np.int64), key, both & 0xFFFF, count, train)
+            word, other, text, count = _distinct(after[rare_x], history[rare_x], owner[rare_x])
+            rows += _cut_rare(AFTER, number, model.buckets, names[word], other.astype(np.uint64), text, count, train)
+            code = np.where(rare_x, after + model.classes, successor)
+            word, other, text, count = _distinct(before[rare_h], code[rare_h], owner[rare_h])
+            code = other.astype(np.uint64)
+            code[other >= model.classes] = names[other[other >= model.classes] - model.classes]
+            rows += _cut_rare(FROM, number, model.buckets, names[word], code, text, count, train)
             base = np.bincount(owner, log_base[successor], n)
             sure = np.bincount(owner, successor != model.rare, n).astype(np.int64)
             if not model.texts:
@@ -279,23 +312,39 @@ def _merge(table: pa.Table) -> pa.Table:
     """Bucket: distinct grams with training counts, and who has them; rows about texts pass through."""
     if table["kind"][0].as_py() == DOCS:
         return table
-    keys, docs, counts, packs, trained = [], [], [], [], []
+    kind = table["kind"][0].as_py()
+    parts = []
     batches = table["batch"].to_pylist()
     for k, data in enumerate(table["data"].to_pylist()):
-        key, doc, count, train = unpack(data, [np.uint64, np.uint16, np.uint32, np.bool_])
-        keys.append(np.cumsum(key))
-        docs.append(doc)
-        counts.append(count)
-        packs.append(np.full(len(key), k, np.uint32))
-        trained.append(count * train[doc])
-    key, doc, count, of, seen = (np.concatenate(x) for x in (keys, docs, counts, packs, trained))
-    order = np.argsort(key, kind="stable")
-    key, doc, count, of, seen = key[order], doc[order], count[order], of[order], seen[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    sizes = np.diff(np.concatenate([first, [len(key)]]))
-    grams = pack([_steps(key[first]), np.add.reduceat(seen.astype(np.int64), first)])
+        *other, doc, count, train = unpack(data, [np.uint64, *KEYS[kind], np.uint16, np.uint32, np.bool_])
+        key, *other = other
+        parts.append([np.cumsum(key), *other, doc, count, np.full(len(key), k, np.uint32), count * train[doc]])
+    *keys, doc, count, of, seen = (np.concatenate(x) for x in zip(*parts))
+    del parts
+    order = np.lexsort(keys[::-1])
+    keys = [x[order] for x in keys]
+    doc, count, of, seen = doc[order], count[order], of[order], seen[order]
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in keys])
+    first = np.flatnonzero(new)
+    sizes = np.diff(np.concatenate([first, [len(doc)]]))
+    grams = pack([_steps(keys[0][first]), *[x[first] for x in keys[1:]], np.add.reduceat(seen.astype(np.int64), first)])
     data = pack([sizes.astype(np.uint32), of, doc, count, np.array(batches, np.int64)])
-    return pa.Table.from_batches([_rows([(table["kind"][0].as_py(), table["bucket"][0].as_py(), None, grams, data)])])
+    return pa.Table.from_batches([_rows([(kind, table["bucket"][0].as_py(), None, grams, data)])])
+
+
+def _rare_grams(grams: bytes) -> tuple[np.ndarray, ...]:
+    """Of a bucket of AFTER or FROM: word, other end and training count of the grams; first gram and grams of a word."""
+    word, other, c = unpack(grams, [np.uint64, np.uint64, np.int64])
+    word = np.cumsum(word)
+    first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+    return word, other, c, first, np.diff(np.append(first, len(word)))
+
+
+def _after(grams: bytes) -> tuple[np.ndarray, ...]:
+    """Bucket of AFTER: history class, training count of the gram and of its successor."""
+    _, history, c, first, sizes = _rare_grams(grams)
+    return history.astype(np.int64), c, np.repeat(np.add.reduceat(c, first), sizes)
 
 
 def _history_sums(sent):
@@ -304,14 +353,23 @@ def _history_sums(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = sent.value
         for b in batches:
-            for data in b["grams"].to_pylist():
-                key, c = unpack(data, [np.uint64, np.int64])
-                key = np.cumsum(key).astype(np.int64)[c > 0]
-                c = c[c > 0]
-                history, h = np.unique(key // model.classes, return_inverse=True)
+            for kind, data in zip(b["kind"].to_pylist(), b["grams"].to_pylist()):
+                if kind == PAIRS:
+                    key, c = unpack(data, [np.uint64, np.int64])
+                    key = np.cumsum(key).astype(np.int64)
+                    of, p1 = key // model.classes, model.p1[key % model.classes]
+                elif kind == AFTER:
+                    of, c, n = _after(data)
+                    p1 = model.word_p1(n)
+                    of, c, p1 = (x[of != model.rare] for x in (of, c, p1))
+                else:  # for the discounts only
+                    c = _rare_grams(data)[2]
+                    of, p1 = np.full(len(c), model.rare), np.zeros(len(c))
+                of, c, p1 = of[c > 0], c[c > 0], p1[c > 0]
+                history, h = np.unique(of, return_inverse=True)
                 sums = [np.bincount(h, c == r, len(history)) for r in range(1, GT + 2)]
                 sums.append(np.bincount(h, np.where(c > GT, c, 0), len(history)))
-                sums.append(np.bincount(h, model.p1[key % model.classes], len(history)))
+                sums.append(np.bincount(h, p1, len(history)))
                 yield pa.RecordBatch.from_arrays([pa.array(history), *[pa.array(x.astype(float)) for x in sums]], names)
 
     return run, "history long, " + ", ".join(f"{x} double" for x in names[1:])
@@ -328,15 +386,17 @@ def _normalise(model: Model, sums: pa.Table) -> Model:
     if not len(history):
         return model
     kept = sums["large"].to_numpy() + sum(d[r] * r * n[r - 1] for r in range(1, GT + 1))
-    mass = sums["mass"].to_numpy()
-    total = model.total[history]
+    model.total[history], model.alpha[history] = _backoff(model.total[history], kept, sums["mass"].to_numpy())
+    return model
+
+
+def _backoff(total: np.ndarray, kept: np.ndarray, mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Divisor and alpha of histories from their counts, discounted counts, and p1 of all that was seen after them."""
     # nothing was discounted after this history: one more count in the divisor is left for the rest
     total = np.where(kept / total >= 1 - 1e-12, total + 1, total)
     full = mass >= 1 - 1e-12  # every class was seen: they share everything
     total = np.where(full, kept, total)
-    model.total[history] = total
-    model.alpha[history] = np.where(full, 0.0, (1 - kept / total) / np.where(full, 1.0, 1 - mass))
-    return model
+    return total, np.where(full, 0.0, (1 - kept / total) / np.where(full, 1.0, 1 - mass))
 
 
 def gram_log10(model: Model, key: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -346,31 +406,83 @@ def gram_log10(model: Model, key: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.log10(np.maximum(np.where(counts > 0, seen, model.alpha[history] * model.p1[successor]), 1e-300))
 
 
+def _log10(x: np.ndarray) -> np.ndarray:
+    return np.log10(np.maximum(x, 1e-300))
+
+
+def _text_sums(kind: int, bucket: int, data: bytes, value, base, known) -> list[tuple]:
+    """Rows for the packs: the sums of a bucket's grams per text."""
+    sizes, of, doc, count, packs = unpack(data, [np.uint32, np.uint32, np.uint16, np.uint32, np.int64])
+    gram = np.repeat(np.arange(len(value)), sizes)
+    place, text = np.unique((of.astype(np.int64) << 16) | doc, return_inverse=True)
+    sums = [np.bincount(text, x[gram] * count, len(place)) for x in (value, base, known)]
+    edges = np.searchsorted(place >> 16, np.arange(len(packs) + 1))
+    return [
+        (kind, bucket, int(packs[k]), None, pack([(place[a:e] & 0xFFFF).astype(np.uint16), *[s[a:e] for s in sums]]))
+        for k, (a, e) in enumerate(zip(edges[:-1], edges[1:])) if e > a
+    ]
+
+
 def _evaluate(sent):
-    """Buckets to sums per text: log10 p, base, known."""
+    """Buckets of PAIRS and AFTER to sums per text: log10 p, base, known."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = sent.value
         for b in batches:
             for kind, bucket, grams, data in zip(*(b[c].to_pylist() for c in ("kind", "bucket", "grams", "data"))):
-                key, c = unpack(grams, [np.uint64, np.int64])
-                sizes, of, doc, count, packs = unpack(data, [np.uint32, np.uint32, np.uint16, np.uint32, np.int64])
                 if kind == PAIRS:
+                    key, c = unpack(grams, [np.uint64, np.int64])
                     value = gram_log10(model, np.cumsum(key).astype(np.int64), c)
                     base, known = np.zeros(len(c)), np.zeros(len(c))
                 else:
-                    value = np.log10(np.maximum(model.word_p1(c) / model.p1[model.rare], 1e-300))
-                    base, known = model.base(c), (c > 0).astype(float)
-                gram = np.repeat(np.arange(len(c)), sizes)
-                place, text = np.unique((of.astype(np.int64) << 16) | doc, return_inverse=True)
-                sums = [np.bincount(text, x[gram] * count, len(place)) for x in (value, base, known)]
-                edges = np.searchsorted(place >> 16, np.arange(len(packs) + 1))
-                yield _rows([
-                    (kind, bucket, int(packs[k]), None, pack([
-                        (place[a:e] & 0xFFFF).astype(np.uint16), *[s[a:e] for s in sums]
-                    ]))
-                    for k, (a, e) in enumerate(zip(edges[:-1], edges[1:])) if e > a
-                ])
+                    history, c, n = _after(grams)
+                    seen = _discounted(c, model.d2) / model.total[history]
+                    value = _log10(np.where(c > 0, seen, model.alpha[history] * model.word_p1(n)))
+                    value[history == model.rare] = 0.0  # added by FROM
+                    base, known = model.base(n), (n > 0).astype(float)
+                yield _rows(_text_sums(kind, bucket, data, value, base, known))
+
+    return run
+
+
+def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Buckets of FROM: the rare successors whose counts they need."""
+    for b in batches:
+        for bucket, grams in zip(b["bucket"].to_pylist(), b["grams"].to_pylist()):
+            other = np.unique(_rare_grams(grams)[1])
+            other = other[other >> np.uint64(63) == 1].view(np.int64)
+            yield pa.RecordBatch.from_pydict({
+                "bucket": pa.array(np.full(len(other), bucket), pa.int32()), "word": pa.array(other, pa.int64())
+            })
+
+
+def _evaluate_from(sent):
+    """Bucket of FROM and the counts of its rare successors (none for unseen words) to sums per text."""
+
+    def run(table: pa.Table, counts: pa.Table) -> pa.Table:
+        model: Model = sent.value
+        words, n = counts["word"].to_numpy().view(np.uint64), counts["n"].to_numpy()
+        order = np.argsort(words)
+        words, n = np.append(words[order], np.uint64(0)), np.append(n[order], 0)
+        out = []
+        for bucket, grams, data in zip(*(table[c].to_pylist() for c in ("bucket", "grams", "data"))):
+            _, other, c, first, sizes = _rare_grams(grams)
+            at = np.searchsorted(words[:-1], other)
+            is_class = other < model.classes
+            p1 = np.where(
+                is_class,
+                model.p1[np.where(is_class, other, 0).astype(np.int64)],
+                model.word_p1(np.where(words[at] == other, n[at], 0)),
+            )
+            kept = np.where(c > 0, _discounted(c, model.d2), 0.0)
+            total, alpha = (np.repeat(x, sizes) for x in _backoff(
+                np.maximum(1, np.add.reduceat(c, first)).astype(float),
+                np.add.reduceat(kept, first),
+                np.add.reduceat(np.where(c > 0, p1, 0.0), first),
+            ))
+            value = _log10(np.where(c > 0, kept / total, alpha * p1))
+            out += _text_sums(FROM, bucket, data, value, np.zeros(len(c)), np.zeros(len(c)))
+        return pa.Table.from_batches([_rows(out)])
 
     return run
 
@@ -402,7 +514,7 @@ def score(docs: DataFrame, train: Column, max_vocabulary: int = MAX_VOCABULARY)
 
     doc_id, held_out, n_tokens (words and the end), n_known, train_tokens, base_score, score.  A null
     text is empty and consists of its end; a null doc_id stays null; repeated rows are texts of their
-    own.  Without training rows every word is unseen.  An empty table gives an empty result; other
+    own.  The score does not depend on ``max_vocabulary``.  Without training rows every word is unseen.  An empty table gives an empty result; other
     columns are not read.
     """
     spark = docs.sparkSession
@@ -412,7 +524,7 @@ def score(docs: DataFrame, train: Column, max_vocabulary: int = MAX_VOCABULARY)
         F.coalesce(train, F.lit(False)).alias("train"),
     )
     n = packets(docs, BUCKET_BYTES)
-    model = _vocabulary(rows, max(4, n), max_vocabulary)
+    model, unigrams = _vocabulary(rows, max(4, n), max_vocabulary)
     sent = spark.sparkContext.broadcast(model)
     path = workspace(spark, "ngram-model")
     rows.mapInArrow(_grams(sent), ROW).groupBy("kind", "bucket").applyInArrow(_merge, ROW).write.partitionBy(
@@ -420,12 +532,16 @@ def score(docs: DataFrame, train: Column, max_vocabulary: int = MAX_VOCABULARY)
     ).parquet(path)
     table = spark.read.schema(ROW.replace("kind int, ", "") + ", kind int").parquet(path)
     run, kind = _history_sums(sent)
-    sums = table.where(F.col("kind") == PAIRS).select("grams").mapInArrow(run, kind)
+    sums = table.where(F.col("kind") != DOCS).select("kind", "grams").mapInArrow(run, kind)
     sums = sums.groupBy("history").agg(*[F.sum(c).alias(c) for c in sums.columns[1:]])
     full = spark.sparkContext.broadcast(_normalise(model, sums.toArrow()))
-    parts = table.where(F.col("kind") != DOCS).select("kind", "bucket", "grams", "data").mapInArrow(_evaluate(full), ROW)
+    parts = table.where(F.col("kind").isin(PAIRS, AFTER)).select("kind", "bucket", "grams", "data")
+    rare = table.where(F.col("kind") == FROM).select("bucket", "grams", "data")
+    wanted = rare.select("bucket", "grams").mapInArrow(_wanted, "bucket int, word long")
+    counts = wanted.join(unigrams, "word").select("bucket", "word", "n")
+    from_rare = rare.groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInArrow(_evaluate_from(full), ROW)
     texts = table.where(F.col("kind") == DOCS).select("kind", "bucket", "batch", "grams", "data")
-    done = texts.unionByName(parts).groupBy("batch").applyInArrow(
+    done = texts.unionByName(parts.mapInArrow(_evaluate(full), ROW)).unionByName(from_rare).groupBy("batch").applyInArrow(
         _collect, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
     return done.select(
