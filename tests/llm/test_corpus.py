@@ -142,6 +142,29 @@ def test_jaccard_keeps_rows_and_columns(spark):
     assert {r["doc_id"] for r in out.collect()} == heads
 
 
+def test_jaccard_null_and_repeated_ids(spark):
+    """Rows are linked and kept by their texts, whatever their ids."""
+    def text(k, tail=""):
+        return " ".join(f"t{k}w{j}" for j in range(60)) + tail
+
+    rows = [(5, text(0)), (None, text(0, " x")), (None, text(1)), (None, text(1)), (None, text(1, " y")), (None, text(2))]
+    rows += [(7, text(3)), (7, text(0, " z")), (7, text(4)), (8, text(5)), (8, text(5)), (8, text(5).upper())]
+    rows += [(9, text(4, " q")), (None, None), (None, ""), (9, " \n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r["doc_id"], r["text"]) for r in jaccard.keep_one(df).collect()]
+    assert {c for c in kept if c[0] is None and c[1]} <= {(None, text(1)), (None, text(1, " y")), (None, text(2))}
+    both = [c for c in kept if c in ((None, text(1)), (None, text(1, " y")))]
+    assert len(both) == 1
+    want = [(5, text(0)), (None, text(2)), (7, text(3)), (7, text(4)), (8, text(5).upper()), (None, None), (None, ""), (9, " \n")]
+    assert Counter(kept) == Counter(want + both)
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.clusters(df).collect())
+    assert got == Counter([
+        (5, 57, 5), (None, 58, 5), (None, 57, None), (None, 57, None), (None, 58, None), (None, 57, None),
+        (7, 57, 7), (7, 58, 5), (7, 57, 7), (8, 57, 8), (8, 57, 8), (8, 57, 8), (9, 58, 7),
+        (None, 0, None), (None, 0, None), (9, 0, 9),
+    ])
+
+
 # -- Katz backoff
 
 

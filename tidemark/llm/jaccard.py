@@ -1,7 +1,8 @@
 """Grouped prefix join on n-gram sets: documents that share most of their word shingles.
 
 A document is its set of ``SHINGLE``-word shingles as 64-bit hashes.  Texts that are equal but for
-ASCII case are one class first.  Of each set, shingles that no other class has can be in no
+ASCII case are one class first, which is dealt, linked and kept by 64 bits of a hash of the text;
+doc_ids only choose the first row of a component.  Of each set, shingles that no other class has can be in no
 intersection; ``suffix.hash_request`` and ``shared_hashes`` find them exactly as anchors are found
 there (4 bytes per distinct shingle and packet), and tell how widely the others are spread.  In the
 order "unshared first, then by the logarithm of the spread, then by hash", a pair at or above the
@@ -19,17 +20,15 @@ result, so pairs are never written down.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lower_az, packets, ship
+from tidemark.llm.common import WORD, lower_az, packets, ship
 from tidemark.llm.graph import components
-from tidemark.llm.suffix import NOTE, class_heads, hash_request, mix, note_table, shared_hashes
+from tidemark.llm.suffix import NOTE, hash_request, mix, note_table, shared_hashes
 from tidemark.session import stored
 
 ship(__name__)
@@ -77,15 +76,29 @@ def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray
     return owner[new], h[new]
 
 
+def _first_of_class(batches):
+    """Rows whose class was not met before in the task."""
+    met: set[int] = set()
+    for b in batches:
+        fresh = []
+        for k, node in enumerate(b["id"].to_pylist()):
+            if node not in met:
+                met.add(node)
+                fresh.append(k)
+        yield b.take(pa.array(fresh, pa.int64()))
+
+
+def _texts(docs: pa.Table) -> dict[int, bytes]:
+    """One text of every class of the packet, by class."""
+    return dict(sorted(zip(docs["id"].to_pylist(), docs["bytes"].to_pylist())))
+
+
 def _ask(bits: int, width: int):
-    def run(docs: pa.Table, notes: pa.Table) -> pa.Table:
-        if not docs.num_rows:
-            return note_table([])
-        heads = class_heads(docs, notes)
-        owner, h = shingle_sets([t for _, t in heads], width)
+    def run(docs: pa.Table) -> pa.Table:
+        owner, h = shingle_sets(list(_texts(docs).values()), width)
         if not len(h):
             return note_table([])
-        return note_table(hash_request(docs["g"][0].as_py(), h, np.array([i for i, _ in heads])[owner], bits))
+        return note_table(hash_request(docs["g"][0].as_py(), h, owner, bits))
 
     return run
 
@@ -94,15 +107,13 @@ def _profiles(bits: int, width: int, percent: int):
     """Packet: per class its size and, if it can be linked at all, its prefix and its shared shingles."""
 
     def run(docs: pa.Table, notes: pa.Table) -> pa.Table:
-        # rows that repeat an id and its text are one class
-        heads = sorted(set(class_heads(docs, notes))) if docs.num_rows else []
-        owner, h = shingle_sets([t for _, t in heads], width)
+        heads = _texts(docs)
+        owner, h = shingle_sets(list(heads.values()), width)
         known, sizes_of = [], []
         for b, d in zip(notes["bucket"].to_pylist(), notes["data"].to_pylist()):
-            if d is not None:
-                n = len(d) // 5
-                known.append((np.uint64(b) << np.uint64(32)) | np.frombuffer(d, np.uint32, n).astype(np.uint64))
-                sizes_of.append(np.frombuffer(d, np.uint8, n, 4 * n))
+            n = len(d) // 5
+            known.append((np.uint64(b) << np.uint64(32)) | np.frombuffer(d, np.uint32, n).astype(np.uint64))
+            sizes_of.append(np.frombuffer(d, np.uint8, n, 4 * n))
         shared, spread = np.zeros(len(h), bool), np.zeros(len(h), np.uint8)
         if known and len(h):
             known, sizes_of = np.concatenate(known), np.concatenate(sizes_of)
@@ -123,8 +134,7 @@ def _profiles(bits: int, width: int, percent: int):
             prefixes.append(rarest[:prefix].tobytes() if fit else None)
             sets.append(mine.tobytes() if fit else None)
         return pa.table({
-            "id": pa.array([i for i, _ in heads], pa.int64()),
-            "key": pa.array([hashlib.sha256(t.lower()).digest() for _, t in heads], pa.binary()),
+            "id": pa.array(list(heads), pa.int64()),
             "size": pa.array(sizes, pa.int64()),
             "prefix": pa.array(prefixes, pa.binary()),
             "shared": pa.array(sets, pa.binary()),
@@ -211,28 +221,39 @@ def clusters(
 
     Documents link when 100 * |intersection| >= percent * |union|; component_id is the smallest doc_id
     reachable, itself included.  Null texts and texts without words have no shingles and link with
-    nothing.  A null doc_id counts as larger than all others.  Repeated rows are copies; an empty table
-    gives an empty result; other columns are not read.
+    nothing.  A null doc_id counts as larger than all others, and rows are linked by their texts, so null or
+    repeated doc_ids link nothing by themselves.  Repeated rows are copies; an empty table gives an empty
+    result; other columns are not read.
     """
+    clean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _node(F.col("text")).alias("id"))
+    found = _classes(docs, width, percent, packet_bytes, block_bytes)
+    return clean.join(found, "id").select(
+        "doc_id",
+        "n_shingles",
+        F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    )
+
+
+def _node(text: Column) -> Column:
+    """The class of a text as a number: eight bytes of a hash of it in lower case."""
+    key = F.sha2(lower_az(F.coalesce(text, F.lit(""))).cast("binary"), 256)
+    return F.conv(F.substring(key, 1, 16), 16, -10).cast("long")
+
+
+def _classes(docs: DataFrame, width: int, percent: int, packet_bytes: int, block_bytes: int) -> DataFrame:
+    """Per class of equal texts: id (its number), n_shingles, component_id, and whether it is the ``first`` of its component."""
     n = packets(docs, packet_bytes)
     bits = max(1, min(20, (n // 4).bit_length()))
-    packet = F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    last = (1 << 63) - 1
-    clean = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(last)).alias("id"), F.coalesce("text", F.lit("")).alias("text")
-    )
-    keyed = stored(
-        clean.select("id", F.unhex(F.sha2(lower_az(F.col("text")).cast("binary"), 256)).alias("key")), "text-keys"
+    text = F.coalesce(F.col("text"), F.lit(""))
+    base = docs.select(_node(F.col("text")).alias("id"), text.cast("binary").alias("bytes"))
+    base = base.mapInArrow(_first_of_class, "id long, bytes binary")
+    dealt = base.select(F.pmod("id", F.lit(n)).cast("int").alias("g"), "id", "bytes").groupBy("g")
+    shared = dealt.applyInArrow(_ask(bits, width), NOTE).groupBy("bucket").applyInArrow(
+        lambda t: shared_hashes(t, classes=True), NOTE
     )
-    heads = stored(keyed.groupBy("key").agg(F.min("id").alias("id")), "text-classes")
-    base = clean.select(packet.alias("g"), "id", F.col("text").cast("binary").alias("bytes"))
-    dealt = base.groupBy("g")
-    told = heads.select(packet.alias("g"), F.lit(-1).alias("bucket"), "id", F.lit(None).cast("binary").alias("data"))
-    asked = dealt.cogroup(told.groupBy("g")).applyInArrow(_ask(bits, width), NOTE)
-    shared = asked.groupBy("bucket").applyInArrow(lambda t: shared_hashes(t, classes=True), NOTE)
     profiles = stored(
-        dealt.cogroup(told.unionByName(shared).groupBy("g")).applyInArrow(
-            _profiles(bits, width, percent), "id long, key binary, size long, prefix binary, shared binary"
+        dealt.cogroup(shared.groupBy("g")).applyInArrow(
+            _profiles(bits, width, percent), "id long, size long, prefix binary, shared binary"
         ),
         "shingle-profiles",
     )
@@ -262,19 +283,33 @@ def clusters(
     )
     edges = spread.groupBy("bin", "i", "j").applyInArrow(_grouped_join(percent), "a long, b long")
     roots = components(edges)
-    per_class = heads.join(profiles.select("id", "key", "size"), ["id", "key"]).join(roots, "id", "left").select(
-        "key", F.col("size").alias("n_shingles"), F.coalesce("root", "id").alias("root"), F.col("id").alias("head")
-    )
-    empty = F.col("n_shingles") == 0
-    return keyed.join(per_class, "key").select(
-        F.nullif("id", F.lit(last)).alias("doc_id"),
-        "n_shingles",
-        F.nullif(F.when(empty, F.col("id")).otherwise(F.col("root")), F.lit(last)).alias("component_id"),
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "id"))
+    classes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _node(F.col("text")).alias("id"))
+    classes = classes.groupBy("id").agg(first.alias("f"))
+    per_class = profiles.select("id", F.col("size").alias("n_shingles")).join(roots, "id", "left").join(classes, "id")
+    per_class = stored(per_class.select("id", "n_shingles", "f", F.coalesce("root", "id").alias("root")), "text-classes")
+    firsts = per_class.groupBy("root").agg(F.min("f").alias("of"))
+    return per_class.join(firsts, "root").select(
+        "id", "n_shingles", F.col("of.doc_id").alias("component_id"), (F.col("id") == F.col("of.id")).alias("first")
     )
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs whose document is the first of its component; of equal doc_ids, all or none."""
-    found = clusters(docs.select("doc_id", "text"), **options)
-    heads = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(heads, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+def keep_one(
+    docs: DataFrame,
+    width: int = SHINGLE,
+    percent: int = PERCENT,
+    packet_bytes: int = PACKET_BYTES,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """One row of docs per component, the first by doc_id, nulls last; rows without words are all kept."""
+    found = _classes(docs.select("doc_id", "text"), width, percent, packet_bytes, block_bytes)
+    heads = found.where("first and n_shingles > 0").select(F.col("id").alias("__class"))
+    has_words = F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    plain = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), F.col("text"), F.xxhash64(*plain))
+    rows = docs.where(has_words).groupBy(_node(F.col("text")).alias("__class")).agg(
+        F.min_by(F.struct(*columns), order).alias("__row")
+    )
+    one = rows.join(heads, "__class", "left_semi").select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
+    return one.unionByName(docs.where(~has_words))
