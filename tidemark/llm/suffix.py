@@ -10,6 +10,8 @@ matter are sorted, which loses none:
 2. Packets send the stretches of text around shared anchors (windows that share an anchor and follow
    each other are one stretch) to the bucket of the anchor.  Of equal stretches in a packet only the
    first is sent; those of later documents are repeats already, and a document's own share its fate.
+   Anchors that may have more than ``HOT_WINDOWS`` windows are not dealt as stretches: each of their windows
+   goes to the bucket of a hash of the whole window, once per packet, so equal windows still meet.
 3. A bucket sorts the suffixes that start at its windows, cut at ``length``, ties by document.  In
    that order an entry's nearest entries with a smaller document, before it (PSV) and after it (NSV),
    have the longest earlier match, LPF = max(LCP(PSV), LCP(NSV)).  Only LPF >= length counts, so
@@ -25,6 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +39,7 @@ ship(__name__)
 LENGTH, SEED = 50, 24
 PACKET_BYTES, PIECE_BYTES = 2 << 20, 256 << 10
 STRETCH = 64  # windows; runs longer than two anchors are periodic text, whose stretches repeat
+HOT_WINDOWS, FEW = 1 << 17, 64  # an anchor's windows in a packet are counted above FEW only
 NOTE = "g int, bucket int, id long, data binary"
 
 
@@ -134,10 +138,10 @@ def offsets_of(heads: list[tuple[int, bytes]]) -> list[int]:
     return out
 
 
-def hash_request(g: int, h: np.ndarray, owner: np.ndarray, bits: int) -> list[tuple]:
+def hash_request(g: int, h: np.ndarray, owner: np.ndarray, bits: int, windows: np.ndarray | None = None) -> list[tuple]:
     """Rows (g, bucket, null, data) with the distinct hashes; flags tell which of them have several owners.
 
-    Equal hashes must come with ascending owners.
+    Equal hashes must come with ascending owners.  With ``windows``, the hashes with more than FEW tell their sum.
     """
     order = np.argsort(h, kind="stable")
     h, owner = h[order], owner[order]
@@ -145,6 +149,7 @@ def hash_request(g: int, h: np.ndarray, owner: np.ndarray, bits: int) -> list[tu
     last = np.concatenate([first[1:], [len(h)]]) - 1
     several = owner[first] != owner[last]
     h = h[first]
+    sums = np.add.reduceat(windows[order], first) if windows is not None else np.zeros(len(h), np.int64)
     bucket = (h >> np.uint64(64 - bits)).astype(np.int64)
     low = (h >> np.uint64(32 - bits)).astype(np.uint32)
     cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
@@ -152,6 +157,8 @@ def hash_request(g: int, h: np.ndarray, owner: np.ndarray, bits: int) -> list[tu
     for a, b in zip(cuts[:-1], cuts[1:]):
         # the count goes first; flags behind the hashes
         data = np.array([b - a], np.uint32).tobytes() + low[a:b].tobytes() + np.packbits(several[a:b]).tobytes()
+        many = np.flatnonzero(sums[a:b] > FEW)
+        data += np.stack([many, np.minimum(sums[a:b][many], 0xFFFFFFFF)]).astype(np.uint32).tobytes()
         rows.append((g, int(bucket[a]), None, data))
     return rows
 
@@ -164,43 +171,53 @@ def _ask(bits: int, length: int):
             return note_table([])
         heads = class_heads(docs, notes)
         g, ids = docs["g"][0].as_py(), np.array([i for i, _ in heads])
-        owner, _, _, h = joined(anchor_runs([t for _, t in heads], length))
+        owner, _, count, h = joined(anchor_runs([t for _, t in heads], length))
         if not len(h):
             return note_table([])
-        return note_table(hash_request(g, h, ids[owner], bits))
+        return note_table(hash_request(g, h, ids[owner], bits, count))
 
     return run
 
 
-def shared_hashes(table: pa.Table, classes: bool = False) -> pa.Table:
+def shared_hashes(table: pa.Table, classes: bool = False, hot: int | None = None) -> pa.Table:
     """Bucket: per packet, the hashes that more than one document has.
 
     With ``classes``, a byte per hash follows: the binary logarithm of how many packets have it.
+    With ``hot``, rows of bucket -2 - bucket repeat those that may have more windows than that.
     """
-    lows, flags, sizes = [], [], []
+    lows, flags, sizes, weights = [], [], [], []
     for data in table["data"].to_pylist():
         n = int(np.frombuffer(data, np.uint32, 1)[0])
         lows.append(np.frombuffer(data, np.uint32, n, 4))
         flags.append(np.unpackbits(np.frombuffer(data, np.uint8, -1, 4 + 4 * n), count=n).astype(bool))
         sizes.append(n)
+        weights.append(np.full(n, FEW, np.int64))
+        many = np.frombuffer(data[4 + 4 * n + -(-n // 8) :] or bytes(0), np.uint32).reshape(2, -1)
+        weights[-1][many[0]] = many[1]
+    weight = np.concatenate(weights)
     low, several = np.concatenate(lows), np.concatenate(flags)
     packet = np.repeat(np.arange(len(sizes)), sizes)
     order = np.argsort(low, kind="stable")
-    low, several, packet = low[order], several[order], packet[order]
+    low, several, packet, weight = low[order], several[order], packet[order], weight[order]
     first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
     counts = np.diff(np.concatenate([first, [len(low)]]))
     inside = np.logical_or.reduceat(several, first)
     shared = np.repeat((counts > 1) | inside, counts)
     size = np.repeat(np.log2(counts + inside).astype(np.uint8), counts)
-    low, packet, size = low[shared], packet[shared], size[shared]
+    above = np.repeat(np.add.reduceat(weight, first) > (np.inf if hot is None else hot), counts)
+    low, packet, size, above = low[shared], packet[shared], size[shared], above[shared]
     order = np.argsort(packet, kind="stable")
-    low, packet, size = low[order], packet[order], size[order]
+    low, packet, size, above = low[order], packet[order], size[order], above[order]
     cuts = np.searchsorted(packet, np.arange(len(sizes) + 1))
     gs, bucket = table["g"].to_pylist(), table["bucket"][0].as_py()
     return note_table([
         (gs[k], bucket, None, low[a:b].tobytes() + (size[a:b].tobytes() if classes else b""))
         for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))
         if b > a
+    ] + [
+        (gs[k], -2 - bucket, None, low[a:b][above[a:b]].tobytes())
+        for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))
+        if above[a:b].any()
     ])
 
 
@@ -218,34 +235,55 @@ def _send(bits: int, wide: int, length: int):
             return note_table([])
         g = docs["g"][0].as_py()
         heads = class_heads(docs, notes)
-        known = [
-            (np.uint64(b) << np.uint64(32)) | np.frombuffer(d, np.uint32).astype(np.uint64)
-            for b, d in zip(notes["bucket"].to_pylist(), notes["data"].to_pylist())
-            if d is not None
-        ]
+        known, hot = [], [np.zeros(0, np.uint64)]
+        for b, d in zip(notes["bucket"].to_pylist(), notes["data"].to_pylist()):
+            if d is not None:
+                low = np.frombuffer(d, np.uint32).astype(np.uint64)
+                (known if b >= 0 else hot).append((np.uint64(b if b >= 0 else -2 - b) << np.uint64(32)) | low)
         if not known:
             return note_table([])
-        known = np.sort(np.concatenate(known))
+        known, hot = np.sort(np.concatenate(known)), np.concatenate(hot)
         texts = [t for _, t in heads]
         offset = offsets_of(heads)
         by_bucket: dict[int, tuple[list, list]] = {}
         seen: dict[bytes, tuple[int, int]] = {}
-        local = []
+        whole: dict[bytes, int] = {}
+        local: list[tuple] = []
+
+        def repeated(doc: int, begin: int, end: int) -> None:
+            if local and local[-1][0] == doc and local[-1][1] <= begin <= local[-1][2]:
+                begin, end = local[-1][1], max(end, local.pop()[2])
+            local.append((doc, begin, end))
+
+        def place_window(o: int, s: int, n: int, b: int) -> None:
+            context, doc, s = texts[o][s : s + n + length - 1], heads[o][0], s + offset[o]
+            if b < 0:  # dealt by the whole window
+                b = xxhash.xxh3_64_intdigest(context) >> (64 - wide)
+            found, again = by_bucket.setdefault(b, ([], []))
+            first, place = seen.setdefault(context, (doc, len(found)))
+            if first < doc:
+                repeated(doc, s, s + n + length - 1)
+            elif place < len(found):  # the document repeats itself: what holds there holds here
+                again.append((place, s))
+            else:
+                found.append((doc, s, n, context))
+
         for owner, start, count, h in anchor_runs(texts, length):
             key = h >> np.uint64(32 - bits)
             at = np.minimum(np.searchsorted(known, key), len(known) - 1)
             pick = np.flatnonzero(known[at] == key)
             bucket = (h[pick] >> np.uint64(64 - wide)).astype(np.int64)
+            bucket[np.isin(key[pick], hot)] = -1
             for o, s, n, b in zip(owner[pick].tolist(), start[pick].tolist(), count[pick].tolist(), bucket.tolist()):
-                context, doc, s = texts[o][s : s + n + length - 1], heads[o][0], s + offset[o]
-                found, again = by_bucket.setdefault(b, ([], []))
-                first, place = seen.setdefault(context, (doc, len(found)))
-                if first < doc:
-                    local.append((doc, s, s + n + length - 1))
-                elif place < len(found):  # the document repeats itself: what holds there holds here
-                    again.append((place, s))
-                else:
-                    found.append((doc, s, n, context))
+                if b >= 0:
+                    place_window(o, s, n, b)
+                    continue
+                doc, end = heads[o][0], s + n + length - 1
+                if whole.setdefault(texts[o][s:end], doc) < doc:
+                    repeated(doc, s + offset[o], end + offset[o])
+                    continue
+                for k in range(s, s + n):
+                    place_window(o, k, 1, -1)
         pack = zstandard.ZstdCompressor(level=1).compress
         rows = []
         for b, (found, again) in by_bucket.items():
@@ -413,7 +451,9 @@ def _finish(length: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, packet_bytes: int = PACKET_BYTES) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, packet_bytes: int = PACKET_BYTES, hot_windows: int = HOT_WINDOWS
+) -> DataFrame:
     """Per row of docs: ``doc`` (struct of its columns but the text), n_bytes, n_removed, n_spans, kept (bytes), kept_text.
 
     ``kept_text`` leaves out bytes of characters that were cut in two.
@@ -443,7 +483,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, packet_bytes: int = PA
     )
     dealt = base.groupBy("g")
     asked = dealt.cogroup(heads.groupBy("g")).applyInArrow(_ask(bits, length), NOTE)
-    shared = asked.groupBy("bucket").applyInArrow(lambda t: shared_hashes(t), NOTE)
+    shared = asked.groupBy("bucket").applyInArrow(lambda t: shared_hashes(t, hot=hot_windows), NOTE)
     sent = dealt.cogroup(heads.unionByName(shared).groupBy("g")).applyInArrow(_send(bits, wide, length), NOTE)
     spans = sent.groupBy("bucket").applyInArrow(_sort(length), NOTE)
     done = dealt.cogroup(heads.unionByName(spans).groupBy("g")).applyInArrow(
