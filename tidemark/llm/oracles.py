@@ -177,7 +177,47 @@ VECTOR_SQL = """
     from embeddings e left join least on id = e.vec_id left join counts on a = e.vec_id"""
 
 
+#: Every order is run: a document leaves at the first step whose filter it fails.
+AUDIT_SQL = rf"""
+    with base as (
+      select doc_id, coalesce(lang, '') part, coalesce(text, '') t, {WORDS} w from documents),
+    firsts as (select t, min(doc_id) least_id from base group by t),
+    marks as (
+      select doc_id, coalesce(bool_or(quality = 1), false) good, coalesce(bool_or(toxic = 1), false) toxic
+      from labels group by doc_id),
+    judged as (
+      select part, coalesce(good, false) good, coalesce(toxic, false) toxic,
+        case when len(w) < 200 then 'A' else '' end
+        || case when 100 * len(list_distinct(w)) < 50 * len(w) then 'B' else '' end
+        || case when 100 * length(regexp_replace(b.t, '[^A-Z]', '', 'g')) > 3 * length(b.t) then 'C' else '' end
+        || case when regexp_matches(b.t, '[#$%&*|]') then 'D' else '' end
+        || case when least_id < b.doc_id or (b.doc_id is null and least_id is not null) then 'E' else '' end fails
+      from base b join firsts f on f.t = b.t left join marks m on m.doc_id = b.doc_id),
+    kinds as (select part, fails, good, toxic, count(*) n from judged group by all),
+    letters as (select unnest(['A', 'B', 'C', 'D', 'E']) x),
+    orders as (
+      select a.x || b.x || c.x || d.x || e.x filter_order
+      from letters a, letters b, letters c, letters d, letters e
+      where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    steps as (
+      select filter_order, step, substr(filter_order, step, 1) x, substr(filter_order, 1, step - 1) earlier
+      from orders, (select unnest([1, 2, 3, 4, 5]) step)),
+    seen as (
+      select s.*, k.*, contains(fails, x) failing, translate(fails, earlier, '') = fails here from steps s, kinds k),
+    sums as (
+      select part, filter_order, step, x,
+        coalesce(sum(n) filter (here and not failing), 0)::bigint kept,
+        coalesce(sum(n) filter (here and failing), 0)::bigint removed,
+        coalesce(sum(n) filter (failing and not here), 0)::bigint redundant,
+        coalesce(sum(n) filter (fails = x), 0)::bigint unique_fails,
+        coalesce(sum(n) filter (here and failing and good), 0)::bigint good_lost,
+        coalesce(sum(n) filter (here and failing and toxic), 0)::bigint toxic_lost
+      from seen group by all)
+    select * exclude (x), (sum(removed) over (partition by part, x))::bigint shapley from sums"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_filter_interaction": AUDIT_SQL,
     "op4_curriculum_mix": _mix_sql(),
     "op6_weak_supervision": _rules_sql(),
     "op5_license_scan": _license_sql(),

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import classifier, embed, jaccard, katz, licenses, mixing, pieces, rules, suffix, urls
+from tidemark.llm import (
+    align, audit, classifier, embed, jaccard, katz, licenses, mixing, pieces, rules, suffix, toxicity, urls,
+)
 from tidemark.llm.common import table
 from tidemark.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
 
@@ -116,3 +118,35 @@ def op9_piece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ids",
         F.coalesce(F.col("decoded") == F.col("doc.text"), F.lit(True)).alias("exact"),
     )
+
+
+@query
+def op11_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in every order, per language."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return audit.audit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
+
+
+@query
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers over every text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return align.align(docs, as_text=False, columns=["doc_id"]).select(
+        "doc.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+        F.col("groups").alias("groups_sha256"),
+    )
+
+
+@query
+def op13_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document with its nearest examples; a fifth of the ids is held out of the labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    index = toxicity.fit(docs, table(spark, sf_dir, "labels").where(remainder != 0).select("doc_id", "toxic"))
+    return toxicity.score(docs, index).select(
+        "doc.doc_id",
+        (F.crc32(F.col("doc.doc_id").cast("string").cast("binary")) % 5 == 0).alias("held_out"),
+        "score",
+        "predicted",
+        F.transform("evidence", lambda e: e["doc_id"]).alias("neighbours"),
+    )
