@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples, found exactly in a block-max inverted index.
 
-Terms of a text are its words (runs of letters, lower case) and their first four to six letters, each
-counted once per distinct word.  The space holds the terms that a likelihood-ratio test on the
+Terms of a text are its words (runs of letters, lower case), the first four to six letters of longer
+words, and for those a term each if they begin at least two, four or eight words.  The space holds the terms that a likelihood-ratio test on the
 examples ties to the label; a vector has weight (1 + log tf) * idf per such term and unit length.  Most
 clean texts have no such term, hence no neighbour, and get the rate of examples like that.
 
@@ -35,19 +35,20 @@ from tidemark.session import stored
 ship(__name__)
 
 LETTERS = re.compile(r"[^\W\d_]+")
-PREFIXES, BLOCK, K, NEAR, SLACK = (4, 5, 6), 32, 16, 0.05, 1e-9
+PREFIXES, OFTEN, BLOCK, K, NEAR, SLACK = (4, 5, 6), (2, 4, 8), 32, 16, 0.05, 1e-9
 EVIDENCE = "array<struct<doc_id:long,cosine:double,toxic:int>>"
 
 
 def terms(text: str | None) -> Counter:
-    """Term counts of a text; a prefix has "^" in front and counts the words that begin with it."""
+    """Term counts of a text; a prefix has "^" in front, "*n" says that it begins n words or more."""
     words = Counter(LETTERS.findall((text or "").lower()))
-    out = Counter(words)
+    starts: Counter = Counter()
     for w, n in words.items():
         for size in PREFIXES:
             if len(w) > size:
-                out["^" + w[:size]] += n
-    return out
+                starts["^" + w[:size]] += n
+    often = {f"{t}*{least}": 1 for t, n in starts.items() for least in OFTEN if n >= least}
+    return Counter({**words, **starts, **often})
 
 
 def ratio(toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: float) -> np.ndarray:
@@ -92,13 +93,19 @@ def vector(index: Index, text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Term numbers in order and weights of unit length."""
     known = index.vocabulary
     words = Counter(LETTERS.findall((text or "").lower()))
-    found: Counter = Counter()
+    found: dict[int, int] = {}
+    starts: Counter = Counter()
     for w, n in words.items():
         if w in known:
-            found[known[w]] += n
+            found[known[w]] = n
         for size in PREFIXES:
-            if len(w) > size and (t := known.get("^" + w[:size])) is not None:
-                found[t] += n
+            if len(w) > size and (start := "^" + w[:size]) in known:
+                starts[start] += n
+    for start, n in starts.items():
+        found[known[start]] = n
+        for least in OFTEN:
+            if n >= least and (t := known.get(f"{start}*{least}")) is not None:
+                found[t] = 1
     t = np.array(sorted(found), np.int64)
     w = (1 + np.log(np.array([found[i] for i in t], np.float64))) * index.idf[t]
     return t, w / max(1e-300, math.sqrt(float((w * w).sum())))
@@ -241,7 +248,7 @@ def _project(vocabulary: list[str]):
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, max_terms: int = 2_048, alpha: float = 1e-3
+    docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, max_terms: int = 2_048, alpha: float = 1e-2
 ) -> Index:
     """The index of at most ``max_rows`` labelled texts, half of them per class, the first by hash of their id.
 
