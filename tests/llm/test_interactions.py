@@ -10,6 +10,7 @@ from itertools import permutations
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tidemark.llm import align, audit, toxicity
 
@@ -126,10 +127,12 @@ def spans(names, ids):
 
 def align_by_force(pair, texts):
     """Per text: tokens, groups and links by comparing all intervals; then the counts of pairs."""
+    library = Tokenizer.from_file(align.BYTE_LEVEL)
+    library.encode_special_tokens = True
     rows = []
     for t in texts:
         whole = (" " + (t or "")).encode()
-        a = spans(pair.bytes_a, pair.a.encode(" " + (t or ""), add_special_tokens=False).ids)
+        a = spans(pair.bytes_a, library.encode(" " + (t or ""), add_special_tokens=False).ids)
         b = spans(pair.bytes_b, pair.b.encode(t or ""))
         joined = [b"".join(n[i].as_py() for i, _, _ in x) for n, x in ((pair.bytes_a, a), (pair.bytes_b, b))]
         if not t or joined != [whole, whole]:

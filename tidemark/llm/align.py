@@ -18,16 +18,17 @@ characters that are no white space: there both tokenizers start a new token.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
+import tiktoken
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from tidemark.llm.common import ship, with_doc
 from tidemark.session import workspace
@@ -36,7 +37,11 @@ ship(__name__)
 
 BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
-SEGMENT, SLICE_BYTES, HOT = 1 << 17, 1 << 20, 1 << 20
+#: How byte-level files of this kind cut texts before they merge bytes.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+SEGMENT, SLICE_BYTES, HOT = 1 << 17, 1 << 18, 1 << 20
+#: Rows of one Arrow batch that are worked on at a time.
+ROWS = 128
 PARTIAL_ROWS = 1 << 20
 
 
@@ -50,19 +55,31 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def spellings(byte_level: str) -> dict[bytes, int]:
+    """Bytes and id of every token of a byte-level file, special tokens left out.
+
+    Ids have to follow the order of the merges, so that a smaller id merges first.
+    """
+    file = json.loads(byte_level)
+    model, chars = file["model"], byte_of_char()
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in file["model"]["merges"]]
+    in_order = [model["vocab"][x + y] for x, y in merges]
+    cut = file["pre_tokenizer"]
+    if in_order != sorted(in_order) or file.get("normalizer") or cut["type"] != "ByteLevel" or not cut["use_regex"]:
+        raise ValueError("not a plain byte-level file whose ids follow its merges")
+    special = {t["content"] for t in file["added_tokens"]}
+    return {bytes(chars[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
+
+
 class Pair:
     """Both tokenizers and, by id, the bytes and the decimal name of their tokens."""
 
     def __init__(self, byte_level: str, pieces: bytes):
-        self.a = Tokenizer.from_str(byte_level)
-        self.a.encode_special_tokens = True
+        spelling = spellings(byte_level)
+        self.a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=spelling, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
-        chars = byte_of_char()
-        size_a = max(self.a.get_vocab().values()) + 1
-        tokens = [self.a.id_to_token(i) or "" for i in range(size_a)]
-        self.bytes_a = pa.array(
-            [bytes(chars[c] for c in t) if all(c in chars for c in t) else b"" for t in tokens], pa.binary()
-        )
+        by_id = {i: x for x, i in spelling.items()}
+        self.bytes_a = pa.array([by_id.get(i, b"") for i in range(max(by_id) + 1)], pa.binary())
         self.bytes_b = pa.array([self._piece(i) for i in range(self.b.get_piece_size())], pa.binary())
         self.len_a, self.len_b = (pc.binary_length(x).cast(pa.int64()) for x in (self.bytes_a, self.bytes_b))
         self.name_a, self.name_b = (pa.array(range(len(x)), pa.int32()).cast(pa.string()) for x in (self.bytes_a, self.bytes_b))
@@ -78,7 +95,7 @@ class Pair:
 
     def encode_a(self, segments: list[str]) -> list[list[int]]:
         """The space in front of a text belongs to its first segment."""
-        return [e.ids for e in self.a.encode_batch_fast(segments, add_special_tokens=False)]
+        return [self.a.encode_ordinary(s) for s in segments]
 
     def encode_b(self, segments: list[str], first: list[bool]) -> list[list[int]]:
         """The model puts a space before what it encodes: a first segment comes without its own, any
@@ -232,8 +249,8 @@ def _align(sent: Broadcast, as_text: bool, segment: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = Pair(*sent.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
                 n_a, n_b, n_groups, n_links, groups, codes, times = zip(
                     *align_texts(pair, part["text"].to_pylist(), as_text, segment)
                 )
