@@ -6,7 +6,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark import schemas
 from tidemark.session import workspace
-from tidemark.sources import readers, writers
+from tidemark.sources import keyed, readers, writers
 
 
 def lines(path, *rows):
@@ -66,7 +66,7 @@ def test_overwrite_and_text(spark, path):
 def test_upsert_in_buckets(spark, path):
     def put(rows, **kw):
         df = spark.createDataFrame(rows, "id string, v int, s string")
-        writers.upsert(df, path, ["id"], buckets=4, **kw)
+        writers.upsert(df, path, ["id"], fan_in=2, **kw)
         return {r.id: (r.v, r.s) for r in writers.read_keyed(spark, path).collect()}
 
     assert put([("a", 1, "x"), ("b", 1, "x")]) == {"a": (1, "x"), "b": (1, "x")}
@@ -82,7 +82,7 @@ def test_upsert_in_dated_partitions(spark, path):
     def put(rows):
         df = spark.createDataFrame(rows, "mid string, hr string, dt string")
         writers.upsert(df, path, ["mid"], partition="dt")
-        rows = spark.read.schema("mid string, hr string, dt string").parquet(path).collect()
+        rows = writers.read_keyed(spark, path).collect()
         return sorted((r.dt, r.mid, r.hr) for r in rows)
 
     put([("a", "01", "2021-01-01"), ("b", "02", "2021-01-01"), ("a", "03", "2021-01-02")])
@@ -96,13 +96,13 @@ def test_upsert_in_dated_partitions(spark, path):
 def test_upsert_drops_expired_rows(spark, path):
     for rows in ([("a", 1), ("b", 5)], [("c", 6)]):
         df = spark.createDataFrame(rows, "id string, seen int")
-        writers.upsert(df, path, ["id"], buckets=1, keep=F.col("seen") > 2)
+        writers.upsert(df, path, ["id"], fan_in=1, keep=F.col("seen") > 2)
     assert {r.id for r in writers.read_keyed(spark, path).collect()} == {"b", "c"}
 
 
 def test_replace_by_key(spark, path):
     def put(rows):
-        writers.replace_by_key(spark.createDataFrame(rows, "uid int, mid int"), path, "uid", buckets=3)
+        writers.replace_by_key(spark.createDataFrame(rows, "uid int, mid int"), path, "uid", fan_in=2)
         return sorted((r.uid, r.mid) for r in writers.read_keyed(spark, path).collect())
 
     put([(1, 10), (1, 11), (2, 20)])
@@ -178,3 +178,62 @@ def test_workspace_is_below_the_shared_folder(spark):
 def test_schemas_cover_records():
     assert len(schemas.ORDER_WIDE.names) == 26
     assert schemas.extend(StructType([]), "a:int") == StructType([StructField("a", IntegerType())])
+
+
+# -- keyed tables by versions
+
+
+class Crash(RuntimeError):
+    pass
+
+
+def test_a_crash_before_the_switch_leaves_the_old_version(spark, path, monkeypatch):
+    put = lambda *rows, **kw: writers.upsert(spark.createDataFrame(rows, "id long, v long"), path, ["id"], **kw)
+    read = lambda: {r.id: r.v for r in writers.read_keyed(spark, path).collect()}
+    put((1, 10), (2, 20), batch=("job", 0))
+    publish = keyed.publish
+
+    def crash(*_):
+        raise Crash
+
+    monkeypatch.setattr(keyed, "publish", crash)
+    with pytest.raises(Crash):
+        put((2, 21), (3, 30), batch=("job", 1))
+    assert read() == {1: 10, 2: 20}
+    monkeypatch.setattr(keyed, "publish", publish)
+    for _ in range(2):  # again after the crash, and a replay of what was published
+        put((2, 21), (3, 30), batch=("job", 1))
+    assert read() == {1: 10, 2: 21, 3: 30}
+    assert keyed.manifest(spark, path).batches == {"job": 1} and len(keyed.versions(spark, path)) == 2
+    # another writer had the same version
+    at = keyed.manifest(spark, path)
+    with pytest.raises(FileExistsError):
+        keyed._commit(spark, path, at)
+
+
+def test_written_bytes_follow_the_batch(spark, path):
+    big = spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("s"))
+    writers.upsert(big, path, ["id"])
+    stored = keyed.bytes_below(spark, f"{path}/segments")
+    sizes = []
+    for k in range(20):
+        before = keyed.bytes_below(spark, f"{path}/segments")
+        writers.upsert(big.where(F.col("id") % 20_000 == k).withColumn("s", F.lit(f"new {k}")), path, ["id"])
+        sizes.append(keyed.bytes_below(spark, f"{path}/segments") - before)
+    # merges of small segments included, the large one is not rewritten by the first seven
+    assert max(sizes[:6]) < stored / 100
+    names = {s.name: s.level for s in keyed.manifest(spark, path).segments}
+    assert len(names) <= 9 and max(names.values()) == 1
+    got = writers.read_keyed(spark, path)
+    assert got.count() == 200_000 and got.where("s like 'new%'").count() == 200
+    assert got.where("id = 20003").first().s == "new 3"
+    assert len(keyed.versions(spark, path)) <= 3 + keyed.FAN_IN
+
+
+def test_versions_decide_across_merges(spark, path):
+    """Late changes lose however segments were merged; nulls in keys and columns that clash stay apart."""
+    for k, rows in enumerate([[(1, 5, "a"), (None, 1, "n")], [(1, 3, "late"), (2, 1, "b")], [(1, 5, "same, later")], [(2, 0, "late"), (None, 2, "m")]]):
+        df = spark.createDataFrame(rows, "id long, ver long, _row string")
+        writers.upsert(df, path, ["id"], ["ver"], batch=("j", k), fan_in=2)
+    got = {(r.id, r.ver): r["_row"] for r in writers.read_keyed(spark, path).collect()}
+    assert got == {(1, 5): "same, later", (2, 1): "b", (None, 2): "m"}

@@ -6,6 +6,8 @@ up and returns what the jobs left behind.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,21 +17,28 @@ from ..operators import cdc, dims, online, orders, ratings
 from ..operators.relational import explode_recs
 from ..session import workspace
 from ..sources import readers, writers
-from ..streaming import jobs
+from ..streaming import jobs, state
 from . import views
 from .queries import _word_set_sims, query
 
 ORDERS, DETAILS = "dwd_order_info", "dwd_order_detail"
 
 
-def publish(rows: DataFrame, topic: str, path: str) -> None:
-    writers.write_topic(rows, topic, "parquet", path=path)
+#: Files of one publication where a stream takes one publication per batch.
+FILES = 2
+
 
+def publish(rows: DataFrame, topic: str, path: str, files: int | None = None) -> None:
+    writers.write_topic(rows.repartition(files) if files else rows, topic, "parquet", path=path)
 
-def order_stream(spark: SparkSession, path: str, topic: str = ORDERS) -> DataFrame:
+
+def order_stream(
+    spark: SparkSession, path: str, topic: str = ORDERS, max_files: int | None = None
+) -> DataFrame:
     """Order heads from a topic, with cents and event time."""
     parsed = readers.parse_json(
-        readers.read_topic(spark, topic, "parquet", path=path).select("value"), schemas.ORDER_INFO
+        readers.read_topic(spark, topic, "parquet", path=path, max_files=max_files).select("value"),
+        schemas.ORDER_INFO,
     )
     return orders.with_create_date_hour(parsed.where(F.col("_corrupt").isNull()).drop("_corrupt"))
 
@@ -44,10 +53,13 @@ def _heads(rows: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def detail_stream(spark: SparkSession, path: str, topic: str = DETAILS) -> DataFrame:
+def detail_stream(
+    spark: SparkSession, path: str, topic: str = DETAILS, max_files: int | None = None
+) -> DataFrame:
     """Order lines from a topic, with cents and event time."""
     parsed = readers.parse_json(
-        readers.read_topic(spark, topic, "parquet", path=path).select("value"), schemas.ORDER_DETAIL
+        readers.read_topic(spark, topic, "parquet", path=path, max_files=max_files).select("value"),
+        schemas.ORDER_DETAIL,
     )
     return parsed.where(F.col("_corrupt").isNull()).drop("_corrupt")
 
@@ -208,20 +220,54 @@ def order_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def alloc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Joined streams with the paid amount allocated; lines count in id order."""
+    """Joined streams with the paid amount allocated; lines count in id order.
+
+    The lines come in four publications by id, so those of most orders are spread over several batches.
+    The job stops after two and resumes from its checkpoint.  Orders are years apart and the later lines are
+    as old as the first, hence the long delay of the watermark.
+    """
     path = workspace(spark, "alloc")
-    _publish_orders(spark, sf_dir, f"{path}/topics")
-    sink = jobs.allocate_sink(f"{path}/state", jobs.table_sink(f"{path}/wide"), ["order_detail_id"])
-    jobs.drain(_joined(spark, f"{path}/topics"), sink, f"{path}/checkpoint")
+    topics = f"{path}/topics"
+    publish(writers.as_messages(views.order_records(spark, sf_dir), "id"), ORDERS, topics, FILES)
+    lines = views.detail_records(spark, sf_dir)
+    part = F.shiftright("id", 58)  # ids have 60 bits
+
+    def run() -> None:
+        wide = jobs.join_order_streams(
+            _heads(order_stream(spark, topics, max_files=FILES)),
+            _lines(detail_stream(spark, topics, max_files=FILES)),
+            late="4000 days",
+        )
+        shares = state.allocate(wide, ["order_detail_id"]).select("order_id", "order_detail_id", "share_cents")
+        jobs.drain(shares, jobs.table_sink(f"{path}/wide"), f"{path}/checkpoint")
+
+    for parts in ((0, 1), (2, 3)):
+        for p in parts:
+            publish(writers.as_messages(lines.where(part == p), "order_id"), DETAILS, topics, FILES)
+        run()
     return spark.read.parquet(f"{path}/wide").select("order_id", "order_detail_id", "share_cents")
 
 
+#: The orders of each publication end before the next one's day.
+ORDER_DAYS = ("1993-09-01", "1995-05-01", "1997-01-01")
+
+
 @query
 def first_order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First orders flagged by one state per user, over four publications in time order.
+
+    The job stops after two publications and resumes; every batch reaches the sink twice.
+    """
     path = workspace(spark, "first_order")
-    publish(writers.as_messages(views.order_records(spark, sf_dir), "id"), ORDERS, f"{path}/topics")
-    sink = jobs.first_order_sink(f"{path}/status", jobs.table_sink(f"{path}/orders"))
-    jobs.drain(order_stream(spark, f"{path}/topics"), sink, f"{path}/checkpoint")
+    records = views.order_records(spark, sf_dir)
+    time = F.col("create_time")
+    bounds = [None, *ORDER_DAYS, None]
+    for k, (low, high) in enumerate(zip(bounds, bounds[1:])):
+        part = records.where((time >= low if low else F.lit(True)) & (time < high if high else F.lit(True)))
+        publish(writers.as_messages(part, "id"), ORDERS, f"{path}/topics", FILES)
+        if k % 2:
+            flagged = state.flag_first_orders(order_stream(spark, f"{path}/topics", max_files=FILES))
+            jobs.drain(flagged, jobs.replayed(jobs.table_sink(f"{path}/orders")), f"{path}/checkpoint")
     return spark.read.parquet(f"{path}/orders").select("id", "user_id", "if_first_order")
 
 
@@ -251,11 +297,12 @@ def online_recs_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ads_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole flow in layers: change records, typed facts, wide lines, brand sums.
+    """The whole flow in layers: change records, typed facts, wide lines, brand sums."""
+    return layers(spark, sf_dir, jobs.drain)
 
-    Every batch of every layer runs twice, as after a crash before its checkpoint; the sums stay the
-    same.
-    """
+
+def layers(spark: SparkSession, sf_dir: str, drain: Callable[[DataFrame, jobs.BatchSink, str], None]) -> DataFrame:
+    """Brand sums of the flow; ``drain`` runs the job of every layer, and may crash and repeat it."""
     path = workspace(spark, "layers")
     topics = f"{path}/topics"
     changes = views.change_messages(views.order_records(spark, sf_dir), "order_info").unionByName(
@@ -265,7 +312,7 @@ def ads_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # ODS: route change records by table
     routed = cdc.route_cdc_maxwell(readers.read_topic(spark, "db_changes", "parquet", path=topics))
-    jobs.drain(routed, jobs.replayed(jobs.topic_sink(topics, "ods")), f"{path}/checkpoints/ods")
+    drain(routed, jobs.topic_sink(topics, "ods"), f"{path}/checkpoints/ods")
 
     # DWD: orders with flag, province and user; lines with their product
     def emit_orders(flagged: DataFrame, batch_id: int) -> None:
@@ -275,9 +322,9 @@ def ads_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         messages = writers.as_messages(rows, "id").withColumn("topic", F.lit(ORDERS))
         writers.write_topic_once(messages, batch_id, topics, "dwd_orders")
 
-    jobs.drain(
+    drain(
         order_stream(spark, topics, "ods_order_info"),
-        jobs.replayed(jobs.first_order_sink(f"{path}/status", emit_orders)),
+        jobs.first_order_sink(f"{path}/status", emit_orders),
         f"{path}/checkpoints/dwd_orders",
     )
 
@@ -291,7 +338,7 @@ def ads_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         writers.write_topic_once(messages.withColumn("topic", F.lit(DETAILS)), batch_id, topics, "dwd_details")
 
     details = detail_stream(spark, topics, "ods_order_detail")
-    jobs.drain(details, jobs.replayed(emit_details), f"{path}/checkpoints/dwd_details")
+    drain(details, emit_details, f"{path}/checkpoints/dwd_details")
 
     # DWS: join the two streams and allocate the paid amount
     enriched = schemas.extend(schemas.ORDER_DETAIL, "tm_id:string tm_name:string")
@@ -302,12 +349,12 @@ def ads_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         _heads(order_stream(spark, topics, ORDERS)), _lines(lines, "tm_id", "tm_name")
     )
     sink = jobs.allocate_sink(f"{path}/state", jobs.table_sink(f"{path}/wide"), ["order_detail_id"])
-    jobs.drain(wide, jobs.replayed(sink), f"{path}/checkpoints/dws")
+    drain(wide, sink, f"{path}/checkpoints/dws")
 
     # ADS: brand sums per batch, written once
     stored = spark.read.parquet(f"{path}/wide")
     flow = spark.readStream.schema(stored.schema).parquet(f"{path}/wide")
     stat = jobs.stat_sink(f"{path}/stat", ["tm_id", "tm_name"])
-    jobs.drain(flow, jobs.replayed(stat), f"{path}/checkpoints/ads")
+    drain(flow, stat, f"{path}/checkpoints/ads")
     sums = spark.read.parquet(f"{path}/stat").groupBy("tm_id", "tm_name")
     return sums.agg(F.sum("amount_cents").alias("amount_cents"))

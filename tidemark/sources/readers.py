@@ -89,8 +89,8 @@ def read_topic(
     """Stream of (key, value) text from a topic.
 
     ``kafka`` reads a broker; ``starting`` is latest, earliest or a JSON of offsets, and only
-    counts until the query's checkpoint exists.  ``parquet`` reads ``path``/topic=<topic>, as
-    ``write_topic`` leaves it.
+    counts until the query's checkpoint exists.  ``parquet`` reads the topic's folders below ``path``, as
+    ``write_topic`` and ``write_topic_once`` leave them, at most ``max_files`` files per batch, oldest first.
     """
     if fmt == "kafka":
         reader = (
@@ -107,7 +107,7 @@ def read_topic(
     reader = spark.readStream.schema(TOPIC_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(f"{path}/topic={topic}")
+    return reader.parquet(f"{path}/{{topic={topic},batch=*/topic={topic}}}")
 
 
 def read_query(

@@ -1,20 +1,16 @@
-"""Sinks.  A keyed rewrite replaces the partitions or buckets its batch falls in, as a whole."""
+"""Sinks."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import partial
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from . import keyed
 from .readers import read_small_files
 
-BUCKETS = 64
-_BUCKET = "_bucket"
-
 
 def write_overwrite(df: DataFrame, name: str | None = None, path: str | None = None) -> None:
     """Replace a result table or folder."""
@@ -39,63 +35,9 @@ def land_raw(df: DataFrame, path: str, dt_col: str = "dt", value: str = "value")
 # ---- keyed tables -----------------------------------------------------------------------------
 
 
-def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as err:
-        if err.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-def read_keyed(spark: SparkSession, path: str) -> DataFrame:
-    """A table that ``upsert`` or ``replace_by_key`` wrote."""
-    return spark.read.parquet(path).drop(_BUCKET)
-
-
-def _bucketed(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
-    return df.withColumn(_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-
-
-def _rewrite(
-    df: DataFrame, path: str, slot: str, combine: Callable[[DataFrame, DataFrame], DataFrame]
-) -> None:
-    """Combine a batch with the stored rows of the slots it touches and replace those slots.
-
-    The driver only sees the list of touched slots (days or bucket numbers).  New files are staged
-    and swapped in when the job commits, so the slots can be read while they are replaced.
-    """
-    spark = df.sparkSession
-    df = df.persist()
-    try:
-        stored = _stored(spark, path, df.schema)
-        if stored is None:
-            stored = spark.createDataFrame([], df.schema)
-        else:
-            slots = [r[0] for r in df.select(slot).distinct().collect()]
-            stored = stored.where(F.col(slot).isin(slots))
-        merged = combine(stored.select(*df.columns), df)
-        (
-            merged.hint("rebalance", slot)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(slot)
-            .parquet(path)
-        )
-    finally:
-        df.unpersist()
-
-
-def _newest(
-    keys: list[str], version: list[str], keep: Column | None, old: DataFrame, new: DataFrame
-) -> DataFrame:
-    """Newest row per key; at equal version a batch row beats a stored one."""
-    if keep is not None:
-        old = old.where(keep)
-    rows = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
-    rest = [c for c in new.columns if c not in keys and c not in version]
-    best = rows.groupBy(*keys).agg(F.max(F.struct(*version, "_new", *rest)).alias("_row"))
-    return best.select(*keys, "_row.*").select(*new.columns)
+def read_keyed(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """A table that ``upsert`` or ``replace_by_key`` wrote; with a schema, empty before its first write."""
+    return keyed.read(spark, path, schema)
 
 
 def upsert(
@@ -104,73 +46,62 @@ def upsert(
     keys: list[str],
     version: list[str] | None = None,
     partition: str | None = None,
-    buckets: int = BUCKETS,
     keep: Column | None = None,
+    batch: tuple[str, int] | None = None,
+    fan_in: int = keyed.FAN_IN,
 ) -> None:
     """Insert or replace rows by key; repeating a write changes nothing.
 
-    With ``partition`` (such as dt) a key is unique per partition, like in a dated index; without
-    it rows are laid out in hash buckets of the key.  ``version`` columns decide between rows of
-    the same key; without them the batch wins.  Stored rows that fail ``keep`` (expired state) are
-    dropped from the slots that are rewritten.
+    With ``partition`` (such as dt) a key is unique per partition, like in a dated index.  ``version``
+    columns decide between rows of the same key; without them the later write wins.  Stored rows that
+    fail ``keep`` (expired state) are dropped when segments are merged.  A ``batch`` (job, number) is
+    written once.
     """
-    slot = partition or _BUCKET
-    rows = df if partition else _bucketed(df, keys, buckets)
-    _rewrite(rows, path, slot, partial(_newest, [*keys, slot], version or [], keep))
-
+    all_keys = [*keys, partition] if partition else keys
+    keyed.write(df, path, all_keys, version, False, partition, batch, keep, fan_in)
 
-def replace_by_key(df: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> None:
-    """Delete all stored rows of the batch's keys, then insert the batch's rows."""
 
-    def combine(old: DataFrame, new: DataFrame) -> DataFrame:
-        return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
-
-    _rewrite(_bucketed(df, [key], buckets), path, _BUCKET, combine)
+def replace_by_key(
+    df: DataFrame, path: str, key: str, batch: tuple[str, int] | None = None, fan_in: int = keyed.FAN_IN
+) -> None:
+    """Replace all stored rows of the batch's keys by the batch's rows."""
+    keyed.write(df, path, [key], None, True, None, batch, None, fan_in)
 
 
 # ---- batches, topics, stores ------------------------------------------------------------------
 
 
-def _once(spark: SparkSession, path: str, job: str, batch_id: int, write: Callable[[], None]) -> None:
-    """Run ``write`` unless this job has recorded the batch as done.
+def _once(spark: SparkSession, path: str, name: str, write: Callable[[str], None]) -> bool:
+    """Publish a batch as the folder ``path``/``name``, unless it is there; says whether it wrote.
 
-    The record stands beside the data.  A replay of a recorded batch leaves the files alone, so a
-    stream that follows them sees nothing new; one that crashed before the record is written again.
+    ``write`` fills a staged folder, which readers and file streams do not see; the rename that
+    publishes it is the record of the batch as well.  So no crash can leave data without its record: before
+    the rename there is neither, after it a replay writes nothing and the next layer sees no new files.
     """
-    mark = f"{path}.batches/{job}/{batch_id}"
-    if _stored(spark, mark, T.StructType([T.StructField("id", T.LongType())])) is None:
-        write()
-        spark.range(1).write.mode("overwrite").parquet(mark)
+    if keyed.exists(spark, f"{path}/{name}"):
+        return False
+    staged = f"{path}/_staging/{uuid.uuid4().hex}"
+    write(staged)
+    keyed.publish(spark, staged, f"{path}/{name}")
+    return True
 
 
-def write_topic_once(messages: DataFrame, batch_id: int, path: str, job: str = "batch") -> None:
+def write_topic_once(messages: DataFrame, batch_id: int, path: str, job: str = "batch") -> bool:
     """Folder form of ``write_topic`` for a micro-batch with a ``topic`` column, written once per batch.
 
     Jobs that share a path need names of their own.
     """
     rows = messages if "key" in messages.columns else messages.withColumn("key", F.lit(None).cast("string"))
-    out = rows.select("key", "value", "topic", F.lit(batch_id).alias("batch_id"))
-
-    def write() -> None:
-        (
-            out.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("topic", "batch_id")
-            .parquet(path)
-        )
-
-    _once(messages.sparkSession, path, job, batch_id, write)
+    out = rows.select("key", "value", "topic")
+    return _once(
+        messages.sparkSession, path, f"batch={job}-{batch_id}",
+        lambda staged: out.write.partitionBy("topic").parquet(staged),
+    )
 
 
-def write_batch_once(df: DataFrame, batch_id: int, path: str, job: str = "batch") -> None:
+def write_batch_once(df: DataFrame, batch_id: int, path: str) -> bool:
     """Write a micro-batch's result under its own batch folder, once per batch."""
-
-    def write() -> None:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-            f"{path}/batch_id={batch_id}"
-        )
-
-    _once(df.sparkSession, path, job, batch_id, write)
+    return _once(df.sparkSession, path, f"batch_id={batch_id}", lambda staged: df.write.parquet(staged))
 
 
 def append_jdbc(

@@ -2,8 +2,9 @@
 
 Stateless steps and deduplication run as streaming plans.  Steps that look things up or keep
 amounts run the batch operators on each micro-batch, so that they get the same skew handling,
-and keep their state in bucketed tables stamped with the batch number: a replayed batch sees the
-state as it was before its first run.
+and keep their state in keyed tables stamped with the batch number: a replayed batch sees the
+state as it was before its first run.  First orders and allocation also run as plans of their own with
+one small state per user or order in the state store, whose cost follows the batch.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -76,14 +76,25 @@ def batch_work(batch: DataFrame) -> Iterator[DataFrame | None]:
         conf.set("spark.sql.adaptive.enabled", before)
 
 
+def _complete(write: Callable[[DataFrame, int], bool]) -> BatchSink:
+    """A sink that also works through a batch that was published before a crash: a plan with states
+    has to store those of the batch, which it did not get to."""
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        if not write(df, batch_id):
+            df.write.format("noop").mode("overwrite").save()
+
+    return run
+
+
 def table_sink(path: str) -> BatchSink:
     """Append rows, each batch in its own folder and once."""
-    return lambda df, batch_id: writers.write_batch_once(df, batch_id, path)
+    return _complete(lambda df, batch_id: writers.write_batch_once(df, batch_id, path))
 
 
 def topic_sink(path: str, job: str = "batch") -> BatchSink:
     """Publish (topic, value) rows to topic folders; jobs with one path need different names."""
-    return lambda df, batch_id: writers.write_topic_once(df, batch_id, path, job)
+    return _complete(lambda df, batch_id: writers.write_topic_once(df, batch_id, path, job))
 
 
 def replayed(sink: BatchSink) -> BatchSink:
@@ -96,16 +107,6 @@ def replayed(sink: BatchSink) -> BatchSink:
     return run
 
 
-def _state(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A state table, empty before its first batch."""
-    try:
-        return writers.read_keyed(spark, path)
-    except AnalysisException as err:
-        if err.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 # ---- daily actives --------------------------------------------------------------------------------
 
 
@@ -130,7 +131,6 @@ def dimension_sink(
     keys: list[str],
     version: list[str],
     prepare: Callable[[DataFrame], DataFrame] | None = None,
-    buckets: int = 8,
 ) -> BatchSink:
     """Upsert a dimension by key.  ``version`` columns decide between changes to the same key, in a
     batch and across batches.  ``prepare`` may look other tables up; it runs per batch, so it reads
@@ -140,7 +140,7 @@ def dimension_sink(
         with batch_work(batch) as batch:
             if batch is not None:
                 rows = prepare(batch) if prepare else batch
-                writers.upsert(rows, path, keys, version, buckets=buckets)
+                writers.upsert(rows, path, keys, version, batch=("dimension", batch_id))
 
     return run
 
@@ -158,7 +158,7 @@ def first_order_sink(status_path: str, emit: BatchSink) -> BatchSink:
         with batch_work(batch) as batch:
             if batch is None:
                 return
-            status = _state(batch.sparkSession, status_path, _STATUS)
+            status = writers.read_keyed(batch.sparkSession, status_path, _STATUS)
             known = status.where(F.col("batch_id") < batch_id).select(
                 "user_id", F.lit("1").alias("if_consumed")
             )
@@ -167,7 +167,7 @@ def first_order_sink(status_path: str, emit: BatchSink) -> BatchSink:
                 "user_id", F.col("id").alias("first_order_id"),
                 F.lit(batch_id).cast("bigint").alias("batch_id"),
             )
-            writers.upsert(fresh, status_path, ["user_id"])
+            writers.upsert(fresh, status_path, ["user_id"], batch=("first_order", batch_id))
 
     return run
 
@@ -232,7 +232,7 @@ def allocate_sink(
             if batch is None:
                 return
             spark = batch.sparkSession
-            state = _state(spark, state_path, _RUNNING)
+            state = writers.read_keyed(spark, state_path, _RUNNING)
             replay = F.col("batch_id") == batch_id
 
             def before(name: str):
@@ -276,7 +276,7 @@ def allocate_sink(
             )
             newest = rows.agg(F.max("seen_at")).scalar()
             writers.upsert(
-                rows, state_path, ["order_id"],
+                rows, state_path, ["order_id"], batch=("allocate", batch_id),
                 keep=(F.col("seen_at") + F.expr(f"interval {ttl}") >= newest) | newest.isNull(),
             )
             done.unpersist()
@@ -323,7 +323,7 @@ def online_recs_sink(
             lists = batch.select("uid").distinct().join(collect_recs(scored, "uid", n), "uid", "left")
             empty = F.array().cast("array<struct<mid:int,score:double>>")
             writers.replace_by_key(
-                lists.withColumn("recs", F.coalesce("recs", empty)), path, "uid"
+                lists.withColumn("recs", F.coalesce("recs", empty)), path, "uid", batch=("online", batch_id)
             )
 
     return run
