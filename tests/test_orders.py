@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from conftest import SF
@@ -66,8 +67,7 @@ def test_allocation_with_known_hot_orders(spark):
     """Both sides take the parts from one table, whatever else an order's lines were counted as."""
     heads = spark.createDataFrame([(1, 600, 500)], HEAD)
     lines = spark.createDataFrame([(1, 1, 100), (1, 2, 200), (1, 3, 300)], WIDE)
-    stats = lines.groupBy("order_id").agg(*skew.key_stats("order_detail_id"))
-    hot = skew.hot_of(stats, "order_id", 2)
+    hot = skew.hot_keys(lines, "order_id", "order_detail_id", 2)
     for split in (True, False):
         wide = orders.order_wide(heads, lines, hot=hot if split else None, split=split)
         done = orders.allocate_paid_amount(wide, ["order_detail_id"], split=split)
@@ -75,12 +75,44 @@ def test_allocation_with_known_hot_orders(spark):
         assert [r.share_cents for r in rows] == [83, 167, 250]
 
 
-def test_one_day_reads_lines_once_besides_the_totals(spark):
-    info = views.on_days(views.order_info(spark, SF), "1995-01-02")
-    plan = views.allocated(spark, SF, info)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("l_extendedprice") > 0
-    scans = views.allocated(spark, SF, info)._jdf.queryExecution().executedPlan().toString().count("FileScan parquet [l_orderkey")
-    assert scans <= 1 and "LeftSemi" in plan
+def final_plan(df):
+    """The plan that ran, after adaptive planning."""
+    df.write.format("noop").mode("overwrite").save()
+    query = df._jdf.queryExecution()
+    df.collect()
+    return query.executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("one_day", [False, True])
+def test_lines_are_shuffled_once(spark, one_day):
+    """One scan of the lines for the result and one of their order ids for the sketch; one shuffle."""
+    info = views.order_info(spark, SF)
+    some = views.on_days(info, info.agg(F.min("create_date")).first()[0]) if one_day else None
+    plan = final_plan(views.allocated(spark, SF, some))
+    scans = re.findall(r"FileScan parquet \[([^\]]*l_orderkey[^\]]*)\]", plan)
+    assert sum("l_extendedprice" in s for s in scans) == 1
+    # what is left reads order ids only
+    assert all("l_extendedprice" in s or s.count(",") == 0 for s in scans)
+    shuffles = [line for line in plan.splitlines() if re.search(r"\bExchange hashpartitioning\(l_orderkey|\bExchange hashpartitioning\(order_id", line)]
+    assert len(shuffles) <= 2  # the lines and the orders
+
+
+def test_slices_follow_the_count_of_rows(spark):
+    """Ids that crowd in a small part of their range, ties, and a key that is not hot."""
+    rng = random.Random(9)
+    ids = [int(10 ** rng.uniform(0, 9)) for _ in range(3000)] + [5] * 180 + list(range(10**12, 10**12 + 1000))
+    rows = [(1, i, 1) for i in ids] + [(2, i, 1) for i in range(90)] + [(None, 1, 1)] * 400
+    df = spark.createDataFrame(rows, "k long, i long, v long")
+    hot = skew.hot_keys(df, "k", "i", 200)
+    assert {r.k for r in hot.collect()} == {1}
+    parts = skew.assign_parts(df, hot, "k", "i")
+    sizes = {r.part: r["count"] for r in parts.where("k = 1").groupBy("part").count().collect()}
+    assert sum(sizes.values()) == len(ids) and len(sizes) >= 18 and max(sizes.values()) <= 400
+    ranges = parts.where("k = 1").groupBy("part").agg(F.min("i").alias("lo"), F.max("i").alias("hi")).orderBy("part").collect()
+    assert all(a.hi < b.lo for a, b in zip(ranges, ranges[1:]))  # ties stay together, slices in order
+    assert parts.where("k is null or k = 2").agg(F.max("part")).first()[0] == 0
+    whole = skew.whole_sums(parts, "k", ["i"], {"n": F.col("v")})
+    assert {(r.k, r.n) for r in whole.collect()} == {(1, len(ids)), (2, 90), (None, 400)}
 
 
 def test_share_of_huge_amounts(spark):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .skew import MAX_PART_ROWS, assign_parts, fan_out, hot_keys, running_sums
+from .skew import MAX_PART_ROWS, assign_parts, fan_out, hot_keys, running_sums, whole_sums
 
 
 def with_create_date_hour(orders: DataFrame) -> DataFrame:
@@ -67,7 +67,7 @@ def order_wide(
     Lines meet their order on (order_id, part), so an order with very many lines is spread over
     several tasks; ``part`` and ``n_parts`` stay in the result for the allocation.  ``line_id``
     is the numeric line order.  Both sides take the parts of an order from one table of hot orders:
-    ``hot``, from ``skew.hot_of``, or a pass over the lines.  ``split=False`` says that there is none.
+    ``hot``, from ``skew.hot_keys``, by default of the lines.  ``split=False`` says that there is none.
     """
     if not split:
         whole = details.withColumns({"part": F.lit(0), "n_parts": F.lit(None).cast("int")})
@@ -91,6 +91,11 @@ def proportional_share(final: Column, detail: Column, original: Column) -> Colum
     return F.coalesce(narrow, wide, F.lit(0).cast("bigint"))
 
 
+def with_totals(wide: DataFrame, line_order: list[str], split: bool = True) -> DataFrame:
+    """``original_cents`` as the sum of the order's lines, without another shuffle of the lines."""
+    return whole_sums(wide, "order_id", line_order, {"original_cents": F.col("detail_cents")}, split)
+
+
 CARRY = ["carry_detail", "carry_given", "carry_lines"]
 
 

@@ -1,12 +1,15 @@
 """Spreading one oversized key over tasks.
 
-Slices follow the range of an order column, so rows that crowd in a part of the range share a
-slice: the row limit holds on average over the range, not for every slice.
-
-A key with more than ``max_rows`` rows is *hot*.  A table of R rows has at most R / max_rows hot
-keys, so the table of hot keys (a key and three numbers each) stays small enough to broadcast:
-with the default of one million rows, 10^12 facts can have 10^6 hot keys, about 32 MB.  On data
-without hot keys it is empty and the adaptive planner drops the branches that read it.
+A key with more than ``max_rows`` rows is *hot*.  A heavy-hitter sketch of the key column, which map
+tasks build and send as a whole, names the candidates without a shuffle by key; only their rows are
+counted, and cut into slices by a quantile sketch of the order column, so slices follow the count of
+rows and rows of equal order stay together.  The sketch may miss a key with less than 3.5 / 100 000 of
+all rows, which is no more than an ordinary task has on a table where that is a million.
+
+All of this is part of one plan.  On data without hot keys the table of hot keys turns out empty when it
+is built, and the adaptive planner drops the branches that read it.  It has at most ``MAX_KEYS`` rows of
+a key and slice bounds, fewer than rows / max_rows bounds in all (8 bytes each, 10^12 rows: 8 MB), which
+is why it may be broadcast.
 """
 
 from __future__ import annotations
@@ -15,41 +18,53 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_PART_ROWS = 1_000_000
+MAX_KEYS, TRACKED = 10_000, 100_000
+#: Slices of one key at most: a key with more than a thousand times max_rows has larger ones.  Bounds are
+#: off by 1 / ACCURACY of the key's rows, less than a slice.
+MAX_SLICES, ACCURACY = 1_000, 20_000
 
 
-def key_stats(order_col: str) -> list[Column]:
-    """Aggregates that ``hot_of`` needs of a key: its rows and the range of their order column."""
-    return [
-        F.count(F.lit(1)).alias("n_rows"),
-        F.min(order_col).cast("double").alias("lo"),
-        F.max(order_col).cast("double").alias("hi"),
-    ]
-
-
-def hot_of(stats: DataFrame, key: str, max_rows: int = MAX_PART_ROWS) -> DataFrame:
-    """Keys with more than max_rows rows, the range of their order column and a part count."""
-    return stats.where(F.col("n_rows") > max_rows).select(
-        key, "lo", "hi", F.ceil(F.col("n_rows") / F.lit(max_rows)).cast("int").alias("n_parts")
-    )
+def heavy_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = MAX_KEYS, tracked: int = TRACKED) -> DataFrame:
+    """(key): candidates for keys with more than min_rows rows, from a sketch of the key column."""
+    top = f"approx_top_k(`{key}`, {max_keys}, {tracked})"
+    found = df.where(F.col(key).isNotNull()).agg(F.expr(top).alias("top")).select(F.inline("top"))
+    return found.where(F.col("count") > min_rows).select(F.col("item").alias(key))
 
 
 def hot_keys(df: DataFrame, key: str, order_col: str, max_rows: int = MAX_PART_ROWS) -> DataFrame:
-    """``hot_of`` the rows of df."""
-    return hot_of(df.groupBy(key).agg(*key_stats(order_col)), key, max_rows)
+    """(key, n_parts, bounds): keys with more than max_rows rows and the last order value of every slice
+    but the last; a null order is in the first."""
+    mine = df.select(key, order_col).join(F.broadcast(heavy_keys(df, key, max_rows)), key)
+    slices = F.least(F.ceil(F.count(F.lit(1)) / F.lit(max_rows)).cast("int"), F.lit(MAX_SLICES))
+    # one text literal plans faster than a thousand numbers
+    grid = F.split(F.lit(",".join(str(i / MAX_SLICES) for i in range(1, MAX_SLICES))), ",").cast("array<double>")
+    stats = mine.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        slices.alias("_slices"),
+        F.percentile_approx(F.col(order_col).cast("double"), grid, ACCURACY).alias("_grid"),
+    )
+    # every slice ends at the grid point nearest to its share; equal bounds are one
+    bounds = F.array_distinct(
+        F.transform(
+            F.sequence(F.lit(1), F.col("_slices") - 1),
+            lambda i: F.get("_grid", F.round(i * MAX_SLICES / F.col("_slices")).cast("int") - 1),
+        )
+    )
+    hot = stats.where(F.col("n_rows") > max_rows).select(key, bounds.alias("bounds"))
+    return hot.select(key, (F.size("bounds") + 1).alias("n_parts"), "bounds")
 
 
 def assign_parts(df: DataFrame, hot: DataFrame, key: str, order_col: str) -> DataFrame:
-    """Add ``part``: 0, or for hot keys the slice of the order column's range the row falls in.
+    """Add ``part``: 0, or for hot keys the number of slices that end below the row's order.
 
     ``part`` never decreases along the order column.  ``n_parts`` stays null for other keys.
     """
     x = F.col(order_col).cast("double")
-    share = (x - F.col("lo")) / (F.col("hi") - F.col("lo") + 1.0)
-    part = F.least(F.floor(share * F.col("n_parts")).cast("int"), F.col("n_parts") - 1)
+    part = F.when(F.col("n_parts").isNotNull(), F.size(F.filter("bounds", lambda b: b < x)))
     return (
         df.join(F.broadcast(hot), key, "left")
-        .withColumn("part", F.coalesce(part, F.lit(0)))
-        .drop("lo", "hi")
+        .withColumn("part", F.greatest(F.coalesce(part, F.lit(0)), F.lit(0)))
+        .drop("bounds")
     )
 
 
@@ -63,6 +78,37 @@ def _repeat(df: DataFrame, n_parts: Column) -> DataFrame:
     return df.withColumn("part", F.explode(F.sequence(F.lit(0), n_parts - 1)))
 
 
+def _part_totals(df: DataFrame, key: str, sums: dict[str, Column]) -> DataFrame:
+    """Sums per slice of the hot keys, named with an underscore in front."""
+    return (
+        df.where(F.col("n_parts") > 1)
+        .groupBy(key, "part")
+        .agg(*[F.sum(col).alias(f"_{name}") for name, col in sums.items()])
+    )
+
+
+def whole_sums(
+    df: DataFrame, key: str, order_by: list[str | Column], sums: dict[str, Column], split: bool = True
+) -> DataFrame:
+    """Sums over all rows of a key, on every row.
+
+    The window has the order of ``running_sums``, so that one sort serves both.  ``split=False`` says that
+    no key is hot.
+    """
+    everything = Window.partitionBy(key, "part").orderBy(*order_by).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    local = df.withColumns({name: F.sum(col).over(everything) for name, col in sums.items()})
+    if not split:
+        return local
+    totals = _part_totals(df, key, sums).groupBy(key).agg(*[F.sum(f"_{n}").alias(f"_{n}") for n in sums])
+    return (
+        local.join(F.broadcast(totals), key, "left")
+        .withColumns({name: F.coalesce(F.col(f"_{name}"), F.col(name)) for name in sums})
+        .drop(*[f"_{name}" for name in sums])
+    )
+
+
 def running_sums(
     df: DataFrame, key: str, order_by: list[str | Column], sums: dict[str, Column], split: bool = True
 ) -> DataFrame:
@@ -80,13 +126,8 @@ def running_sums(
     )
     if not split:
         return local
-    totals = (
-        df.where(F.col("n_parts") > 1)
-        .groupBy(key, "part")
-        .agg(*[F.sum(col).alias(f"_{name}") for name, col in sums.items()])
-    )
     earlier = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
+    offsets = _part_totals(df, key, sums).select(
         key, "part", *[F.sum(f"_{name}").over(earlier).alias(f"_{name}") for name in sums]
     )
     return (

@@ -210,14 +210,13 @@ def realtime_hour_dau(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def realtime_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals of a log day and of an order day."""
-    log = _logs(spark, sf_dir)
-    info = views.on_days(views.order_info(spark, sf_dir), LOG_DAY, ORDER_DAY)
-    lines = views.allocated(spark, sf_dir, info)
-    per_day = [
-        serving.realtime_total(log, dau.daily_first(log), lines, dt).withColumn("dt", F.lit(dt))
-        for dt in (LOG_DAY, ORDER_DAY)
-    ]
+    """Totals of a log day and of an order day; the scans stop at the day."""
+    per_day = []
+    for dt, after in ((LOG_DAY, LOG_DAY_AFTER), (ORDER_DAY, ORDER_DAY_AFTER)):
+        known, day = _logs(spark, sf_dir, end=after), _logs(spark, sf_dir, dt, after)
+        lines = views.allocated(spark, sf_dir, views.order_info(spark, sf_dir, dt, after))
+        total = serving.realtime_total(known, dau.daily_first(day), lines, dt)
+        per_day.append(total.withColumn("dt", F.lit(dt)))
     return reduce(DataFrame.unionByName, per_day)
 
 

@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 from ..functions.scalar import to_cents
 from ..operators import dims, orders, similarity, skew
 from ..operators.relational import keep_last
-from ..session import stored
 
 AS_OF = "2024-01-01"
 LINE_ORDER = [
@@ -120,10 +119,8 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_totals(details: DataFrame) -> DataFrame:
-    """Sum of each order's lines, their number and the range of their ids."""
-    return details.groupBy("order_id").agg(
-        F.sum("detail_cents").alias("original_cents"), *skew.key_stats("order_detail_id")
-    )
+    """Sum of each order's lines."""
+    return details.groupBy("order_id").agg(F.sum("detail_cents").alias("original_cents"))
 
 
 def allocated(
@@ -131,21 +128,17 @@ def allocated(
 ) -> DataFrame:
     """Order lines with their order and the allocated amount.
 
-    ``order_rows`` narrows the orders first (a day, say), and with them the lines.  One aggregate per
-    order, stored once, gives its total and tells whether it is hot; without a hot order the
-    branches that split one are left out.  ``names`` adds the product columns, after the allocation.
+    ``order_rows`` narrows the orders first (a day, say), and with them the lines.  The lines are shuffled
+    once, to their order; totals and running sums are windows over that.  Orders that a sketch of the
+    order ids finds hot take more than one task.  ``names`` adds the product columns, after the allocation.
     """
     info = order_info(spark, sf_dir) if order_rows is None else order_rows
     info = info.withColumnRenamed("id", "order_id")
     lines = order_detail(spark, sf_dir)
     if order_rows is not None:
         lines = lines.join(info.select("order_id"), "order_id", "left_semi")
-    stats = stored(order_totals(lines), "order-stats")
-    hot = skew.hot_of(stats, "order_id")
-    split = not hot.isEmpty()
-    head = info.join(stats.select("order_id", "original_cents"), "order_id")
-    wide = orders.order_wide(head, lines, hot=hot if split else None, split=split)
-    done = orders.allocate_paid_amount(wide, LINE_ORDER, split=split).withColumn("dt", F.col("create_date"))
+    wide = orders.with_totals(orders.order_wide(info, lines), LINE_ORDER)
+    done = orders.allocate_paid_amount(wide, LINE_ORDER).withColumn("dt", F.col("create_date"))
     if names:
         product = dims.denormalize_sku(
             sku(spark, sf_dir), category3(spark, sf_dir), trademark(spark, sf_dir), spu(spark, sf_dir)

@@ -103,7 +103,8 @@ def share_out(
 
 
 def _integers(values: pd.Series) -> list:
-    return [None if pd.isna(v) else int(v) for v in values]
+    # a missing value is None, or not equal to itself
+    return [None if v is None or v != v else int(v) for v in values.tolist()]
 
 
 def allocate(wide: DataFrame, line_order: list[str], ttl_seconds: int = 600) -> DataFrame:
@@ -121,8 +122,11 @@ def allocate(wide: DataFrame, line_order: list[str], ttl_seconds: int = 600) ->
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(frames)).sort_values(line_order).reset_index(drop=True)
-        times = rows["detail_time"].astype("datetime64[ms]").astype("int64")
+        parts = list(frames)
+        rows = parts[0] if len(parts) == 1 else pd.concat(parts)
+        if len(rows) > 1:
+            rows = rows.sort_values(line_order)
+        times = rows["detail_time"].to_numpy().astype("datetime64[ms]").astype(np.int64)
         detail, given, lines, seen = state.get if state.exists else (0, 0, 0, int(times.min()))
         if int(times.min()) > seen + ttl:
             detail = given = lines = 0
