@@ -1,10 +1,12 @@
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark import schemas
+from tidemark.operators import paging
 from tidemark.session import workspace
 from tidemark.sources import keyed, readers, writers
 
@@ -237,3 +239,25 @@ def test_versions_decide_across_merges(spark, path):
         writers.upsert(df, path, ["id"], ["ver"], batch=("j", k), fan_in=2)
     got = {(r.id, r.ver): r["_row"] for r in writers.read_keyed(spark, path).collect()}
     assert got == {(1, 5): "same, later", (2, 1): "b", (None, 2): "m"}
+
+
+# -- deep pages
+
+
+def test_pages_read_the_ranges_that_hold_them(spark, path):
+    rows = spark.range(1_200_000).select(
+        F.pmod(F.xxhash64("id"), F.lit(1000)).alias("a"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("_range_"), "id"
+    )
+    order = [F.desc("a"), F.asc_nulls_last("_range_"), F.asc("id")]
+    pages = paging.prepare(rows, order, ranges=24)
+    assert pages.rows == 1_200_000 and len(pages.ends) > 12
+    for offset, size in ((0, 5), (1_000_000, 20), (1_199_995, 50), (pages.ends[3][1] - 7, 20), (2_000_000, 5), (10, 0)):
+        got = pages.page(offset, size)
+        assert got.collect() == rows.orderBy(*order).offset(offset).limit(size).collect()
+    deep = pages.page(1_000_000, 20)
+    deep.collect()
+    plan = deep._jdf.queryExecution().executedPlan()
+    scans = re.search(r"PartitionFilters: \[.*_range#\d+ (IN \(([^)]*)\)|= )", plan.toString())
+    assert scans and (scans.group(2) or "").count(",") <= 1  # at most two ranges
+    empty = paging.prepare(rows.limit(0), order, ranges=3)
+    assert empty.rows == 0 and empty.page(0, 5).count() == 0

@@ -238,6 +238,15 @@ where dt = '1998-03-02'
 order by order_id, order_detail_id limit 10 offset 3"""
 )
 
+ORACLES["deep_page"] = """
+select l_orderkey order_id, l_partkey sku_id, cast(round(l_extendedprice * 100) as bigint) detail_cents
+from lineitem order by detail_cents desc, order_id, sku_id limit 25 offset 5000"""
+
+ORACLES["quarantine_stream"] = """
+select case when o_orderkey % 7 = 0 then 'unread' else 'order' end kind,
+       case when o_orderkey % 7 = 0 then '{"id":' || o_orderkey else o_orderkey::varchar end record
+from orders join customer on o_custkey = c_custkey"""
+
 ORACLES["first_order_flag"] = (
     _with(_ORDER_INFO)
     + """

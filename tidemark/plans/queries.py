@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.scalar import round_half_up_2
-from ..operators import cdc, dau, dims, factorization, online, orders, ratings, serving, similarity
+from ..operators import cdc, dau, dims, factorization, online, orders, paging, ratings, serving, similarity
 from ..operators.relational import collect_recs, explode_recs
 from ..operators.relational import word_count as count_words
 from ..session import stored, tune, workspace
@@ -125,6 +125,14 @@ def sale_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("order_id", "order_detail_id", "user_id", "spu_name", "tm_name", "share_cents")
 
 
+@query
+def deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page far down the lines by price, read from the ranges that hold it."""
+    lines = views.order_detail(spark, sf_dir).select("order_id", "sku_id", "detail_cents")
+    pages = paging.prepare(lines, [F.desc("detail_cents"), F.asc("order_id"), F.asc("sku_id")])
+    return pages.page(5_000, 25)
+
+
 @query
 def first_order_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users with a fulfilled order before 1996 count as known."""

@@ -33,14 +33,16 @@ def publish(rows: DataFrame, topic: str, path: str, files: int | None = None) ->
 
 
 def order_stream(
-    spark: SparkSession, path: str, topic: str = ORDERS, max_files: int | None = None
+    spark: SparkSession, path: str, topic: str = ORDERS, max_files: int | None = None, unread: bool = False
 ) -> DataFrame:
-    """Order heads from a topic, with cents and event time."""
+    """Order heads from a topic.  Records that cannot be read are left out, or with ``unread`` stay, with
+    their text in ``_corrupt``, for ``jobs.set_aside``."""
     parsed = readers.parse_json(
         readers.read_topic(spark, topic, "parquet", path=path, max_files=max_files).select("value"),
         schemas.ORDER_INFO,
     )
-    return orders.with_create_date_hour(parsed.where(F.col("_corrupt").isNull()).drop("_corrupt"))
+    dated = orders.with_create_date_hour(parsed)
+    return dated if unread else dated.where(F.col("_corrupt").isNull()).drop("_corrupt")
 
 
 def _heads(rows: DataFrame, *extra: str) -> DataFrame:
@@ -54,14 +56,14 @@ def _heads(rows: DataFrame, *extra: str) -> DataFrame:
 
 
 def detail_stream(
-    spark: SparkSession, path: str, topic: str = DETAILS, max_files: int | None = None
+    spark: SparkSession, path: str, topic: str = DETAILS, max_files: int | None = None, unread: bool = False
 ) -> DataFrame:
-    """Order lines from a topic, with cents and event time."""
+    """Order lines from a topic; ``unread`` as for orders."""
     parsed = readers.parse_json(
         readers.read_topic(spark, topic, "parquet", path=path, max_files=max_files).select("value"),
         schemas.ORDER_DETAIL,
     )
-    return parsed.where(F.col("_corrupt").isNull()).drop("_corrupt")
+    return parsed if unread else parsed.where(F.col("_corrupt").isNull()).drop("_corrupt")
 
 
 def _lines(rows: DataFrame, *extra: str) -> DataFrame:
@@ -271,6 +273,21 @@ def first_order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{path}/orders").select("id", "user_id", "if_first_order")
 
 
+@query
+def quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of which every seventh record is cut short: read ones in a table, the rest set aside."""
+    path = workspace(spark, "quarantine")
+    messages = writers.as_messages(views.order_records(spark, sf_dir), "id")
+    cut = F.concat(F.lit('{"id":'), F.col("key"))
+    value = F.when(F.col("key").cast("bigint") % 7 == 0, cut).otherwise(F.col("value"))
+    publish(messages.withColumn("value", value), ORDERS, f"{path}/topics")
+    sink = jobs.set_aside(jobs.table_sink(f"{path}/orders"), f"{path}/aside", "orders")
+    jobs.drain(order_stream(spark, f"{path}/topics", unread=True), jobs.replayed(sink), f"{path}/checkpoint")
+    read = spark.read.parquet(f"{path}/orders").select(F.lit("order").alias("kind"), F.col("id").cast("string").alias("record"))
+    aside = spark.read.parquet(f"{path}/aside").where(F.col("topic") == jobs.UNREAD)
+    return read.unionByName(aside.select(F.lit("unread").alias("kind"), F.col("value").alias("record")))
+
+
 @query
 def online_recs_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every user's latest rating as an event; the stored lists after all events."""
@@ -323,8 +340,8 @@ def layers(spark: SparkSession, sf_dir: str, drain: Callable[[DataFrame, jobs.Ba
         writers.write_topic_once(messages, batch_id, topics, "dwd_orders")
 
     drain(
-        order_stream(spark, topics, "ods_order_info"),
-        jobs.first_order_sink(f"{path}/status", emit_orders),
+        order_stream(spark, topics, "ods_order_info", unread=True),
+        jobs.set_aside(jobs.first_order_sink(f"{path}/status", emit_orders), topics, "dwd_orders"),
         f"{path}/checkpoints/dwd_orders",
     )
 
@@ -337,8 +354,8 @@ def layers(spark: SparkSession, sf_dir: str, drain: Callable[[DataFrame, jobs.Ba
         messages = writers.as_messages(dims.with_sku(batch, product), "order_id")
         writers.write_topic_once(messages.withColumn("topic", F.lit(DETAILS)), batch_id, topics, "dwd_details")
 
-    details = detail_stream(spark, topics, "ods_order_detail")
-    drain(details, emit_details, f"{path}/checkpoints/dwd_details")
+    details = detail_stream(spark, topics, "ods_order_detail", unread=True)
+    drain(details, jobs.set_aside(emit_details, topics, "dwd_details"), f"{path}/checkpoints/dwd_details")
 
     # DWS: join the two streams and allocate the paid amount
     enriched = schemas.extend(schemas.ORDER_DETAIL, "tm_id:string tm_name:string")

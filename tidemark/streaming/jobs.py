@@ -97,6 +97,26 @@ def topic_sink(path: str, job: str = "batch") -> BatchSink:
     return _complete(lambda df, batch_id: writers.write_topic_once(df, batch_id, path, job))
 
 
+UNREAD = "unread"
+
+
+def set_aside(sink: BatchSink, path: str, job: str) -> BatchSink:
+    """A sink for parsed records (``parse_json``): the text of those that cannot be read goes to the topic
+    ``unread`` below path, once per batch; the others go on without the ``_corrupt`` column."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        with batch_work(batch) as rows:
+            if rows is None:
+                return
+            unread = rows.where(F.col("_corrupt").isNotNull())
+            if not unread.isEmpty():
+                texts = unread.select(F.col("_corrupt").alias("value"), F.lit(UNREAD).alias("topic"))
+                writers.write_topic_once(texts, batch_id, path, f"{UNREAD}-{job}")
+            sink(rows.where(F.col("_corrupt").isNull()).drop("_corrupt"), batch_id)
+
+    return run
+
+
 def replayed(sink: BatchSink) -> BatchSink:
     """A sink whose every batch runs twice, as after a crash just before its checkpoint."""
 
