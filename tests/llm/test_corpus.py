@@ -407,9 +407,47 @@ def test_licenses_edges(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
-def test_license_bands_collide():
-    """The stated bound: at Jaccard 1/4 a template is missed with probability under 0.0001."""
-    assert 0.75**licenses.BANDS < 1.1e-4
+def test_license_bands_collide(spark):
+    """Measured on the real templates: whole ones, and ones with a fifth of the shingles gone."""
+    rows = spark.range(400).crossJoin(licenses.template_table(spark, licenses.TEMPLATES))
+    rng = [F.xxhash64(F.lit("other"), "id", F.lit(j)) for j in range(70)]
+    n = F.size("hashes")
+    for share, most in ((1.0, 0.002), (0.8, 0.006)):
+        part = F.filter("hashes", lambda h, i: F.pmod(i + F.col("id"), n) < F.ceil(n * share))
+        window = F.slice(F.concat(part, F.array(*rng)), F.lit(1), 2 * F.col("size_class"))
+        met = rows.select(
+            F.arrays_overlap(licenses.min_hashes(F.col("hashes")), licenses.min_hashes(window)).alias("met")
+        )
+        assert met.where("not met").count() <= most * met.count()
+
+
+def test_licenses_of_texts_under_one_id(spark):
+    texts = ["Released under the MIT x License.", licenses.TEMPLATES["MIT"]]
+    for ids in ((1, 1), (None, None), (1, None)):
+        for order in (texts, texts[::-1]):
+            df = spark.createDataFrame(list(zip(ids, order)), "doc_id long, text string")
+            found = licenses.scan(df).where("license = 'MIT'").collect()
+            assert [r.doc_id for r in found] == [ids[order.index(texts[1])]] and found[0].containment == 1.0
+
+
+def test_mix_without_ids_agrees_between_runs(spark):
+    rows = [(None, f"text {i} " + "w " * (i % 17), "a" if i % 3 else "b") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    runs = [
+        {r.doc.text: r.taken for r in mixing.assign(df.repartition(n)).collect()} for n in (1, 3, 7)
+    ]
+    assert len(runs[0]) == 200 and runs[0] == runs[1] == runs[2]
+
+
+def test_vectors_without_or_with_repeated_ids(spark):
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    near = lambda v: [x + 0.01 for x in v]
+    rows = [(5, a), (None, near(a)), (1, b), (1, c), (2, near(b)), (3, near(c)), (None, [1.0, 1.0, 1.0]), (None, [2.0, 2.0, 2.0])]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = [(r.vec_id, r.n_links, r.component_id, r.kept) for r in embed.near_duplicates(df.repartition(3)).collect()]
+    want = [(5, 1, 5, True), (None, 1, 5, False), (1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False)]
+    want += [(None, 1, None, False)] * 2
+    assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
 def test_urls_spread(spark):

@@ -96,8 +96,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, sample_rows: in
     """Per row of (vec_id, embedding, label): vec_id, n_links, component_id, kept.
 
     Null labels, null or zero vectors and vectors with null or non-finite components link with nothing;
-    so do vectors of different lengths.  Rows with a repeated vec_id count as copies of their own
-    vector; an empty table gives an empty result; other columns are not read.
+    so do vectors of different lengths.  Rows that share a vec_id, or have none, are vectors of their own;
+    a component is named by its smallest vec_id, null if it has none, and a null vec_id is never kept.  An
+    empty table gives an empty result; other columns are not read.
     """
     spark = vectors.sparkSession
     v = F.col("embedding")
@@ -111,17 +112,18 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, sample_rows: in
         ).alias("key")),
         "vec-rows",
     )
+    # a class has a number of its own, fixed once it is written: ids may be null or repeated
     classes = stored(
         keyed.where("usable").groupBy("key").agg(
-            F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"),
+            F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"),
             F.first("label").alias("label"), F.first("embedding").alias("v"),
-        ),
+        ).withColumn("id", F.monotonically_increasing_id()),
         "vec-classes",
     )
     sizes = classes.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     total = classes.count()
     share = min(1.0, sample_rows / max(1, total))
-    h = F.xxhash64("id")
+    h = F.xxhash64("key")
     sample = classes.where(F.pmod(h, F.lit(1_000_000)) < math.ceil(1_000_000 * share)).join(sizes, "label")
     found = sample.select("label", "id", "v", "n", h.alias("h")).groupBy("label").applyInPandas(
         _centroids, "label int, size int, c array<double>"
@@ -146,11 +148,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, sample_rows: in
                     out += [(i, 0, True) for i in pick]
                     continue
                 if key not in gaps:
-                    gaps[key] = np.linalg.norm(centroids[:, None] - centroids[None], axis=2)
+                    gaps[key] = np.sqrt(np.maximum(0.0, 2 - 2 * centroids @ centroids.T))
                 dots = _matrix([vs[i] for i in pick]) @ centroids.T
                 home = dots.argmax(axis=1)
                 own = dots[np.arange(len(pick)), home]
-                visits = own[:, None] - dots <= reach * gaps[key][home] + 1e-12
+                visits = own[:, None] - dots <= reach * gaps[key][home] + 1e-7
                 for j, i in enumerate(pick):
                     out += [(i, int(c), bool(c == home[j])) for c in np.flatnonzero(visits[j])]
             yield pa.RecordBatch.from_pydict({
@@ -183,15 +185,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, sample_rows: in
     links = found.where("root is null").groupBy("id").agg(F.sum("links").alias("links"))
     roots = components(found.where("root is not null").select(F.col("id").alias("a"), F.col("root").alias("b")))
     per_class = (
-        classes.select("key", "id", "copies")
+        classes.select("key", "id", "least", "copies")
         .join(links, "id", "left")
         .join(roots, "id", "left")
         .select(
-            "key",
-            (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-            F.coalesce("root", "id").alias("component_id"),
+            "key", "least", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+            F.coalesce("root", "id").alias("root"),
         )
     )
+    names = per_class.groupBy("root").agg(F.min("least").alias("component_id"))
+    per_class = per_class.join(names, "root").select("key", "n_links", "component_id")
     joined = keyed.select("vec_id", "key").join(per_class, "key", "left")
     component = F.coalesce("component_id", "vec_id")
     return joined.select(

@@ -78,7 +78,9 @@ def assign(
     Result: ``doc`` (struct of the input columns, or of ``columns``), ``size``, ``source_size``,
     ``target``, ``taken`` and ``passes``, an array of (pass, take, position) with take > 0.  The last
     document of a source may be taken in part.  Nulls: a null text has size 0, null is a source of its
-    own, a null doc_id counts as an empty id.  Repeated rows are rows of their own.  An empty table
+    own, a null doc_id counts as an empty id.  The order inside a source is a hash of id and text, so rows
+    without an id or with the same one agree between runs; rows equal in both are rows of their own and
+    may change places.  An empty table
     gives an empty result.  Extra columns stay inside ``doc`` and cannot clash.
     """
     keep = columns or docs.columns
@@ -87,7 +89,9 @@ def assign(
             F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc"),
             F.col("source").alias("source"),
             word_count(F.col("text")).alias("size"),
-            F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("key"),
+            F.md5(
+                F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.coalesce("text", F.lit(""))).cast("binary")
+            ).alias("key"),
         ),
         "mix-rows",
     )

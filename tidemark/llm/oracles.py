@@ -15,7 +15,7 @@ def _mix_sql() -> str:
     takes = [f"greatest(0, least(size, demand - (start + {p} * source_size)))" for p in range(3)]
     return f"""
     with rows as (
-      select doc_id, source, len({WORDS})::bigint size, md5(coalesce(doc_id::varchar, '')) key from documents),
+      select doc_id, source, len({WORDS})::bigint size, md5(coalesce(doc_id::varchar, '') || '|' || coalesce(text, '')) key from documents),
     sizes as (select source, sum(size)::bigint source_size, count(*) source_rows from rows group by source),
     ranked as (
       select *, {weight} weight, {e0} e0, {e1} e1, 3 * source_size as "full" from (
