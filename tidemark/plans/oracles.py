@@ -174,7 +174,7 @@ ORACLES["order_wide_record"] = (
          order_status, concat(create_date, ' ', create_hour, ':00:00') create_time
   from oi)
 select order_detail_id, order_id, order_status, create_time, user_id, sku_id,
-       detail_cents / 100 sku_price, sku_num, concat_ws(' ', p_type, p_name) sku_name,
+       ((2 * detail_cents + sku_num) // (2 * nullif(sku_num, 0))) / 100 sku_price, sku_num, concat_ws(' ', p_type, p_name) sku_name,
        cast(0 as double) benefit_reduce_amount, cast(0 as double) feight_fee,
        original_cents / 100 original_total_amount, final_cents / 100 final_total_amount,
        share_cents / 100 final_detail_amount, case when rn = 1 then '1' else '0' end if_first_order,

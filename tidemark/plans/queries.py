@@ -72,7 +72,8 @@ def order_wide_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.to_order_wide(
         lines.withColumns(
             {
-                "price_cents": F.col("detail_cents"),
+                # of one unit, half a cent up
+                "price_cents": F.expr("(2 * detail_cents + sku_num) div (2 * nullif(sku_num, 0))"),
                 "sku_name": F.concat_ws(" ", "category3_name", "spu_name"),
                 "benefit_cents": zero,
                 "freight_cents": zero,
