@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import classifier, embed, jaccard, katz, licenses, mixing, pieces, queries, rules, suffix, urls
+from tidemark.llm.common import table
 from tidemark.llm.graph import components
 SF = "/root/testdata/sf0.001"
+SF_RULES = "/root/testdata/sf0.01"
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns that operators use inside; they must pass through unharmed.
@@ -399,6 +401,60 @@ def test_rules_edges(spark):
     assert rules.judge(df.limit(0)).count() == 0
 
 
+def test_rules_outvote_a_single_bad_vote(spark):
+    docs = table(spark, SF_RULES, "documents")
+    rows = rules.judge(docs).select(F.col("doc.doc_id").alias("doc_id"), "posterior", "votes")
+    both = rows.join(table(spark, SF_RULES, "labels").where("quality is not null"), "doc_id").collect()
+    all_pass = [min(r["votes"]) > -1 for r in both]
+    kept = [r["posterior"] >= 0.5 for r in both]
+    good = [r["quality"] == 1 for r in both]
+    assert any(k and not a for k, a in zip(kept, all_pass))
+    right, plain = (sum(x == g for x, g in zip(xs, good)) / len(both) for xs in (kept, all_pass))
+    assert right > plain and right > 0.97
+
+
+def test_rules_em_recovers_planted_accuracies(spark):
+    """Votes drawn from known rates; EM is compared with a plain run and with the planted classes."""
+    rng = random.Random(5)
+    rates = [(0.9, 0.2), (0.85, 0.3), (0.8, 0.1), (0.7, 0.4)]
+    rows = []
+    for _ in range(3000):
+        good = rng.random() < 0.8
+        rows.append((good, *(rng.choice([0, 1, 1, 1]) and (1 if rng.random() < r[not good] else -1) for r in rates)))
+    df = spark.createDataFrame([(list(r[1:]),) for r in rows], "votes array<int>")
+    patterns = df.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).cache()
+    q = rules.fit(patterns, tolerance=0.0, rounds=12)
+    got = {tuple(r["votes"]): r["q"] for r in patterns.withColumn("q", q).collect()}
+
+    counts = Counter(r[1:] for r in rows)
+    want = {v: 0.5 + 0.45 * sum(v) / 4 for v in counts}
+    for _ in range(12):
+        side = {s: sum(n * (want[v] if s else 1 - want[v]) for v, n in counts.items()) for s in (0, 1)}
+        share = {
+            (j, x, s): (sum(n * (want[v] if s else 1 - want[v]) for v, n in counts.items() if v[j] == x) + 1) / (side[s] + 3)
+            for j in range(4) for x in (-1, 1) for s in (0, 1)
+        }
+        new = {}
+        for v in counts:
+            odds = (side[1] + 1) / (side[0] + 1)
+            for j, x in enumerate(v):
+                if x:
+                    ratio = share[j, x, 1] / share[j, x, 0]
+                    odds *= max(1, ratio) if x == 1 else min(1, ratio)
+            new[v] = odds / (1 + odds)
+        want = new
+    assert all(abs(got[v] - want[v]) < 1e-9 for v in counts)
+    assert sum((got[r[1:]] >= 0.5) == r[0] for r in rows) / len(rows) > 0.85
+    assert rules.fit(patterns.limit(0)) is None
+
+
+def test_rules_keep_columns_of_any_name(spark):
+    text = " ".join(f"word{k}." for k in range(60))
+    df = spark.createDataFrame([(1, text, "mine", 7)], "doc_id long, text string, __whole_text string, n_words int")
+    assert [tuple(r) for r in rules.filter_documents(df, threshold=0.0).collect()] == [(1, text, "mine", 7)]
+    assert rules.filter_documents(df).columns == df.columns
+
+
 def test_licenses_edges(spark):
     long = "word " * 5000
     df = frame(spark, [(1, long + licenses.TEMPLATES["MIT"] + long), (2, None), (3, ""), (4, "under the MIT")])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import licenses, mixing, rules, urls
+from tidemark.llm import licenses, mixing, urls
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -43,10 +43,24 @@ def _mix_sql() -> str:
     from takes"""
 
 
-def _rules_sql(rounds: int = 10) -> str:
-    names = [f"v_{r.name}" for r in rules.RULES]
-    votes = ", ".join(f"({rules.vote(r).replace('D *', '::double *')}) {n}" for r, n in zip(rules.RULES, names))
-    start = rules.start_posterior(names).replace("0.1D", "0.1::double").replace("0.95D", "0.95::double")
+#: Votes written out: (rule, amount, out of, bad from, good up to).
+VOTES = [
+    ("a", "n_symbols", "n_words", "0.2", "0.01"), ("b", "n_symbols", "n_words", "0.1", "0.02"),
+    ("c", "n_symbols", "word_chars", "0.03", "0.005"), ("d", "n_symbols", "n_marks", "0.5", "0.1"),
+    ("e", "n_shouts", "n_words", "0.2", "0.02"), ("f", "n_upper", "n_words", "0.3", "0.02"),
+    ("g", "n_repeat_words", "n_words", "0.5", "0.1"), ("h", "n_repeat_words", "n_words", "0.3", "0.05"),
+    ("i", "word_chars", "n_words", "7", "6"), ("j", "n_marks", "n_words", "0.3", "0.2"),
+    ("k", "n_open", "least(n_words, 1)", "1", "0"),
+]
+
+
+def _rules_sql(rounds: int = 25) -> str:
+    names = [f"v_{v[0]}" for v in VOTES]
+    votes = ", ".join(
+        f"(case when {y} = 0 then 0 when {x} >= {bad}::double * {y} then -1 when {x} <= {good}::double * {y} then 1 else 0 end) v_{n}"
+        for n, x, y, bad, good in VOTES
+    )
+    start = f"0.5::double + 0.45::double * ({' + '.join(names)}) / {len(names)}"
     blanks = r"'[\x20\x09-\x0D]'"
     ctes = [f"""
     base as (
@@ -64,28 +78,30 @@ def _rules_sql(rounds: int = 10) -> str:
         (len(l) - len(list_distinct(l)))::bigint n_dup_lines,
         coalesce(r.n, 0)::bigint n_repeat_words, len(l)::bigint n_lines,
         (length(t) - length(translate(t, '!', '')))::bigint n_shouts,
-        len(list_filter(w, lambda x: upper(x) = x and lower(x) <> x and length(x) > 1))::bigint n_upper
+        len(list_filter(w, lambda x: upper(x) = x and lower(x) <> x and length(x) > 1))::bigint n_upper,
+        (length(t) - length(translate(t, '.,;:?!', '')))::bigint n_marks,
+        (len(w) > 0 and not regexp_matches(w[-1], '[.!?]['')"]*\\z'))::bigint n_open
       from (select *, list_filter(string_split(t, chr(10)),
               lambda x: length(regexp_replace(x, {blanks}, '', 'g')) > 0) l from base) b
         left join repeats r using (doc_id)),
     votes as (select *, {votes} from stats),
     patterns as (select {', '.join(names)}, count(*) n from votes group by all),
-    q0 as (select *, {start} q0, {start} q from patterns)"""]
+    q0 as (select *, {start} q from patterns)"""]
     for k in range(rounds):
-        tallies = ["sum(n * ((q + q0) / 2)) good", "sum(n * (1 - (q + q0) / 2)) bad"]
+        tallies = ["sum(n * q) good", "sum(n * (1 - q)) bad"]
         logit = ["ln((good + 1) / (bad + 1))"]
         for name in names:
             cases = []
-            for v in (-1, 1):
+            for v, bound in ((-1, "least"), (1, "greatest")):
                 g, b = f"{name}_{v + 1}_good", f"{name}_{v + 1}_bad"
-                tallies.append(f"sum(case when {name} = {v} then n * ((q + q0) / 2) else 0 end) {g}")
-                tallies.append(f"sum(case when {name} = {v} then n * (1 - (q + q0) / 2) else 0 end) {b}")
-                cases.append(f"when {name} = {v} then ln((({g} + 1) / (good + 3)) / (({b} + 1) / (bad + 3)))")
+                tallies.append(f"sum(case when {name} = {v} then n * q else 0 end) {g}")
+                tallies.append(f"sum(case when {name} = {v} then n * (1 - q) else 0 end) {b}")
+                cases.append(f"when {name} = {v} then {bound}(0, ln((({g} + 1) / (good + 3)) / (({b} + 1) / (bad + 3))))")
             logit.append(f"case {' '.join(cases)} else 0 end")
         keys = ", ".join(names)
         ctes.append(f"m{k} as materialized (select {', '.join(tallies)} from q{k})")
         ctes.append(
-            f"q{k + 1} as materialized (select {keys}, n, q0, 1 / (1 + exp(-({' + '.join(logit)}))) q from q{k}, m{k})"
+            f"q{k + 1} as materialized (select {keys}, n, 1 / (1 + exp(-({' + '.join(logit)}))) q from q{k}, m{k})"
         )
     failed = "(n_words < 50 or 100 * n_repeat_words > 50 * n_words)"
     return f"""with {', '.join(ctes)}

@@ -3,9 +3,14 @@
 Every rule votes good (1), bad (-1) or abstains (0).  Expectation-maximisation on the table of
 distinct vote patterns (at most 3 ** rules rows, whatever the input) estimates how often each rule
 casts each vote on good and on bad documents, and the posterior probability of good replaces an
-all-must-pass filter.  Half of the weight of every re-estimate stays with the first guess, a prior
-that keeps the two classes from drifting to some other split of the corpus.  Each round is one small aggregate whose single row of parameters goes back to
-the next as literals.
+all-must-pass filter: a single bad vote can be outvoted, and how much a vote weighs is learned.
+
+Rules overlap on purpose (two or more look at symbols, repetition, punctuation), because only rules that
+agree with each other on bad documents tell the classes apart.  Which class is the good one is settled
+by two things: the first guess is the share of good votes, and no vote may count against its own
+direction, so every rule is taken to be no worse than chance.  Rounds stop when the estimates stand
+still.  Each round is one small aggregate whose rows (three per rule) go back to the next as
+literals.
 """
 
 from __future__ import annotations
@@ -20,7 +25,11 @@ from tidemark.llm.common import let, shingle_hashes, words
 from tidemark.session import stored
 
 SYMBOLS = "#*$%&|<>"
+MARKS = ".,;:?!"
 BLANKS = " \t\n\x0b\x0c\r"
+#: End of the last word of a text that ends with its sentence.
+SENTENCE_END = "[.!?]['\")]*\\z"
+TOLERANCE, MAX_ROUNDS = 1e-7, 100
 
 
 def _repeat_words(tokens: Column) -> Column:
@@ -66,6 +75,9 @@ def statistics(docs: DataFrame) -> DataFrame:
         F.size(F.filter("w", lambda x: (F.upper(x) == x) & (F.lower(x) != x) & (F.length(x) > 1)))
         .cast("long")
         .alias("n_upper"),
+        (F.length(text) - F.length(F.translate(text, MARKS, ""))).cast("long").alias("n_marks"),
+        (F.size("w") > 0).cast("long").alias("n_ends"),
+        F.coalesce((~F.get("w", F.size("w") - 1).rlike(SENTENCE_END)).cast("long"), F.lit(0)).alias("n_open_ends"),
     )
     kept = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     return docs.select(F.struct(*kept).alias("doc"), text.alias("text"), words(F.col("text")).alias("w")).select(
@@ -75,89 +87,102 @@ def statistics(docs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Rule:
-    """Votes on measure / per: bad from ``bad`` on, good up to ``good``, else it abstains.
-
-    A rule without ``good`` only detects one kind of bad text: finding none says nothing.
-    """
+    """Votes on measure / per: bad from ``bad`` on, good up to ``good``, between them it abstains."""
 
     name: str
     measure: str
     per: str
     bad: float
-    good: float | None = None
+    good: float
 
 
 RULES = (
-    Rule("symbols", "n_symbols", "n_words", 0.2),
-    Rule("shouts", "n_shouts", "n_words", 0.2),
-    Rule("capitals", "n_upper", "n_words", 0.3),
-    Rule("repeats", "n_repeat_words", "n_words", 0.5),
-    Rule("lines", "n_dup_lines", "n_lines", 0.6),
-    Rule("long_words", "word_chars", "n_words", 14.0, 9.0),
-    Rule("short_words", "n_words", "word_chars", 0.5, 0.35),
+    Rule("symbols", "n_symbols", "n_words", 0.2, 0.01),
+    Rule("some_symbols", "n_symbols", "n_words", 0.1, 0.02),
+    Rule("symbol_chars", "n_symbols", "word_chars", 0.03, 0.005),
+    Rule("symbols_for_marks", "n_symbols", "n_marks", 0.5, 0.1),
+    Rule("shouts", "n_shouts", "n_words", 0.2, 0.02),
+    Rule("capitals", "n_upper", "n_words", 0.3, 0.02),
+    Rule("repeats", "n_repeat_words", "n_words", 0.5, 0.1),
+    Rule("some_repeats", "n_repeat_words", "n_words", 0.3, 0.05),
+    Rule("long_words", "word_chars", "n_words", 7.0, 6.0),
+    Rule("marks", "n_marks", "n_words", 0.3, 0.2),
+    Rule("open_end", "n_open_ends", "n_ends", 1.0, 0.0),
 )
 
 
-def vote(rule: Rule, stats: str = "") -> str:
-    """SQL of a rule's vote; without anything to measure it abstains."""
-    x, y = stats + rule.measure, stats + rule.per
-    good = "" if rule.good is None else f"when {x} <= {rule.good!r}D * {y} then 1 "
-    return f"case when {y} = 0 then 0 when {x} >= {rule.bad!r}D * {y} then -1 {good}else 0 end"
+def vote(rule: Rule) -> Column:
+    """A rule's vote; without anything to measure it abstains."""
+    x, y = F.col(rule.measure), F.col(rule.per)
+    return F.when(y == 0, 0).when(x >= rule.bad * y, -1).when(x <= rule.good * y, 1).otherwise(0)
 
 
-def start_posterior(names: list[str]) -> str:
-    """First guess of P(good): any bad vote makes a document doubtful."""
-    return f"case when least({', '.join(names)}, 1) = -1 then 0.1D else 0.95D end"
+def start_posterior() -> Column:
+    """First guess of P(good): between 0.05 and 0.95 by the balance of the votes."""
+    balance = F.aggregate("votes", F.lit(0), lambda total, v: total + v)
+    return 0.5 + 0.45 * balance / F.size("votes")
 
 
-def _tallies(names: list[str]) -> list[Column]:
-    mixed = (F.col("q") + F.expr(start_posterior(names))) / 2
-    good, bad = F.col("n") * mixed, F.col("n") * (1 - mixed)
-    out = [F.sum(good).alias("good"), F.sum(bad).alias("bad")]
-    for name in names:
-        for v in (-1, 1):
-            hit = F.col(name) == v
-            out.append(F.sum(F.when(hit, good).otherwise(0.0)).alias(f"{name}_{v}_good"))
-            out.append(F.sum(F.when(hit, bad).otherwise(0.0)).alias(f"{name}_{v}_bad"))
-    return out
+def _tallies(patterns: DataFrame, q: Column) -> dict[tuple[int, int], tuple[float, float]]:
+    """(rule, vote) to its weight on good and on bad documents: at most three rows per rule."""
+    cast = patterns.select("n", q.alias("q"), F.posexplode("votes").alias("rule", "vote"))
+    sums = cast.groupBy("rule", "vote").agg(
+        F.sum(F.col("n") * F.col("q")).alias("good"), F.sum(F.col("n") * (1 - F.col("q"))).alias("bad")
+    )
+    return {(r["rule"], r["vote"]): (r["good"], r["bad"]) for r in sums.collect()}
 
 
-def _posterior(names: list[str], tally: dict[str, float], prior: float = 1.0) -> Column:
+def _posterior(tally: dict[tuple[int, int], tuple[float, float]], prior: float = 1.0) -> Column:
     """P(good | votes) from add-``prior`` smoothed tallies; abstaining is no evidence."""
+    total = [sum(pair[side] for (rule, _), pair in tally.items() if rule == 0) for side in (0, 1)]
+
+    def weights(v: int) -> Column:
+        out = []
+        for rule in range(1 + max(rule for rule, _ in tally)):
+            pair = tally.get((rule, v), (0.0, 0.0))
+            good, bad = ((pair[side] + prior) / (total[side] + 3 * prior) for side in (0, 1))
+            out.append(v * max(0.0, v * math.log(good / bad)))
+        return F.expr(f"array({', '.join(f'{x!r}D' for x in out)})")
+
+    against, in_favour = weights(-1), weights(1)
+    evidence = F.transform(
+        "votes",
+        lambda v, i: F.when(v == -1, F.get(against, i)).when(v == 1, F.get(in_favour, i)).otherwise(0.0),
+    )
+    first = F.lit(math.log((total[0] + prior) / (total[1] + prior)))
+    return 1 / (1 + F.exp(-F.aggregate(evidence, first, lambda logit, x: logit + x)))
 
-    def share(name: str, v: int, side: str) -> float:
-        return (tally[f"{name}_{v}_{side}"] + prior) / (tally[side] + 3 * prior)
-
-    logit = F.lit(math.log((tally["good"] + prior) / (tally["bad"] + prior)))
-    for name in names:
-        ratio = {v: math.log(share(name, v, "good") / share(name, v, "bad")) for v in (-1, 1)}
-        logit = logit + F.when(F.col(name) == -1, ratio[-1]).when(F.col(name) == 1, ratio[1]).otherwise(0.0)
-    return 1 / (1 + F.exp(-logit))
 
+def fit(patterns: DataFrame, tolerance: float = TOLERANCE, rounds: int = MAX_ROUNDS) -> Column | None:
+    """Posterior expression over ``votes`` by EM on (votes, n); None without rows.
 
-def fit(patterns: DataFrame, names: list[str], rounds: int = 10) -> Column | None:
-    """Posterior expression after the given rounds of EM on (votes, n); None without rows."""
-    q = F.expr(start_posterior(names))
+    Stops when no tally moves by more than ``tolerance`` of all rows, at the latest after ``rounds``.
+    """
+    q, before = start_posterior(), None
     for _ in range(rounds):
-        row = patterns.withColumn("q", q).agg(*_tallies(names)).first()
-        if row["good"] is None:
+        tally = _tallies(patterns, q)
+        if not tally:
             return None
-        q = _posterior(names, row.asDict())
+        q = _posterior(tally)
+        total = sum(sum(pair) for (rule, _), pair in tally.items() if rule == 0)
+        if before and all(abs(x - y) <= tolerance * total for k in tally for x, y in zip(tally[k], before[k])):
+            break
+        before = tally
     return q
 
 
-def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = 10, threshold: float = 0.5) -> DataFrame:
-    """Counts, votes, ``base_failed``, ``posterior`` and ``kept`` per row of docs.
+def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float = 0.5, **options) -> DataFrame:
+    """Counts, ``votes`` in the order of rules, ``base_failed``, ``posterior`` and ``kept`` per row of docs.
 
     ``base_failed``: under 50 words, or over half of the words in repeated windows.  ``kept``: not
-    base_failed and posterior >= threshold.  Nulls, empty and repeated rows count like any row; an
-    empty table gives an empty result; extra columns stay inside ``doc``.
+    base_failed and posterior >= threshold.  Nulls, empty and repeated rows count like any row (without
+    words every rule abstains); equal texts get equal verdicts, so there are no ties to break; an empty
+    table gives an empty result; extra columns stay inside ``doc``, whatever their names.
     """
-    names = [f"v_{r.name}" for r in rules]
-    rows = statistics(docs).select("*", *[F.expr(vote(r)).alias(n) for r, n in zip(rules, names)])
-    rows = stored(rows, "rule-votes")
-    patterns = stored(rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n")), "rule-patterns")
-    posterior = fit(patterns, names, rounds)
+    votes = F.array(*[vote(r) for r in rules])
+    rows = stored(statistics(docs).withColumn("votes", votes), "rule-votes")
+    patterns = stored(rows.groupBy("votes").agg(F.count(F.lit(1)).alias("n")), "rule-patterns")
+    posterior = fit(patterns, **options)
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return rows.withColumn("base_failed", base).withColumn(
         "posterior", F.lit(None).cast("double") if posterior is None else posterior
@@ -166,8 +191,10 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = 10, th
 
 def filter_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs that are kept, with all their columns."""
-    copy = docs.withColumn("__whole_text", F.col("text"))
-    kept = judge(copy, **options).where("kept")
+    copy = "__whole_text"
+    while copy in docs.columns:
+        copy += "_"
+    kept = judge(docs.withColumn(copy, F.col("text")), **options).where("kept")
     return kept.select(*[
-        F.col("doc.__whole_text").alias(c) if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns
+        F.col(f"doc.`{copy if c == 'text' else c}`").alias(c) for c in docs.columns
     ])
