@@ -57,7 +57,8 @@ def test_join_and_allocation_over_batches(spark, path):
     heads, lines = Feed(spark, f"{path}/heads", HEAD), Feed(spark, f"{path}/lines", LINE)
 
     def run():
-        joined = jobs.join_order_streams(heads.stream(), lines.stream(), "50 seconds", "5 minutes", salts=3)
+        hot = spark.createDataFrame([(2, 3)], "hot_id long, n_salts int")
+        joined = jobs.join_order_streams(heads.stream(), lines.stream(), "50 seconds", "5 minutes", hot)
         sink = jobs.allocate_sink(f"{path}/state", jobs.table_sink(f"{path}/out"), ["order_detail_id"], max_part_rows=2)
         jobs.drain(joined, sink, f"{path}/cp")
         rows = spark.read.parquet(f"{path}/out").collect()
@@ -74,6 +75,41 @@ def test_join_and_allocation_over_batches(spark, path):
     assert sum(v for (o, _), v in got.items() if o == 2) == 999
 
 
+def test_only_hot_orders_wait_under_salts(spark, path):
+    heads, lines = Feed(spark, f"{path}/heads", HEAD), Feed(spark, f"{path}/lines", LINE)
+    heads.add([(o, 500, 600, at(0)) for o in range(1, 21)])
+    first = [(7, i, 10, at(0, i % 40)) for i in range(1, 26)] + [(o, 1, 10, at(0)) for o in range(1, 21) if o != 7]
+    lines.add(first)
+
+    def run():
+        hot = jobs.hot_orders(spark.read.schema(LINE).parquet(f"{path}/lines"), f"{path}/hot", max_rows=10)
+        assert [tuple(r) for r in hot.collect()] == [(7, 3)]
+        joined = jobs.join_order_streams(heads.stream(), lines.stream(), "50 seconds", "5 minutes", hot)
+        job = jobs.start(joined, jobs.table_sink(f"{path}/out"), f"{path}/cp")
+        job.awaitTermination()
+        rows = spark.read.parquet(f"{path}/out").select("order_id", "order_detail_id").collect()
+        assert len(set(rows)) == len(rows)
+        return {tuple(r) for r in rows}, job.recentProgress
+
+    got, progress = run()
+    assert got == {(o, i) for o, i, *_ in first}
+    # the join keeps 20 orders, one of them under three salts, and 44 lines
+    waiting = [op.numRowsTotal for p in progress for op in p.stateOperators if op.operatorName == "symmetricHashJoin"]
+    assert max(waiting) == 20 + 2 + 44
+    # another order has become as large: the table is the one of the first start, and the rows are right
+    more = [(3, i, 10, at(0, i % 40)) for i in range(2, 60)] + [(7, 26, 10, at(0))]
+    lines.add(more)
+    assert run()[0] == {(o, i) for o, i, *_ in first + more}
+
+
+def test_topic_so_far(spark, path):
+    rows = spark.createDataFrame([("a", "1", "t"), ("b", "2", "u")], "key string, value string, topic string")
+    assert readers.topic_so_far(spark, "t", path).count() == 0
+    writers.write_topic(rows.where("topic = 't'").drop("topic"), "t", "parquet", path=path)
+    writers.write_topic_once(rows, 0, path)
+    assert [tuple(r) for r in readers.topic_so_far(spark, "t", path).collect()] == [("a", "1")] * 2
+
+
 def test_allocation_batches_equal_batch_function(spark, path):
     lines = [(o, i, (o * 37 + i * 91) % 500, at(0)) for o in range(1, 12) for i in range(o)]
     totals = {o: sum(r[2] for r in lines if r[0] == o) for o in range(1, 12)}

@@ -79,8 +79,17 @@ def _publish_orders(spark: SparkSession, sf_dir: str, path: str) -> None:
     publish(writers.as_messages(views.detail_records(spark, sf_dir), "order_id"), DETAILS, path)
 
 
+def _hot_orders(spark: SparkSession, path: str, topics: str, schema=schemas.ORDER_DETAIL) -> DataFrame:
+    """The orders with very many lines among those that wait in the topic."""
+    waiting = readers.topic_so_far(spark, DETAILS, topics).select("value")
+    return jobs.hot_orders(readers.parse_json(waiting, schema).select("order_id"), f"{path}/hot_orders")
+
+
 def _joined(spark: SparkSession, path: str) -> DataFrame:
-    return jobs.join_order_streams(_heads(order_stream(spark, path)), _lines(detail_stream(spark, path)))
+    hot = _hot_orders(spark, path, path)
+    return jobs.join_order_streams(
+        _heads(order_stream(spark, path)), _lines(detail_stream(spark, path)), hot=hot
+    )
 
 
 @query
@@ -239,6 +248,7 @@ def alloc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             _heads(order_stream(spark, topics, max_files=FILES)),
             _lines(detail_stream(spark, topics, max_files=FILES)),
             late="4000 days",
+            hot=_hot_orders(spark, path, topics),
         )
         shares = state.allocate(wide, ["order_detail_id"]).select("order_id", "order_detail_id", "share_cents")
         jobs.drain(shares, jobs.table_sink(f"{path}/wide"), f"{path}/checkpoint")
@@ -363,8 +373,9 @@ def layers(spark: SparkSession, sf_dir: str, drain: Callable[[DataFrame, jobs.Ba
         readers.read_topic(spark, DETAILS, "parquet", path=topics).select("value"), enriched
     )
     wide = jobs.join_order_streams(
-        _heads(order_stream(spark, topics, ORDERS)), _lines(lines, "tm_id", "tm_name")
-    )
+        _heads(order_stream(spark, topics, ORDERS)), _lines(lines, "tm_id", "tm_name"),
+        hot=_hot_orders(spark, path, topics, enriched),
+    )
     sink = jobs.allocate_sink(f"{path}/state", jobs.table_sink(f"{path}/wide"), ["order_detail_id"])
     drain(wide, sink, f"{path}/checkpoints/dws")
 

@@ -28,28 +28,28 @@ FAN_IN = 8
 # ---- files ------------------------------------------------------------------------------------
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """(file system, path) as Hadoop has them; the driver touches names and manifests only."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, where = _fs(spark, path)
+    fs, where = file_system(spark, path)
     return fs.exists(where)
 
 
 def publish(spark: SparkSession, staged: str, target: str) -> None:
     """Make what lies staged appear as target, at once; target must not exist."""
-    fs, source = _fs(spark, staged)
-    _, to = _fs(spark, target)
+    fs, source = file_system(spark, staged)
+    _, to = file_system(spark, target)
     fs.mkdirs(to.getParent())
     if fs.exists(to) or not fs.rename(source, to):
         raise FileExistsError(f"{target} was published by another writer")
 
 
 def bytes_below(spark: SparkSession, path: str) -> int:
-    fs, where = _fs(spark, path)
+    fs, where = file_system(spark, path)
     return fs.getContentSummary(where).getLength()
 
 
@@ -81,7 +81,7 @@ class Manifest:
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
-    fs, where = _fs(spark, f"{path}/_versions")
+    fs, where = file_system(spark, f"{path}/_versions")
     if not fs.exists(where):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(where)]
@@ -95,7 +95,7 @@ def manifest(spark: SparkSession, path: str, version: int | None = None) -> Mani
         if not known:
             return None
         version = known[-1]
-    fs, where = _fs(spark, f"{path}/_versions/{version:012d}.json")
+    fs, where = file_system(spark, f"{path}/_versions/{version:012d}.json")
     stream = fs.open(where)
     try:
         found = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
@@ -106,7 +106,7 @@ def manifest(spark: SparkSession, path: str, version: int | None = None) -> Mani
 
 def _commit(spark: SparkSession, path: str, new: Manifest) -> None:
     staged = f"{path}/_versions/_{uuid.uuid4().hex}"
-    fs, where = _fs(spark, staged)
+    fs, where = file_system(spark, staged)
     out = fs.create(where, True)
     try:
         out.write(bytearray(json.dumps(asdict(new)), "utf-8"))
@@ -230,5 +230,5 @@ def _drop_unused(spark: SparkSession, path: str, keep_versions: int = 3) -> None
     used = {s.name for v in live for s in manifest(spark, path, v).segments}
     gone = {s.name for v in old for s in manifest(spark, path, v).segments} - used
     for name in [f"segments/{s}" for s in sorted(gone)] + [f"_versions/{v:012d}.json" for v in old]:
-        fs, where = _fs(spark, f"{path}/{name}")
+        fs, where = file_system(spark, f"{path}/{name}")
         fs.delete(where, True)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import trimmed
+from .keyed import file_system
 
 # What a topic looks like to a reader, whether it comes from a broker or from a folder.
 TOPIC_SCHEMA = T.StructType(
@@ -107,7 +108,20 @@ def read_topic(
     reader = spark.readStream.schema(TOPIC_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(f"{path}/{{topic={topic},batch=*/topic={topic}}}")
+    return reader.parquet(_topic_folders(topic, path))
+
+
+def _topic_folders(topic: str, path: str) -> str:
+    return f"{path}/{{topic={topic},batch=*/topic={topic}}}"
+
+
+def topic_so_far(spark: SparkSession, topic: str, path: str) -> DataFrame:
+    """The records that the folder form of a topic holds now, as a table; none if there is no such topic."""
+    folders = _topic_folders(topic, path)
+    fs, where = file_system(spark, folders)
+    if not fs.globStatus(where):
+        return spark.createDataFrame([], TOPIC_SCHEMA)
+    return spark.read.schema(TOPIC_SCHEMA).parquet(folders)
 
 
 def read_query(

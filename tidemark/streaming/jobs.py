@@ -18,8 +18,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import online, orders
 from ..operators.relational import collect_recs
-from ..operators.skew import MAX_PART_ROWS, assign_parts, fan_out, hot_keys
+from ..operators.skew import MAX_PART_ROWS, MAX_SLICES, assign_parts, fan_out, heavy_keys, hot_keys
 from ..sources import writers
+from ..sources.keyed import exists
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -195,29 +196,50 @@ def first_order_sink(status_path: str, emit: BatchSink) -> BatchSink:
 # ---- order and line streams ---------------------------------------------------------------------------
 
 
+def hot_orders(lines: DataFrame, path: str, max_rows: int = MAX_PART_ROWS) -> DataFrame:
+    """(hot_id, n_salts): orders with more than max_rows of the lines that wait when a job first starts.
+
+    Named by a heavy-hitter sketch, counted exactly, at most ``skew.MAX_KEYS`` rows.  The table is kept at
+    path, beside the checkpoint: orders in the state wait under the salts they came with, so a job that
+    resumes has to use the same ones.  An order that grows later is joined in one task.
+    """
+    spark = lines.sparkSession
+    if not exists(spark, f"{path}/_SUCCESS"):
+        mine = lines.select("order_id").join(F.broadcast(heavy_keys(lines, "order_id", max_rows)), "order_id")
+        counts = mine.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_rows)
+        salts = F.least(F.ceil(F.col("n") / max_rows).cast("int"), F.lit(MAX_SLICES))
+        counts.select(F.col("order_id").alias("hot_id"), salts.alias("n_salts")).write.mode("overwrite").parquet(path)
+    return spark.read.schema("hot_id bigint, n_salts int").parquet(path)
+
+
 def join_order_streams(
     heads: DataFrame,
     lines: DataFrame,
     within: str = "50 seconds",
     late: str = "50 seconds",
-    salts: int = 8,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Lines with their order, at most ``within`` apart in event time; each pair once.
 
     ``heads`` has order_id and order_time, ``lines`` has order_id, order_detail_id and
-    detail_time.  Each order waits under every salt and each line under one, so the lines of a
-    very large order spread over several tasks.  Replayed lines are dropped.
+    detail_time.  An order that ``hot_orders`` names waits under each of its salts and each of its lines
+    comes under one, so they spread over several tasks; every other order waits once.  Replayed lines are
+    dropped.
     """
-    salted_heads = heads.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    if hot is None:
+        n_salts, salted_heads = F.lit(1), heads
+    else:
+        n_salts = F.coalesce("n_salts", F.lit(1))
+        salted_heads = heads.join(F.broadcast(hot), F.col("order_id") == F.col("hot_id"), "left")
+    salted_heads = salted_heads.withColumn("_head_salt", F.explode(F.sequence(F.lit(0), n_salts - 1)))
     left = salted_heads.withWatermark("order_time", late).select(
-        F.col("order_id").alias("_head_id"), F.col("_salt").alias("_head_salt"),
-        *[c for c in heads.columns if c != "order_id"],
-    )
-    right = (
-        lines.withWatermark("detail_time", late)
-        .dropDuplicatesWithinWatermark(["order_id", "order_detail_id"])
-        .withColumn("_salt", F.pmod(F.xxhash64("order_detail_id"), F.lit(salts)).cast("int"))
+        F.col("order_id").alias("_head_id"), "_head_salt", *[c for c in heads.columns if c != "order_id"]
     )
+    right = lines.withWatermark("detail_time", late).dropDuplicatesWithinWatermark(["order_id", "order_detail_id"])
+    if hot is not None:
+        right = right.join(F.broadcast(hot), F.col("order_id") == F.col("hot_id"), "left")
+    salt = F.pmod(F.xxhash64("order_detail_id"), n_salts).cast("int")
+    right = right.select(*lines.columns, salt.alias("_salt"))
     gap = F.expr(f"interval {within}")
     near = (F.col("detail_time") >= F.col("order_time") - gap) & (
         F.col("detail_time") <= F.col("order_time") + gap
