@@ -72,6 +72,52 @@ def test_suffix_brute_force(spark, packet):
         assert (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) == want[r["doc"]["doc_id"]]
 
 
+@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("block", [7, 1 << 20])
+def test_longest_previous_brute_force(seed, block):
+    """LPF of every suffix against all suffixes of smaller documents, over texts with few letters."""
+    rng = np.random.default_rng(seed)
+    length, pieces_, starts, sizes, docs, at = 12, [], [], [], [], 0
+    seedtext = rng.integers(97, 99, 60, dtype=np.uint8)
+    for _ in range(40):
+        piece = rng.integers(97, 99, int(rng.integers(length, 45)), dtype=np.uint8)
+        if rng.random() < 0.6:
+            a = int(rng.integers(0, 30))
+            piece = seedtext[a : a + len(piece)][: len(piece)]
+            piece = piece if len(piece) >= length else np.full(length + 3, 97, np.uint8)
+        doc = int(rng.integers(0, 9))
+        for k in range(len(piece) - length + 1):
+            starts.append(at + k)
+            sizes.append(len(piece) - k)
+            docs.append(doc)
+        pieces_.append(piece)
+        at += len(piece)
+    text = np.concatenate(pieces_)
+    own = [bytes(text[a : a + n]) for a, n in zip(starts, sizes)]
+
+    def common(x, y):
+        return next((k for k, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y)))
+
+    want = [max((common(x, y) for y, e in zip(own, docs) if e < d), default=0) for x, d in zip(own, docs)]
+    got = suffix.longest_previous(text, *(np.array(v) for v in (starts, sizes, docs)), length, block)
+    assert got.tolist() == [w if w >= length else 0 for w in want]
+    assert max(want) > length and 0 in got.tolist()
+
+
+def test_suffix_keeps_a_column_called_like_its_mark(spark):
+    df = frame(spark, [(1, "a" * 60), (2, None)]).withColumn("__had_text", F.lit("mine"))
+    assert sorted((r["doc_id"], r["text"], r["__had_text"]) for r in suffix.without_repeats(df).collect()) == [
+        (1, "a" * 60, "mine"), (2, None, "mine")
+    ]
+
+
+def test_suffix_zero_bytes(spark):
+    rows = [(1, "a" * 49 + "\0" * 70), (2, "b" + "\0" * 70), (3, "a" * 49 + "\0"), (4, "\0" * 49), (5, "\0" * 51 + "c")]
+    want = removed_by_force(rows, 50)
+    for r in suffix.remove_repeats(frame(spark, rows)).collect():
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) == want[r["doc"]["doc_id"]]
+
+
 def test_suffix_hot_anchors_brute_force(spark):
     """The windows of every shared anchor dealt one by one."""
     footer = "written with the kind help of all of us on "
@@ -528,6 +574,52 @@ def test_urls_spread(spark):
     assert urls.judge(df.limit(0)).count() == 0
 
 
+def spread_by_force(edges, seeds, damping=0.85):
+    """Limit of the propagation as the solution of its linear equations."""
+    hosts = sorted({h for e in edges for h in e[:2]} | {h for h, _, _ in seeds})
+    at = {h: k for k, h in enumerate(hosts)}
+    out = {}
+    for kind in (0, 1):
+        m = np.eye(len(hosts))
+        for src, dst, n in edges:
+            a, b = (src, dst) if kind == 0 else (dst, src)
+            total = sum(w for x, y, w in edges if (x if kind == 0 else y) == a)
+            m[at[b], at[a]] -= damping * n / total
+        seed = np.zeros(len(hosts))
+        for h, k, x in seeds:
+            seed[at[h]] += x if k == kind else 0
+        out.update({(h, kind): v for h, v in zip(hosts, np.linalg.solve(m, seed))})
+    return out
+
+
+def test_urls_reach_the_limit(spark):
+    """A chain longer than any fixed number of rounds would cover, a cycle, a hub and hosts without links."""
+    edges = [(f"c{k:02}", f"c{k + 1:02}", 1) for k in range(25)]
+    edges += [("r0", "r1", 2), ("r1", "r2", 1), ("r2", "r0", 3), ("r2", "out", 1)]
+    edges += [(f"leaf{k}", "hub", 1) for k in range(9)] + [("hub", "c00", 2), ("hub", "r0", 5)]
+    seeds = [("c00", 0, 1.0), ("c25", 1, 1.0), ("r1", 0, 0.5), ("out", 1, 0.75), ("alone", 0, 1.0)]
+    seeds += [(f"leaf{k}", 0, 0.25) for k in range(9)]
+    got = urls.propagate(
+        spark.createDataFrame(edges, "src string, dst string, n long"),
+        spark.createDataFrame(seeds, "host string, kind int, seed double"),
+        tolerance=1e-4,
+    ).collect()
+    want = spread_by_force(edges, seeds)
+    found = {(r["host"], r["kind"]): r["score"] for r in got}
+    assert all(-1e-9 <= v - found.get(k, 0.0) <= 1e-4 for k, v in want.items())
+    assert found["c25", 0] > 0.85**25 and found["c00", 1] > 0.85**26
+
+
+def test_urls_repeated_pages_and_far_blocks(spark):
+    """Distrust that arrives over several links blocks; a page that occurs twice gets the same verdict twice."""
+    pages = [(k, f"http://h{k}.org/", f'<a href="http://h{k + 1}.org/">') for k in range(3)]
+    pages += [(3, "http://h3.org/", '<a href="http://bad.net/es/">'), (4, "http://bad.net/es/1", None)]
+    df = spark.createDataFrame(pages + [pages[3]], "page_id long, url string, html string")
+    got = sorted((r["page_id"], r["verdict"], round(r["distrust"], 5)) for r in urls.judge(df).collect())
+    want = [(k, "block", round(0.85 ** (4 - k), 5)) for k in range(5)]
+    assert got == sorted(want + [want[3]])
+
+
 def test_classifier_held_out(spark):
     docs, labels = (spark.read.parquet(f"{SF}/../sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = queries.QUERIES["op1_factorisation_machine"](spark, f"{SF}/../sf0.01")

@@ -132,7 +132,7 @@ def _license_sql() -> str:
     from shares where "share" >= 0.8 group by doc_id, license"""
 
 
-def _urls_sql(rounds: int = 12) -> str:
+def _urls_sql(rounds: int = 250) -> str:
     listed = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in urls.RULES)
     fold = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     link, owner = urls.LINK.replace("'", "''").replace("(?i)", ""), urls.OWNER.replace(r"©", "©")
@@ -159,16 +159,14 @@ def _urls_sql(rounds: int = 12) -> str:
       select host, avg((coalesce(v, '') = 'allow')::int) a, avg((coalesce(v, '') = 'block')::int) b from ruled group by host),
     seeds as (
       select host, 0 kind, a score from shares where a > 0 union all select host, 1, b from shares where b > 0),
-    s0 as (select * from seeds)"""]
-    for k in range(rounds):
-        ctes.append(f"""
-    s{k + 1} as materialized (
-      select host, kind, sum(score) score from (
-        select "to" host, kind, 0.85 * score * "share" score from flow join s{k} using (host, kind)
-        union all select * from seeds) group by host, kind)""")
-    return f"""with {', '.join(ctes)},
+    moved as (
+      select 0 k, host, kind, score from seeds
+      union all
+      select k + 1, "to", kind, sum(0.85 * score * "share") from moved join flow using (host, kind)
+      where k < {rounds} group by k, "to", kind)"""]
+    return f"""with recursive {', '.join(ctes)},
     hosts as (
-      select host, sum(case kind when 1 then score else -score end) excess from s{rounds} group by host)
+      select host, sum(case kind when 1 then score else -score end) excess from moved group by host)
     select page_id, host, path, rule,
       coalesce(v, case when coalesce(excess, 0) >= 0.5 then 'block' else 'allow' end) verdict
     from ruled left join hosts using (host)"""

@@ -12,11 +12,11 @@ matter are sorted, which loses none:
    first is sent; those of later documents are repeats already, and a document's own share its fate.
    Anchors that may have more than ``HOT_WINDOWS`` windows are not dealt as stretches: each of their windows
    goes to the bucket of a hash of the whole window, once per packet, so equal windows still meet.
-3. A bucket sorts the suffixes that start at its windows, cut at ``length``, ties by document.  In
-   that order an entry's nearest entries with a smaller document, before it (PSV) and after it (NSV),
-   have the longest earlier match, LPF = max(LCP(PSV), LCP(NSV)).  Only LPF >= length counts, so
-   LCPs are cut at length: an entry qualifies if its run of LCP >= length holds a smaller document,
-   and as ties are in document order, that one stands before it.
+3. A bucket sorts the suffixes that start at its windows, up to the ends of their stretches, ties by
+   document, and takes the LCPs of neighbours.  The nearest suffixes of a smaller document before (PSV)
+   and after (NSV) have the longest earlier matches, LPF = max(LCP(PSV), LCP(NSV)).  Windows with
+   LPF >= length go.  A value below length changes nothing, so suffixes whose first ``length`` bytes are
+   their own get no neighbours (LPF 0), and values end where the stretch does.
 4. Spans go back to the packets, which cut them out.
 
 Documents with equal texts are one class first: all but the smallest id are repeats as a whole.  All
@@ -301,41 +301,105 @@ def _send(bits: int, wide: int, length: int):
     return run
 
 
-def earlier_factors(
-    text: np.ndarray, starts: np.ndarray, docs: np.ndarray, length: int, block: int = 200_000
+TIED = 1 << 30  # LCP of suffixes that are equal to their ends
+
+
+def smaller_before(docs: np.ndarray, lcp: np.ndarray, levels: int) -> np.ndarray:
+    """For every place the LCP with the nearest place before it of a smaller document (PSV).
+
+    ``lcp`` is that of a place with the one before.  Places of document -1 end the search with what their
+    ``lcp`` is; the first place is one.  Level k holds the minima over 2 ** k places, and a search takes the
+    longest steps first that pass no smaller document, less than 2 ** levels places in all.
+    """
+    low, least = [docs], [lcp]
+    for k in range(levels - 1):
+        step = 1 << k
+        shorter, narrower = low[-1].copy(), least[-1].copy()
+        shorter[step:] = np.minimum(low[-1][step:], low[-1][:-step])
+        narrower[step:] = np.minimum(least[-1][step:], least[-1][:-step])
+        shorter[: 2 * step - 1] = -1
+        low.append(shorter)
+        least.append(narrower)
+    at, found = np.maximum(np.arange(len(docs)) - 1, 0), lcp.copy()
+    for k in reversed(range(levels)):
+        jump = np.flatnonzero(low[k][at] >= docs)
+        found[jump] = np.minimum(found[jump], least[k][at[jump]])
+        at[jump] = np.maximum(at[jump] - (1 << k), 0)
+    return found
+
+
+def tied_factors(tails: list[np.ndarray], sizes: np.ndarray, run: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
+    """LPF of suffixes that share their first ``length`` bytes with their run (``run`` ascends).
+
+    Suffixes are ordered by run, then the eight-byte words of ``tails`` that follow, then document; LCPs of
+    neighbours come from the first word in which they differ.
+    """
+    inner = np.lexsort([docs, *reversed(tails), run])
+    lcp = np.full(len(inner), TIED)
+    for k in reversed(range(len(tails))):
+        word = tails[k][inner]
+        differ = word[1:] ^ word[:-1]
+        equal = sum((differ >> np.uint64(64 - 8 * j) == 0).astype(np.int64) for j in range(1, 8))
+        lcp[1:] = np.where(differ != 0, length + 8 * k + equal, lcp[1:])
+    # a place of document -1 before every run and after the last
+    starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+    lcp[starts] = 0
+    levels = int(np.diff(np.concatenate([starts, [len(run)]])).max()).bit_length()
+    ends = np.concatenate([starts, [len(run)]])
+    order, edge = np.insert(docs[inner], ends, -1), np.insert(lcp, ends, 0)
+    after = np.concatenate([[0], edge[:0:-1]])  # seen from behind, a place's neighbour is the next one
+    found = np.maximum(smaller_before(order, edge, levels), smaller_before(order[::-1], after, levels)[::-1])
+    out = np.empty(len(inner), np.int64)
+    out[inner] = np.minimum(np.delete(found, ends + np.arange(len(ends))), sizes[inner])
+    return out
+
+
+def longest_previous(
+    text: np.ndarray, starts: np.ndarray, sizes: np.ndarray, docs: np.ndarray, length: int, block: int = 200_000
 ) -> np.ndarray:
-    """For suffixes of ``text`` at ``starts``, of documents ``docs``: is LPF against smaller documents >= length?
+    """LPF of suffixes of ``text``, ``sizes`` (>= length) bytes from ``starts``, against smaller ``docs``.
 
-    Suffixes are ordered by their first eight bytes, then blocks of whole ties by the rest, so the
-    keys of one block are held at a time.
+    0 stands for all values below ``length``: such suffixes leave as soon as their first ``length`` bytes are
+    their own.  Suffixes are ordered by their first eight bytes, then blocks of whole ties by the rest, so
+    the keys of one block are held at a time.  Behind its end a suffix counts as zero bytes, which changes no
+    value where texts have none and never whether it reaches ``length``.
     """
     padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    words = np.lib.stride_tricks.as_strided(padded, (len(text), 8), (1, 1))
+    words = np.lib.stride_tricks.as_strided(padded, (len(text) + 1, 8), (1, 1))
 
     def key(at: np.ndarray, offset: int) -> np.ndarray:
         return words[at + offset].view(">u8").ravel().astype(np.uint64)
 
+    def tail(at: np.ndarray, size: np.ndarray, offset: int) -> np.ndarray:
+        left = np.clip(size - offset, 0, 8)
+        word = key(np.minimum(at, len(text) - offset), offset)
+        cut = (np.uint64(8) * (8 - np.maximum(left, 1)).astype(np.uint64)).astype(np.uint64)
+        return np.where(left > 0, word >> cut << cut, np.uint64(0))
+
     offsets = [*range(8, length - 7, 8)] + ([length - 8] if length % 8 else [])
     head = key(starts, 0)
     order = np.argsort(head, kind="stable")
     head = head[order]
     ties = np.flatnonzero(np.concatenate([head[1:] != head[:-1], [True]])) + 1
-    out, at = np.empty(len(order), bool), 0
+    out, at = np.zeros(len(order), np.int64), 0
     while at < len(order):
         to = int(ties[np.searchsorted(ties, min(at + block, len(order)))])
         part = order[at:to]
         keys = [head[at:to], *[key(starts[part], o) for o in offsets]]
-        ranked = docs[part]
-        inner = np.lexsort([ranked, *reversed(keys)])
-        same = np.ones(len(inner), bool)
-        same[0] = False
+        inner = np.lexsort([*reversed(keys)])
+        same = np.ones(len(inner) + 1, bool)
+        same[[0, -1]] = False
         for k in keys:
             k = k[inner]
-            same[1:] &= k[1:] == k[:-1]
-        ranked = ranked[inner]
-        smallest = ranked[np.flatnonzero(~same)]  # ties are in document order
-        out[part[inner]] = ranked > smallest[np.cumsum(~same) - 1]
+            same[1:-1] &= k[1:] == k[:-1]
+        tied = np.flatnonzero(same[:-1] | same[1:])
         at = to
+        if not len(tied):
+            continue
+        run, part = np.cumsum(~same[:-1])[tied], part[inner[tied]]
+        begin, size = starts[part], sizes[part]
+        tails = [tail(begin, size, o) for o in range(length, int(size.max()), 8)]
+        out[part] = tied_factors(tails, size, run, docs[part], length)
     return out
 
 
@@ -367,8 +431,9 @@ def _sort(length: int):
         sizes = count + length - 1
         base = np.cumsum(sizes) - sizes
         shift = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        hit = earlier_factors(text, np.repeat(base, count) + shift, np.repeat(doc, count), length)
-        del text
+        left = np.repeat(sizes, count) - shift
+        hit = longest_previous(text, np.repeat(base, count) + shift, left, np.repeat(doc, count), length) >= length
+        del text, left
         # neighbouring windows that go become one span
         record = np.repeat(np.arange(len(doc)), count)
         begin = hit.copy()
@@ -497,7 +562,9 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
 
     Null texts stay null.
     """
-    marked = docs.withColumn("__had_text", F.col("text").isNotNull())
-    rows = remove_repeats(marked, **options)
-    text = F.when(F.col("doc.__had_text"), F.col("kept_text"))
+    mark = "__had_text"
+    while mark in docs.columns:
+        mark += "_"
+    rows = remove_repeats(docs.withColumn(mark, F.col("text").isNotNull()), **options)
+    text = F.when(F.col(f"doc.{mark}"), F.col("kept_text"))
     return rows.select(*[text.alias(c) if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])

@@ -4,8 +4,8 @@ Hosts are the nodes; a page's absolute links and its "(c) host" owner line are e
 per pair of hosts before anything else.  Trust starts at hosts by the share of their pages that a rule
 allows and follows links; distrust starts by the share of pages a rule blocks and follows links
 backwards, to those who link there.  Both are personalised PageRank in units of one full seed
-(score = seed + damping * incoming share), iterated as one table keyed by (host, kind).  Mass at
-hosts without links ends there.  A host is blocked if distrust exceeds trust by the threshold.
+(score = seed + damping * incoming share), iterated to a tolerance as one table keyed by (host, kind).
+Mass at hosts without links ends there.  A host is blocked if distrust exceeds trust by the threshold.
 """
 
 from __future__ import annotations
@@ -79,11 +79,15 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = 12, damping: float = 0.85) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, tolerance: float = 1e-6, damping: float = 0.85) -> DataFrame:
     """(host, kind, score) from edges (src, dst, n) and seeds (host, kind, seed).
 
-    kind 0 follows edges, kind 1 runs against them.  Every round is written to the shared folder, so
-    a plan never holds more than one.
+    kind 0 follows edges, kind 1 runs against them.  A round moves only what arrived in the one before
+    (``fresh``) and is written to the shared folder, so a plan never holds more than one.  What is still to
+    arrive anywhere is at most the sum of ``fresh`` times damping / (1 - damping); rounds stop when that is
+    at most ``tolerance``, so every score is that close to its limit, whatever the length of chains and
+    cycles.  As each round leaves at most ``damping`` of that sum, the number of rounds grows with the
+    logarithm of the number of hosts; without edges there is one.
     """
     ahead = edges.select(F.col("src").alias("host"), F.lit(0).alias("kind"), F.col("dst").alias("to"), "n")
     back = edges.select(F.col("dst").alias("host"), F.lit(1).alias("kind"), F.col("src").alias("to"), "n")
@@ -93,21 +97,23 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = 12, damping: flo
         flow.join(totals, ["host", "kind"]).select("host", "kind", "to", (F.col("n") / F.col("total")).alias("share")),
         "host-flow",
     )
-    seeds = stored(seeds, "host-seeds")
-    scores = seeds.withColumnRenamed("seed", "score")
-    for _ in range(rounds):
-        moved = flow.join(scores, ["host", "kind"]).select(
-            F.col("to").alias("host"), "kind", (damping * F.col("score") * F.col("share")).alias("score")
+    scores = stored(seeds.select("host", "kind", F.col("seed").alias("score"), F.col("seed").alias("fresh")), "host-scores")
+    nothing = F.lit(0.0)
+    while True:
+        moved = flow.join(scores.where("fresh > 0"), ["host", "kind"]).select(
+            F.col("to").alias("host"), "kind", (damping * F.col("fresh") * F.col("share")).alias("fresh")
         )
-        both = moved.unionByName(seeds.withColumnRenamed("seed", "score"))
-        scores = stored(both.groupBy("host", "kind").agg(F.sum("score").alias("score")), "host-scores")
-    return scores
+        both = scores.withColumn("fresh", nothing).unionByName(moved.withColumn("score", F.col("fresh")))
+        scores = stored(both.groupBy("host", "kind").agg(F.sum("score").alias("score"), F.sum("fresh").alias("fresh")), "host-scores")
+        left = scores.agg(F.sum("fresh")).first()[0] or 0.0
+        if left * damping / (1 - damping) <= tolerance:
+            return scores.drop("fresh")
 
 
 def judge(
     pages: DataFrame,
     rules: tuple[tuple[str, str, str], ...] = RULES,
-    rounds: int = 12,
+    tolerance: float = 1e-6,
     damping: float = 0.85,
     threshold: float = 0.5,
 ) -> DataFrame:
@@ -132,7 +138,7 @@ def judge(
             F.struct(F.lit(1).alias("kind"), F.col("blocked").alias("seed")),
         )),
     ).where("seed > 0")
-    scores = propagate(edges, seeds, rounds, damping)
+    scores = propagate(edges, seeds, tolerance, damping)
     per_host = scores.groupBy("host").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("score")).otherwise(0.0)).alias("trust"),
         F.sum(F.when(F.col("kind") == 1, F.col("score")).otherwise(0.0)).alias("distrust"),
