@@ -92,19 +92,42 @@ def _joined(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-@query
-def dau_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Devices per day, deduplicated as a stream."""
-    path = workspace(spark, "dau_stream")
-    publish(views.log_json(spark, sf_dir), "start", f"{path}/topics")
+def _keep_unread(spark: SparkSession, path: str, topics: str, max_files: int | None = None) -> None:
+    """Sets the records of both order topics aside that cannot be read."""
+    heads = order_stream(spark, topics, max_files=max_files, unread=True)
+    lines = detail_stream(spark, topics, max_files=max_files, unread=True)
+    for name, parsed in ((ORDERS, heads), (DETAILS, lines)):
+        jobs.keep_unread(parsed, f"{path}/aside", name, f"{path}/checkpoint-{name}")
+
+
+def run_dau(spark: SparkSession, path: str, topics: str) -> DataFrame:
+    """First record per device and day of the topic ``start``, kept below path; unread records go aside."""
     records = readers.parse_json(
-        readers.read_topic(spark, "start", "parquet", path=f"{path}/topics").select("value"), schemas.APP_LOG
+        readers.read_topic(spark, "start", "parquet", path=topics).select("value"), schemas.APP_LOG
     )
+    read = records.where(F.col("_corrupt").isNull())
     firsts = jobs.dau_stream(
-        records.select(F.col("common.mid").alias("mid"), F.timestamp_millis("ts").alias("ts"))
+        read.select(F.col("common.mid").alias("mid"), F.timestamp_millis("ts").alias("ts"))
     )
     jobs.drain(firsts, jobs.table_sink(f"{path}/dau"), f"{path}/checkpoint")
-    return spark.read.parquet(f"{path}/dau").select("mid", F.date_format("day", "yyyy-MM-dd").alias("dt"))
+    jobs.keep_unread(records, f"{path}/aside", "start", f"{path}/checkpoint-start")
+    return spark.read.parquet(f"{path}/dau")
+
+
+@query
+def dau_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Devices per day, deduplicated as a stream."""
+    path = workspace(spark, "dau_stream")
+    publish(views.log_json(spark, sf_dir), "start", f"{path}/topics")
+    firsts = run_dau(spark, path, f"{path}/topics")
+    return firsts.select("mid", F.date_format("day", "yyyy-MM-dd").alias("dt"))
+
+
+def run_join(spark: SparkSession, path: str, topics: str) -> DataFrame:
+    """Orders and lines of the topics joined, kept below path; unread records go aside."""
+    jobs.drain(_joined(spark, topics), jobs.table_sink(f"{path}/wide"), f"{path}/checkpoint")
+    _keep_unread(spark, path, topics)
+    return spark.read.parquet(f"{path}/wide")
 
 
 @query
@@ -223,8 +246,7 @@ def order_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order and line streams joined within 50 seconds."""
     path = workspace(spark, "order_join")
     _publish_orders(spark, sf_dir, f"{path}/topics")
-    jobs.drain(_joined(spark, f"{path}/topics"), jobs.table_sink(f"{path}/wide"), f"{path}/checkpoint")
-    return spark.read.parquet(f"{path}/wide").select(
+    return run_join(spark, path, f"{path}/topics").select(
         "order_id", "order_detail_id", "user_id", "sku_id", "detail_cents", "final_cents", "dt"
     )
 
@@ -252,6 +274,7 @@ def alloc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         shares = state.allocate(wide, ["order_detail_id"]).select("order_id", "order_detail_id", "share_cents")
         jobs.drain(shares, jobs.table_sink(f"{path}/wide"), f"{path}/checkpoint")
+        _keep_unread(spark, path, topics, FILES)
 
     for parts in ((0, 1), (2, 3)):
         for p in parts:

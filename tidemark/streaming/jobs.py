@@ -118,6 +118,18 @@ def set_aside(sink: BatchSink, path: str, job: str) -> BatchSink:
     return run
 
 
+def keep_unread(parsed: DataFrame, path: str, job: str, checkpoint: str) -> None:
+    """Work off the records of a stream (``parse_json``) that cannot be read: their text goes to the topic
+    ``unread`` below path, once per batch.
+
+    For jobs whose plan keeps states, where a sink comes too late to see them.  It is a job of its own with its own
+    checkpoint, so the topic is read twice; only the unreadable records leave the scan.
+    """
+    unread = parsed.where(F.col("_corrupt").isNotNull())
+    texts = unread.select(F.col("_corrupt").alias("value"), F.lit(UNREAD).alias("topic"))
+    drain(texts, topic_sink(path, f"{UNREAD}-{job}"), checkpoint)
+
+
 def replayed(sink: BatchSink) -> BatchSink:
     """A sink whose every batch runs twice, as after a crash just before its checkpoint."""
 
