@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from compare import connect, differences
 from conftest import SF
@@ -118,6 +119,44 @@ def test_allocation_over_four_batches_equals_the_batch_function(spark, path):
     assert spark.read.parquet(f"{path}/out").select("batch_id").distinct().count() == 4
 
 
+def test_orders_of_one_group_keep_their_own_sums_and_expire_one_by_one(spark, path):
+    """Orders that share a state table: one call of the group for all of them, and each has its own time."""
+    schema = LINE + ", final_cents long, original_cents long"
+    feed, calls = Feed(spark, f"{path}/in", schema), spark.sparkContext.accumulator(0)
+    plain = state.share_out
+
+    def counted(*args):
+        calls.add(1)
+        return plain(*args)
+
+    def run(sink=jobs.table_sink(f"{path}/out")):  # noqa: B008
+        lines = feed.stream().withWatermark("detail_time", "10 seconds")
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(state, "share_out", counted)
+            jobs.drain(state.allocate(lines, ["order_detail_id"], 600, groups=2), sink, f"{path}/cp")
+        return {(r.order_id, r.order_detail_id): r.share_cents for r in spark.read.parquet(f"{path}/out").collect()}
+
+    feed.add([(o, 1, 100, at(0), 90 + o, 300) for o in range(40)])
+    run()
+    assert calls.value == 2  # was one call of Python per order
+    feed.add([(o, 2, 100, at(9 if o < 20 else 1), 90 + o, 300) for o in range(40)])
+    run()
+    feed.add([(100, 1, 5, at(15), 5, 5), (101, 1, 5, at(15), 5, 5)])
+    run()  # 14:50 is past 1:00 + 10 minutes, not past 9:00 + 10 minutes
+    feed.add([(o, 3, 100, at(18), 90 + o, 300) for o in range(40)])
+    got = run()
+    third = lambda o: (2 * (90 + o) * 100 + 300) // 600
+    for o in range(40):
+        rest = 90 + o - 2 * third(o)
+        assert (got[o, 1], got[o, 2], got[o, 3]) == (third(o), third(o), rest if o < 20 else third(o))
+
+
+def test_shares_of_amounts_beyond_64_bits():
+    big = 4 * 10**12
+    parts = state._parts(np.array([big, 3, -7]), np.array([3 * big, 0, 2]), np.array([big + 1, 5, 1]))
+    assert parts.tolist() == [(2 * (big + 1) * big + 3 * big) // (6 * big), 0, (-14 + 2) // 4]
+
+
 @pytest.mark.parametrize("point", ["before the rename", "after the rename"])
 def test_every_layer_survives_a_crash(spark, monkeypatch, point):
     """Each layer crashes once between its data and their record, or between that and its checkpoint."""

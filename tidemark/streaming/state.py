@@ -1,8 +1,9 @@
 """Jobs that keep a small state per key in the state store.
 
-The cost of a batch follows its rows, not the keys ever seen: nothing is read or rewritten but the states
-of the keys in the batch.  A restarted batch runs on the states of the batch before it, so its rows come
-out the same, and a sink that publishes a batch once makes the whole exact.
+The state of an order is a row of a table, and ``ORDER_GROUPS`` tables hold them all, because a call of Python
+for each order costs far more than the work on it.  The cost of a batch follows its rows and the tables that it
+touches.  A restarted batch runs on the states of the batch before it, so its rows come out the same, and a sink
+that publishes a batch once makes the whole exact.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 # executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_LANE = "_lane"
+_LANE, _ORDER = "_lane", "_order"
 
 
 def _with(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
@@ -85,62 +86,117 @@ def flag_first_orders(orders: DataFrame, lanes: int = 16) -> DataFrame:
 
 # ---- allocation ---------------------------------------------------------------------------------------
 
+#: Groups that share a state table.  A prime, so that ids with a common step spread over all of them; a
+#: checkpoint is bound to it.
+ORDER_GROUPS = 4093
+_EXACT = 2.0**62
 
-def share_out(
-    details: list, originals: list, finals: list, detail: int, given: int, lines: int
-) -> tuple[list[int | None], int, int, int]:
-    """Shares of the lines of one order, in their order, after ``lines`` lines that summed up to ``detail``
-    and were given ``given``; then the new sums.  Amounts are cents, half a cent goes up; the rest of an
-    unknown amount is unknown."""
-    shares = []
-    for line, original, final in zip(details, originals, finals):
-        known = line is not None and original is not None
-        part = (2 * final * line + original) // (2 * original) if known and final is not None and original else 0
-        takes_rest = known and detail + line == original and (line > 0 or not lines)
-        shares.append(part if not takes_rest else None if final is None else final - given)
-        detail, given, lines = detail + (line or 0), given + part, lines + 1
-    return shares, detail, given, lines
 
+def _integers(values: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers with 0 for a missing one, which are there)."""
+    there = values.notna().to_numpy()
+    return values.where(there, 0).to_numpy().astype(np.int64), there
 
-def _integers(values: pd.Series) -> list:
-    # a missing value is None, or not equal to itself
-    return [None if v is None or v != v else int(v) for v in values.tolist()]
 
+def _parts(detail: np.ndarray, original: np.ndarray, final: np.ndarray) -> np.ndarray:
+    """final * detail / original, half a cent up; 0 for a zero total."""
+    some = original != 0
+    below = np.where(some, original, 1)
+    large = some & (2.0 * np.abs(final.astype(float)) * np.abs(detail) + np.abs(original) >= _EXACT)
+    with np.errstate(over="ignore"):
+        parts = np.where(some, (2 * final * detail + below) // (2 * below), 0)
+    for i in np.flatnonzero(large):
+        f, d, o = int(final[i]), int(detail[i]), int(original[i])
+        parts[i] = (2 * f * d + o) // (2 * o)
+    return parts
 
-def allocate(wide: DataFrame, line_order: list[str], ttl_seconds: int = 600) -> DataFrame:
+
+def _before(values: np.ndarray, starts: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Sums of the values in front of each one, inside its group."""
+    total = np.cumsum(values) - values
+    return total - total[starts][group]
+
+
+def share_out(rows: pd.DataFrame, held: np.ndarray, ttl: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(shares, which are known, new table) of lines sorted by order and then in line order.
+
+    ``held`` is the table of the group, sorted by order: order, the sums of detail and given, the lines and
+    the newest time of what came before.  Amounts are cents; the rest of an unknown amount is unknown.
+    """
+    ids = rows["order_id"].to_numpy().astype(np.int64)
+    times = rows["detail_time"].to_numpy().astype("datetime64[ms]").astype(np.int64)
+    (detail, d_there), (original, o_there), (final, f_there) = (
+        _integers(rows[c]) for c in ("detail_cents", "original_cents", "final_cents")
+    )
+    orders, starts, group = np.unique(ids, return_index=True, return_inverse=True)
+    known = d_there & o_there
+    part = np.where(known & f_there, _parts(detail, original, final), 0)
+
+    # what the orders carry; a line that comes later than ttl after the last one starts anew
+    at = np.searchsorted(held[:, 0], orders)
+    old = np.zeros((len(orders), 5), np.int64)
+    old[:, 4] = np.iinfo(np.int64).min
+    hit = at < len(held)
+    hit[hit] = held[at[hit], 0] == orders[hit]
+    old[hit] = held[at[hit]]
+    first, last = np.minimum.reduceat(times, starts), np.maximum.reduceat(times, starts)
+    anew = hit & (first > old[:, 4] + ttl)
+    old[anew, 1:4] = 0
+
+    before = _before(detail, starts, group) + old[group, 1]
+    given = _before(part, starts, group) + old[group, 2]
+    lines = np.arange(len(ids)) - starts[group] + old[group, 3]
+    takes_rest = known & (before + detail == original) & ((detail > 0) | (lines == 0))
+    shares = np.where(takes_rest, final - given, part)
+
+    sums = [np.add.reduceat(detail, starts), np.add.reduceat(part, starts), np.bincount(group)]
+    fresh = np.column_stack([orders, *[old[:, k + 1] + s for k, s in enumerate(sums)], np.maximum(old[:, 4], last)])
+    others = held[~np.isin(held[:, 0], orders)]
+    table = np.concatenate([others, fresh])
+    return shares, f_there | ~takes_rest, table[np.argsort(table[:, 0])]
+
+
+def allocate(
+    wide: DataFrame, line_order: list[str], ttl_seconds: int = 600, groups: int = ORDER_GROUPS
+) -> DataFrame:
     """Paid amounts spread over order lines that arrive in any number of batches: adds ``share_cents``.
 
     ``wide`` is a stream with order_id, detail_cents, original_cents, final_cents and detail_time, which
     carries the watermark.  The lines of a batch count in ``line_order`` after those of earlier batches.
-    The state of an order (sums and the newest time) is dropped when the watermark is ``ttl_seconds``
-    past it; a line that comes later than that starts anew.  One group holds the lines of one order in one
-    micro-batch, which the source's limit on a batch bounds.
+    The state of an order (sums and the newest time, 40 bytes) is dropped when the watermark is ``ttl_seconds``
+    past it; a line that comes later than that starts anew.  Orders with the same remainder of their id by
+    ``groups`` (the key of the state, called order_id too) share a table.  One group holds the lines of its orders
+    in one micro-batch, which the source's limit on a batch bounds, and the states of those that are alive.
     """
     ttl = ttl_seconds * 1000
 
+    def keep(state: GroupState, table: np.ndarray) -> None:
+        if len(table):
+            state.update((table.tobytes(),))
+            state.setTimeoutTimestamp(max(int(table[:, 4].min()) + ttl, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = np.frombuffer(state.get[0], np.int64).reshape(-1, 5) if state.exists else np.zeros((0, 5), np.int64)
+        alive = held[:, 4] + ttl >= state.getCurrentWatermarkMs()
         if state.hasTimedOut:
-            state.remove()
+            keep(state, held[alive])
             return
         parts = list(frames)
-        rows = parts[0] if len(parts) == 1 else pd.concat(parts)
-        if len(rows) > 1:
-            rows = rows.sort_values(line_order)
-        times = rows["detail_time"].to_numpy().astype("datetime64[ms]").astype(np.int64)
-        detail, given, lines, seen = state.get if state.exists else (0, 0, 0, int(times.min()))
-        if int(times.min()) > seen + ttl:
-            detail = given = lines = 0
-        columns = [_integers(rows[c]) for c in ("detail_cents", "original_cents", "final_cents")]
-        shares, detail, given, lines = share_out(*columns, detail, given, lines)
-        seen = max(seen, int(times.max()))
-        state.update((detail, given, lines, seen))
-        state.setTimeoutTimestamp(max(seen + ttl, state.getCurrentWatermarkMs() + 1))
-        yield rows.assign(share_cents=pd.array(shares, "Int64"))
-
-    return wide.groupBy("order_id").applyInPandasWithState(
+        rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        rows = rows.drop(columns="order_id").rename(columns={_ORDER: "order_id"})
+        rows = rows.sort_values(["order_id", *line_order])
+        shares, known, table = share_out(rows, held, ttl)
+        gone = held[~alive & ~np.isin(held[:, 0], rows["order_id"].to_numpy()), 0]
+        keep(state, table[~np.isin(table[:, 0], gone)])
+        yield rows.assign(share_cents=pd.arrays.IntegerArray(shares, ~known))
+
+    dealt = wide.withColumnRenamed("order_id", _ORDER).withColumn("order_id", F.pmod(_ORDER, F.lit(groups)))
+    return dealt.groupBy("order_id").applyInPandasWithState(
         run,
         _with(wide.schema, "share_cents", T.LongType()),
-        "detail bigint, given bigint, lines bigint, seen bigint",
+        "orders binary",
         "append",
         GroupStateTimeout.EventTimeTimeout,
     )
