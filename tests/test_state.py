@@ -71,6 +71,26 @@ def test_hot_users_do_not_meet_one_state(spark, path):
     assert sizes.pop(0) == 1 and len(sizes) == 16 and max(sizes.values()) <= 63
 
 
+def test_users_of_one_group_keep_their_own_first_order(spark, path):
+    """Users that share a state table, some without an id or with ids next to each other beyond 2^53."""
+    feed, groups, big = Feed(spark, f"{path}/in", ORDER), 3, 2**60
+    rows = [(i, big + i % 50, f"2021-01-{1 + i // 60:02d} 10:00:00", None) for i in range(240)]
+    rows += [(1000 + i, None, f"2021-01-{1 + i:02d} 09:00:00", None) for i in range(4)]
+    for k in range(4):
+        feed.add([r for r in rows if r[2] < f"2021-01-{k + 2:02d}" and r[2] >= f"2021-01-{k + 1:02d}"])
+        flagged = state.flag_first_orders(feed.stream(), lanes=3, groups=groups)
+        jobs.drain(flagged, jobs.replayed(jobs.table_sink(f"{path}/out")), f"{path}/cp")
+    found = spark.read.parquet(f"{path}/out")
+    want = orders.first_order_flag(spark.createDataFrame(rows, ORDER).where("user_id is not null"))
+    firsts = {r.id for r in want.where("if_first_order = '1'").collect()} | {1000}
+    assert {r.id for r in found.where("if_first_order = '1'").collect()} == firsts
+    assert {(r.id, r.user_id) for r in found.collect()} == {(r[0], r[1]) for r in rows}
+    assert found.count() == len(rows)
+    # was one state, and one call of Python, per user
+    store = spark.read.format("statestore").load(f"{path}/cp")
+    assert store.where("value.groupState is not null").count() <= groups + 1
+
+
 def test_allocation_state_expires_with_the_watermark(spark, path):
     feed = Feed(spark, f"{path}/in", LINE + ", final_cents long, original_cents long")
 
@@ -141,10 +161,12 @@ def test_orders_of_one_group_keep_their_own_sums_and_expire_one_by_one(spark, pa
     assert calls.value == 2  # was one call of Python per order
     feed.add([(o, 2, 100, at(9 if o < 20 else 1), 90 + o, 300) for o in range(40)])
     run()
-    feed.add([(100, 1, 5, at(15), 5, 5), (101, 1, 5, at(15), 5, 5)])
+    feed.add([(100, 1, 5, at(15), 5, 5), (101, 1, 5, at(15), 5, 5), (103, None, None, at(15), 5, 5), (103, 2**60 + 1, 5, at(15), 5, 5)])
     run()  # 14:50 is past 1:00 + 10 minutes, not past 9:00 + 10 minutes
     feed.add([(o, 3, 100, at(18), 90 + o, 300) for o in range(40)])
     got = run()
+    # ids beyond 2^53 beside a line without an id
+    assert got[103, 2**60 + 1] == 5 and got[103, None] == 0
     third = lambda o: (2 * (90 + o) * 100 + 300) // 600
     for o in range(40):
         rest = 90 + o - 2 * third(o)

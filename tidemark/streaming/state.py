@@ -1,8 +1,8 @@
 """Jobs that keep a small state per key in the state store.
 
-The state of an order is a row of a table, and ``ORDER_GROUPS`` tables hold them all, because a call of Python
-for each order costs far more than the work on it.  The cost of a batch follows its rows and the tables that it
-touches.  A restarted batch runs on the states of the batch before it, so its rows come out the same, and a sink
+The state of a user or order is a row of a table, and a few thousand tables hold them all, because a call of
+Python for each key costs far more than the work on it.  The cost of a batch follows its rows and the tables that
+it touches.  A restarted batch runs on the states of the batch before it, so its rows come out the same, and a sink
 that publishes a batch once makes the whole exact.
 """
 
@@ -24,13 +24,32 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 # executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_LANE, _ORDER = "_lane", "_order"
+_LANE, _ORDER, _NULLS = "_lane", "_order", "_nulls"
 
 
 def _with(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(name, kind)])
 
 
+def _whole(schema: T.StructType) -> list[str]:
+    return [f.name for f in schema.fields if isinstance(f.dataType, T.IntegralType)]
+
+
+def _dense(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Whole numbers with 0 for a missing one and ``_nulls``, whose bits say which those are: pandas would turn a
+    column with a missing number to floats, which do not hold ids above 2^53."""
+    bits = [F.when(F.col(c).isNull(), F.lit(1 << k)).otherwise(F.lit(0)).cast("bigint") for k, c in enumerate(columns)]
+    nulls = F.aggregate(F.array(*bits), F.lit(0).cast("bigint"), lambda a, b: a.bitwiseOR(b))
+    zeros = {c: F.coalesce(c, F.lit(0).cast(df.schema[c].dataType)) for c in columns}
+    return df.withColumn(_NULLS, nulls).withColumns(zeros)
+
+
+def _sparse(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns as they were before ``_dense``."""
+    there = {c: F.col(_NULLS).bitwiseAND(F.lit(1 << k)) == 0 for k, c in enumerate(columns)}
+    return df.withColumns({c: F.when(is_there, F.col(c)) for c, is_there in there.items()}).drop(_NULLS)
+
+
 # ---- first order ------------------------------------------------------------------------------------
 
 
@@ -51,37 +70,53 @@ def _deal(lanes: int):
     return run
 
 
+#: Groups of users that share a state table; a checkpoint is bound to it.  One more is for orders without a user.
+USER_GROUPS = 4096
+_USERS = "_users"
+
+
 def _flag(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """"1" on the earliest order of a user without a state, "0" on all others."""
+    """"1" on the earliest order of every user of the group who is not in its table, "0" on all others."""
+    extra = [_LANE, _USERS]
     if key[1]:
         for rows in frames:
-            yield rows.drop(columns=_LANE).assign(if_first_order="0")
+            yield rows.drop(columns=extra).assign(if_first_order="0")
         return
     # one row per user and Arrow batch of this micro-batch
-    rows = pd.concat(list(frames)).drop(columns=_LANE).sort_values(["create_time", "id"]).reset_index(drop=True)
-    flags = ["0"] * len(rows)
-    if not state.exists:
-        flags[0] = "1"
-        state.update((rows["id"][0],))
-    yield rows.assign(if_first_order=flags)
-
-
-def flag_first_orders(orders: DataFrame, lanes: int = 16) -> DataFrame:
+    rows = pd.concat(list(frames)).drop(columns=extra).sort_values(["create_time", "id"]).reset_index(drop=True)
+    users, firsts = state.get if state.exists else ([], [])
+    if key[0] < 0:  # no user; their orders count as those of one
+        fresh = (rows.index == 0) & (not firsts)
+    else:
+        fresh = ~rows["user_id"].duplicated().to_numpy() & ~rows["user_id"].isin(users).to_numpy()
+    if fresh.any():
+        new = rows.loc[fresh]
+        names = [None] if key[0] < 0 else new["user_id"].tolist()
+        state.update(([*users, *names], [*firsts, *new["id"].tolist()]))
+    yield rows.assign(if_first_order=np.where(fresh, "1", "0"))
+
+
+def flag_first_orders(orders: DataFrame, lanes: int = 16, groups: int = USER_GROUPS) -> DataFrame:
     """orders (id, user_id, create_time, ...) as a stream with ``if_first_order``.
 
-    The state of a user is the id of the first order.  Only rows that may be a user's first meet it: the
-    earliest per user of every Arrow batch.  All others are dealt over ``lanes`` keys without a state, so a
-    user with very many orders does not fill one task.  Ties on create_time go to the smaller id; orders
-    without a user count as those of one.
+    The state of a user is the id of the first order, a row of the table of the user's group (a hash).  Only
+    rows that may be a user's first meet it: the earliest per user of every Arrow batch.  All others are dealt
+    over lanes x lanes keys without a state, so a user with very many orders does not fill one task.  Ties on
+    create_time go to the smaller id; orders without a user count as those of one.
     """
     dealt = orders.mapInArrow(_deal(lanes), _with(orders.schema, _LANE, T.IntegerType()))
-    return dealt.groupBy("user_id", _LANE).applyInPandasWithState(
+    mine = F.xxhash64("user_id")
+    group = F.pmod(mine, F.when(F.col(_LANE) == 0, groups).otherwise(lanes)).cast("int")
+    group = F.when(F.col("user_id").isNull(), F.lit(-1)).otherwise(group)
+    kind, whole = orders.schema["user_id"].dataType.simpleString(), _whole(orders.schema)
+    flagged = _dense(dealt.withColumn(_USERS, group), whole).groupBy(_USERS, _LANE).applyInPandasWithState(
         _flag,
-        _with(orders.schema, "if_first_order", T.StringType()),
-        "first_order_id bigint",
+        _with(_with(orders.schema, _NULLS, T.LongType()), "if_first_order", T.StringType()),
+        f"users array<{kind}>, first_order_ids array<bigint>",
         "append",
         GroupStateTimeout.NoTimeout,
     )
+    return _sparse(flagged, whole)
 
 
 # ---- allocation ---------------------------------------------------------------------------------------
@@ -92,12 +127,6 @@ ORDER_GROUPS = 4093
 _EXACT = 2.0**62
 
 
-def _integers(values: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    """(numbers with 0 for a missing one, which are there)."""
-    there = values.notna().to_numpy()
-    return values.where(there, 0).to_numpy().astype(np.int64), there
-
-
 def _parts(detail: np.ndarray, original: np.ndarray, final: np.ndarray) -> np.ndarray:
     """final * detail / original, half a cent up; 0 for a zero total."""
     some = original != 0
@@ -117,17 +146,20 @@ def _before(values: np.ndarray, starts: np.ndarray, group: np.ndarray) -> np.nda
     return total - total[starts][group]
 
 
-def share_out(rows: pd.DataFrame, held: np.ndarray, ttl: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def share_out(
+    rows: pd.DataFrame, held: np.ndarray, ttl: int, whole: list[str]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(shares, which are known, new table) of lines sorted by order and then in line order.
 
     ``held`` is the table of the group, sorted by order: order, the sums of detail and given, the lines and
     the newest time of what came before.  Amounts are cents; the rest of an unknown amount is unknown.
+    ``whole`` names the columns that ``_dense`` has filled.
     """
     ids = rows["order_id"].to_numpy().astype(np.int64)
     times = rows["detail_time"].to_numpy().astype("datetime64[ms]").astype(np.int64)
-    (detail, d_there), (original, o_there), (final, f_there) = (
-        _integers(rows[c]) for c in ("detail_cents", "original_cents", "final_cents")
-    )
+    amounts, nulls = ("detail_cents", "original_cents", "final_cents"), rows[_NULLS].to_numpy()
+    detail, original, final = (rows[c].to_numpy().astype(np.int64) for c in amounts)
+    d_there, o_there, f_there = (nulls & (1 << whole.index(c)) == 0 for c in amounts)
     orders, starts, group = np.unique(ids, return_index=True, return_inverse=True)
     known = d_there & o_there
     part = np.where(known & f_there, _parts(detail, original, final), 0)
@@ -168,7 +200,7 @@ def allocate(
     ``groups`` (the key of the state, called order_id too) share a table.  One group holds the lines of its orders
     in one micro-batch, which the source's limit on a batch bounds, and the states of those that are alive.
     """
-    ttl = ttl_seconds * 1000
+    ttl, whole = ttl_seconds * 1000, [c for c in _whole(wide.schema) if c != "order_id"]
 
     def keep(state: GroupState, table: np.ndarray) -> None:
         if len(table):
@@ -187,16 +219,17 @@ def allocate(
         rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
         rows = rows.drop(columns="order_id").rename(columns={_ORDER: "order_id"})
         rows = rows.sort_values(["order_id", *line_order])
-        shares, known, table = share_out(rows, held, ttl)
+        shares, known, table = share_out(rows, held, ttl, whole)
         gone = held[~alive & ~np.isin(held[:, 0], rows["order_id"].to_numpy()), 0]
         keep(state, table[~np.isin(table[:, 0], gone)])
         yield rows.assign(share_cents=pd.arrays.IntegerArray(shares, ~known))
 
     dealt = wide.withColumnRenamed("order_id", _ORDER).withColumn("order_id", F.pmod(_ORDER, F.lit(groups)))
-    return dealt.groupBy("order_id").applyInPandasWithState(
+    shares = _dense(dealt, whole).groupBy("order_id").applyInPandasWithState(
         run,
-        _with(wide.schema, "share_cents", T.LongType()),
+        _with(_with(wide.schema, _NULLS, T.LongType()), "share_cents", T.LongType()),
         "orders binary",
         "append",
         GroupStateTimeout.EventTimeTimeout,
     )
+    return _sparse(shares, whole)
