@@ -6,7 +6,7 @@ from conftest import SF
 from pyspark.sql import functions as F
 
 from tidemark.operators import dims, orders, relational, skew
-from tidemark.plans import views
+from tidemark.plans import queries, views
 
 WIDE = "order_id long, order_detail_id long, detail_cents long"
 HEAD = "order_id long, original_cents long, final_cents long"
@@ -267,3 +267,9 @@ def test_hot_lookup_key_is_split(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_wide_record_shuffles_lines_to_their_order_once(spark):
+    """All orders are wanted, so the lines are not narrowed by them first."""
+    plan = queries.QUERIES["order_wide_record"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan
