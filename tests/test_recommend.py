@@ -1,5 +1,6 @@
 import math
 import random
+import time
 from itertools import product
 
 import numpy as np
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import factorization, online, ratings, similarity
+from tidemark.session import stored
 
 WORDS = ["action", "drama", "comedy", "war", "music", "crime", "western"]
 
@@ -214,3 +216,46 @@ def test_vectors_are_shuffled_once_per_large_block(spark):
     wide = spark.range(1_200_000).select("id", F.array_repeat(F.lit(1.0), 50).alias("vec"))
     assert similarity.n_blocks(wide, "vec", 8) == 12
     assert similarity.n_blocks(wide, "vec", 8, block_bytes=2**20) == 458  # 480 million bytes
+
+
+def test_dense_vectors_are_shuffled_once_for_all_blocks(spark):
+    """Blocks of 7 of 300 vectors: every vector was repeated for each of the 43 blocks before."""
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(300, 6)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "profile int, vec array<float>")
+    pairs = similarity.dense_pairs(df, 0.5, block_rows=7, tile=4)
+    assert "Exchange" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+    unit = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1)[:, None]
+    sims = np.round(unit @ unit.T, 9)
+    want = {(i, j) for i, j in zip(*np.nonzero(sims > 0.5)) if i != j}
+    got = pairs.collect()
+    assert {(r.profile, r.other_profile) for r in got} == want and len(got) == len(want)
+    assert all(abs(r.score - sims[r.profile, r.other_profile]) <= 2e-9 for r in got)
+
+
+def test_scores_at_the_threshold_are_decided_in_double_precision(spark):
+    """0.6 exactly is not above 0.6; the next double that is left after rounding to nine digits is."""
+    at = [0.6, 0.8]
+    above = [0.6 + 2e-9, (1 - (0.6 + 2e-9) ** 2) ** 0.5]
+    rows = [(0, [1.0, 0.0]), (1, at), (2, above)]
+    df = spark.createDataFrame(rows, "profile int, vec array<double>")
+    got = {(r.profile, r.other_profile) for r in similarity.dense_pairs(df, 0.6).collect()}
+    assert got == {(0, 2), (2, 0), (1, 2), (2, 1)}
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def shuffle_files():
+        disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {n for n in (str(f) for f in disk.getAllFiles().mkString("\n").split("\n")) if "/shuffle_" in n}
+
+    before = shuffle_files()
+    sums = spark.range(1000).withColumn("k", F.col("id") % 7).groupBy("k").agg(F.sum("id").alias("s"))
+    rows = stored(sums, "sums")
+    for _ in range(50):
+        kept = [n for n in shuffle_files() - before if n.endswith(".data")]
+        if not kept:
+            break
+        time.sleep(0.2)
+    assert not kept and rows.count() == 7
