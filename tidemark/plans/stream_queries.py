@@ -79,17 +79,10 @@ def _publish_orders(spark: SparkSession, sf_dir: str, path: str) -> None:
     publish(writers.as_messages(views.detail_records(spark, sf_dir), "order_id"), DETAILS, path)
 
 
-def _hot_orders(spark: SparkSession, path: str, topics: str, schema=schemas.ORDER_DETAIL) -> DataFrame:
+def _hot_orders(spark: SparkSession, path: str, topics: str) -> DataFrame:
     """The orders with very many lines among those that wait in the topic."""
     waiting = readers.topic_so_far(spark, DETAILS, topics).select("value")
-    return jobs.hot_orders(readers.parse_json(waiting, schema).select("order_id"), f"{path}/hot_orders")
-
-
-def _joined(spark: SparkSession, path: str) -> DataFrame:
-    hot = _hot_orders(spark, path, path)
-    return jobs.join_order_streams(
-        _heads(order_stream(spark, path)), _lines(detail_stream(spark, path)), hot=hot
-    )
+    return jobs.hot_orders(readers.parse_json(waiting, schemas.ORDER_DETAIL).select("order_id"), f"{path}/hot_orders")
 
 
 def _keep_unread(spark: SparkSession, path: str, topics: str, max_files: int | None = None) -> None:
@@ -125,7 +118,9 @@ def dau_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_join(spark: SparkSession, path: str, topics: str) -> DataFrame:
     """Orders and lines of the topics joined, kept below path; unread records go aside."""
-    jobs.drain(_joined(spark, topics), jobs.table_sink(f"{path}/wide"), f"{path}/checkpoint")
+    heads, lines = _heads(order_stream(spark, topics)), _lines(detail_stream(spark, topics))
+    both, sink = jobs.join_waiting(heads, lines, f"{path}/waiting", jobs.table_sink(f"{path}/wide"))
+    jobs.drain(both, sink, f"{path}/checkpoint")
     _keep_unread(spark, path, topics)
     return spark.read.parquet(f"{path}/wide")
 
@@ -395,12 +390,11 @@ def layers(spark: SparkSession, sf_dir: str, drain: Callable[[DataFrame, jobs.Ba
     lines = readers.parse_json(
         readers.read_topic(spark, DETAILS, "parquet", path=topics).select("value"), enriched
     )
-    wide = jobs.join_order_streams(
-        _heads(order_stream(spark, topics, ORDERS)), _lines(lines, "tm_id", "tm_name"),
-        hot=_hot_orders(spark, path, topics, enriched),
-    )
     sink = jobs.allocate_sink(f"{path}/state", jobs.table_sink(f"{path}/wide"), ["order_detail_id"])
-    drain(wide, sink, f"{path}/checkpoints/dws")
+    both, sink = jobs.join_waiting(
+        _heads(order_stream(spark, topics, ORDERS)), _lines(lines, "tm_id", "tm_name"), f"{path}/waiting", sink
+    )
+    drain(both, sink, f"{path}/checkpoints/dws")
 
     # ADS: brand sums per batch, written once
     stored = spark.read.parquet(f"{path}/wide")
