@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import factorization, online, ratings, similarity
-from tidemark.session import stored
+from tidemark.session import stored, tune
 
 WORDS = ["action", "drama", "comedy", "war", "music", "crime", "western"]
 
@@ -259,3 +259,20 @@ def test_stored_tables_leave_no_shuffle_files(spark):
             break
         time.sleep(0.2)
     assert not kept and rows.count() == 7
+
+
+def test_what_a_task_sorts_does_not_grow_with_the_input(spark):
+    """Shuffles had as many partitions as the session has cores, however large."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    tune(spark)
+    before = spark.conf.get(key)
+    assert int(before.removesuffix("b")) <= 16 * 2**20
+    try:
+        spark.conf.set(key, "1m")
+        parts = [
+            spark.range(n).select(F.xxhash64("id").alias("k")).groupBy("k").count().rdd.getNumPartitions()
+            for n in (1_000_000, 4_000_000)
+        ]
+    finally:
+        spark.conf.set(key, before)
+    assert parts[0] > 4 and parts[1] > 2 * parts[0]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import lg
+from ..session import stored
 from .relational import top_n_per_group
 from .similarity import ranked_members, sims_with_better
 
@@ -115,5 +116,6 @@ def online_recs(
     last = keep_last(events.select("uid", "mid", ts_col), ["uid"], [ts_col])
     users = last.select("uid")
     own = ratings.join(users, "uid", "left_semi")
-    candidates = top_unseen_similar(last, own, sims, members, n)
+    # stored, so that the shuffle files of the search are gone before those of the scores come
+    candidates = stored(top_unseen_similar(last, own, sims, members, n), "candidates")
     return rescore(candidates, recent_ratings(own, k_recent, ts_col), sims, members)

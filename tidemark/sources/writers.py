@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shuffles_dropped
 from . import keyed
 from .readers import read_small_files
 
@@ -15,10 +16,11 @@ from .readers import read_small_files
 def write_overwrite(df: DataFrame, name: str | None = None, path: str | None = None) -> None:
     """Replace a result table or folder."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if path:
-        writer.parquet(path)
-    else:
-        writer.saveAsTable(name)
+    with shuffles_dropped(df.sparkSession):
+        if path:
+            writer.parquet(path)
+        else:
+            writer.saveAsTable(name)
 
 
 def write_text(df: DataFrame, path: str, cols: list[str] | None = None, sep: str = ",") -> None:
@@ -157,7 +159,8 @@ def write_topic(
             .save()
         )
     else:
-        rows.write.mode(mode).partitionBy("topic").parquet(path)
+        with shuffles_dropped(rows.sparkSession):
+            rows.write.mode(mode).partitionBy("topic").parquet(path)
 
 
 def create_table(
