@@ -3,8 +3,10 @@
 import math
 import random
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -386,6 +388,37 @@ def test_pieces_giant_equals_library(spark):
             assert r["decoded"] == t
 
 
+def test_pieces_take_long_rows_few_at_a_time():
+    """A batch of 512 long texts was held as Python objects at once."""
+    sent, held = SimpleNamespace(value=open(pieces.MODEL, "rb").read()), []
+
+    def watched(batches):
+        for part in batches:
+            held.append(part.num_rows)
+            yield part
+
+    texts = ["some words " * 20_000] * 12 + [None, "short", ""]
+    batch = pa.RecordBatch.from_pydict({"doc": pa.array([{"doc_id": i, "text": t} for i, t in enumerate(texts)])})
+    ids = [i for part in watched(pieces._encode_rows(sent, "text")(iter([batch]))) for i in part["ids"].to_pylist()]
+    sp = pieces.processor(sent.value)
+    assert ids == [None if t is None else sp.encode(t) for t in texts]
+    assert held == [4, 4, 7]  # the last three are short
+
+
+def test_pieces_decode_as_the_library():
+    data = open(pieces.MODEL, "rb").read()
+    sp = pieces.processor(data)
+    rng = random.Random(6)
+    texts = ["", " ", "  a", "\n\nb", "日本 🎉€", "a  b ", "\x00", " \n"]
+    good = [sp.encode(t) for t in texts] + [None, [], [13], [35, 300], [sp.piece_to_id("▁")] * 3]
+    byte = [0xE6 + 3, 0x97 + 3, 0xED + 3, 0xA0 + 3, 0x80 + 3, 0xFF + 3]
+    mixed = [[rng.choice([0, 1, 2, *byte, 300, 400, 5_000, 13]) for _ in range(rng.randint(0, 8))] for _ in range(300)]
+    for lists in (good, mixed, [r for r in mixed if not {0, 1, 2} & set(r)], *([r] for r in mixed), []):
+        want = [None if r is None else sp.decode(r) for r in lists]
+        array = pa.array([[7], *lists, [9]], pa.list_(pa.int32())).slice(1, len(lists))
+        assert pieces.texts_of(data, array).to_pylist() == want
+
+
 # -- vectors
 
 

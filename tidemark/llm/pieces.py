@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,7 +36,10 @@ ship(__name__)
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 GIANT = 32_768
 NONE = float("-inf")
+#: Bytes of text, and ids, that a task holds as Python objects at once; one row may have more.
+MOST_BYTES, MOST_IDS = 2**20, 2**18
 _loaded: dict[int, sentencepiece.SentencePieceProcessor] = {}
+_spelt: dict[int, tuple[pa.Array, np.ndarray, np.ndarray] | None] = {}
 
 
 def send_model(spark: SparkSession, path: str) -> Broadcast:
@@ -81,6 +85,17 @@ def ends(sp, text: str) -> tuple[int, int]:
     return (sizes[0], sizes[-1]) if sizes else (0, 0)
 
 
+def slices(batch: pa.RecordBatch, sizes: pa.Array, most: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of at most ``most`` of ``sizes`` (one figure per row, null: 0), or of one row."""
+    ends = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def compose(a: dict, b: dict) -> dict:
     """Max-plus product of two transfer matrices {entry: {exit: weight}}."""
     out: dict = {}
@@ -134,6 +149,11 @@ def transfer(sp, piece: str, at: int, to: int, shift: int, first: bool, last: bo
     return {i: dict.fromkeys(onto, 0.0) for i in into}
 
 
+def _by_piece(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield from slices(b, pc.binary_length(b["piece"]), MOST_BYTES)
+
+
 def _packed(matrix: dict) -> str:
     return json.dumps([[list(i), [[list(o), w] for o, w in row.items()]] for i, row in matrix.items()])
 
@@ -146,11 +166,10 @@ def _transfers(sent: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = processor(sent.value)
         width = reach(sp)
-        for b in batches:
-            rows = b.to_pylist()
+        for b in _by_piece(batches):
             found = [
                 _packed(transfer(sp, r["piece"], r["at"] - r["shift"], r["to"] - r["shift"], r["shift"], r["c"] == 0, r["last"], width))
-                for r in rows
+                for r in b.to_pylist()
             ]
             yield pa.RecordBatch.from_pydict({"key": b["key"], "c": b["c"], "matrix": pa.array(found, pa.string())})
 
@@ -187,7 +206,7 @@ def _scan(table: pa.Table) -> pa.Table:
 def _encode_chunks(sent: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = processor(sent.value)
-        for b in batches:
+        for b in _by_piece(batches):
             out = []
             for r in b.to_pylist():
                 stop = r["to"] if r["last"] else r["stop"]
@@ -207,13 +226,14 @@ def _encode_chunks(sent: Broadcast):
     return run
 
 
-def _encode_rows(sent: Broadcast):
+def _encode_rows(sent: Broadcast, text: str):
+    """``text`` names the field of ``doc`` that is encoded, so that a batch holds it once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = processor(sent.value)
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                texts = part["whole"].to_pylist()
+            for part in slices(b, pc.binary_length(pc.struct_field(b["doc"], text)), MOST_BYTES):
+                texts = pc.struct_field(part["doc"], text).to_pylist()
                 ids = sp.encode([t or "" for t in texts], num_threads=1)
                 arrays = [None if t is None else np.array(i, np.int32) for t, i in zip(texts, ids)]
                 yield pa.RecordBatch.from_arrays([part["doc"], pa.array(arrays, pa.list_(pa.int32()))], ["doc", "ids"])
@@ -234,7 +254,8 @@ def encode(docs: DataFrame, model: str = MODEL, giant: int = GIANT) -> DataFrame
         raise ValueError("chunks must be longer than two pieces")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text").alias("whole"))
     is_giant = F.coalesce(F.length("whole") > giant, F.lit(False))
-    small = whole.where(~is_giant).mapInArrow(_encode_rows(sent), with_doc(whole, "ids array<int>"))
+    name = next(c for c in docs.columns if c.lower() == "text")
+    small = whole.where(~is_giant).select("doc").mapInArrow(_encode_rows(sent, name), with_doc(whole, "ids array<int>"))
     key = F.sha2(F.col("whole").cast("binary"), 256).alias("key")
     large = whole.where(is_giant)
     texts = large.select(key, "whole").dropDuplicates(["key"])
@@ -262,20 +283,54 @@ def encode(docs: DataFrame, model: str = MODEL, giant: int = GIANT) -> DataFrame
     return small.unionByName(large.select("doc", key).join(joined, "key").select("doc", "ids"))
 
 
+def spelling(data: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray] | None:
+    """(bytes of every piece, whether it starts with a space, whether only the library knows what it decodes to);
+    None if the model does not drop just the space that is put before a text."""
+    key = hash(data)
+    if key not in _spelt:
+        sp = processor(data)
+        n, space = sp.get_piece_size(), sp.piece_to_id("\u2581")
+        names = [sp.id_to_piece(i) for i in range(n)]
+        shown = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("\u2581", " ").encode() for i, p in enumerate(names)]
+        opens = np.array([p.startswith("\u2581") for p in names])
+        odd = np.array([sp.is_control(i) or sp.is_unknown(i) for i in range(n)])
+        one = not sp.is_unknown(space) and sp.decode([space, space]) == " "
+        _spelt[key] = (pa.array(shown, pa.binary()), opens, odd) if one else None
+    return _spelt[key]
+
+
+def texts_of(data: bytes, ids: pa.Array) -> pa.Array:
+    """What lists of ids decode to.  The bytes of the pieces are joined as Arrow arrays; lists with control or unknown
+    pieces, or whose bytes are no UTF-8, are left to the library, with those beside them."""
+    known, flat = spelling(data), ids.flatten()
+    if known and not flat.null_count:
+        shown, opens, odd = known
+        numbers = flat.to_numpy(zero_copy_only=False).astype(np.int64)
+        if not len(numbers) or (0 <= numbers.min() and numbers.max() < len(odd) and not odd[numbers].any()):
+            sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+            offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+            first = np.zeros(len(sizes), bool)
+            first[sizes > 0] = opens[numbers[offsets[:-1][sizes > 0]]]
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), shown.take(flat), mask=ids.is_null())
+            joined = pc.binary_join(lists, b"")
+            try:
+                return pc.if_else(pa.array(first), pc.binary_slice(joined, 1, None), joined).cast(pa.string())
+            except pa.ArrowInvalid:
+                pass
+    rows = ids.to_pylist()
+    found = processor(data).decode([i or [] for i in rows], num_threads=1) if rows else []
+    return pa.array([None if i is None else t for i, t in zip(rows, found)], pa.string())
+
+
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     """encoded (``doc``, ``ids``) with ``decoded`` appended; null ids decode to null."""
     sent = send_model(encoded.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sp = processor(sent.value)
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                ids = part["ids"].to_pylist()
-                texts = sp.decode([i or [] for i in ids], num_threads=1) if ids else []
+            for part in slices(b, pc.list_value_length(b["ids"]), MOST_IDS):
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc"], part["ids"], pa.array([None if i is None else t for i, t in zip(ids, texts)], pa.string())],
-                    ["doc", "ids", "decoded"],
+                    [part["doc"], part["ids"], texts_of(sent.value, part["ids"])], ["doc", "ids", "decoded"]
                 )
 
     return encoded.select("doc", "ids").mapInArrow(run, with_doc(encoded, "ids array<int>, decoded string"))
