@@ -148,6 +148,43 @@ def test_waiting_rows_meet_those_of_later_batches(spark, path, sink):
     assert run() == want | {(6, 2): 10}
 
 
+@pytest.mark.parametrize("most", [2, 100])
+@pytest.mark.parametrize("sink", [lambda s: s, jobs.replayed])
+def test_joined_lines_are_allocated_where_they_lie(spark, path, monkeypatch, most, sink):
+    """The joined batch was kept in memory and shuffled again, its hot orders were looked for four times."""
+    heads, lines, plans = Feed(spark, f"{path}/heads", HEAD), Feed(spark, f"{path}/lines", LINE), []
+    plain = orders.allocate_paid_amount
+
+    def seen(*args):
+        plans.append((done := plain(*args))._jdf.queryExecution().executedPlan().toString())
+        return done
+
+    monkeypatch.setattr(orders, "allocate_paid_amount", seen)
+
+    def run():
+        out = jobs.allocate_sink(f"{path}/state", jobs.table_sink(f"{path}/out"), ["order_detail_id"], max_part_rows=most)
+        both, join = jobs.join_waiting(
+            heads.stream(), lines.stream(), f"{path}/waiting", out, late="5 minutes", max_part_rows=most, parts=True
+        )
+        jobs.drain(both, sink(join), f"{path}/cp")
+        rows = spark.read.parquet(f"{path}/out").collect()
+        assert len({(r.order_id, r.order_detail_id) for r in rows}) == len(rows)
+        assert "n_parts" not in rows[0] and "part" not in rows[0]
+        return {(r.order_id, r.order_detail_id): r.share_cents for r in rows}
+
+    heads.add([(1, 500, 600, at(0)), (2, 999, 1000, at(0)), (3, 70, 90, at(0))])
+    lines.add([(1, i, 100, at(0, 10)) for i in range(1, 6)] + [(2, 1, 333, at(0)), (2, 1, 333, at(0)), (3, 1, 45, at(0)), (3, 2, 45, at(0, 9))])
+    want = {(1, i): 83 for i in range(1, 6)} | {(2, 1): 333, (3, 1): 35, (3, 2): 35}
+    assert run() == want
+    if most == 100:
+        assert "InMemoryTableScan" not in plans[0] and plans[0].count("Exchange hashpartitioning") <= 2
+        assert "percentile" not in plans[0]
+    # the rests of orders 1 and 2 after the state
+    lines.add([(1, 6, 100, at(0, 40)), *[(2, i, 1, at(0, 20)) for i in range(2, 7)], (2, 7, 662, at(0, 20))])
+    want |= {(1, 6): 85, (2, 7): 999 - 333 - 5} | {(2, i): 1 for i in range(2, 7)}
+    assert run() == want
+
+
 def test_registered_joins_use_no_state_store(spark, path, monkeypatch):
     """order_join_stream and ads_once held their whole backlog in the memory of the state store."""
     jobs_run, start = [], jobs.start

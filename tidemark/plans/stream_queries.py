@@ -392,13 +392,14 @@ def layers(spark: SparkSession, sf_dir: str, drain: Callable[[DataFrame, jobs.Ba
     )
     sink = jobs.allocate_sink(f"{path}/state", jobs.table_sink(f"{path}/wide"), ["order_detail_id"])
     both, sink = jobs.join_waiting(
-        _heads(order_stream(spark, topics, ORDERS)), _lines(lines, "tm_id", "tm_name"), f"{path}/waiting", sink
+        _heads(order_stream(spark, topics, ORDERS)), _lines(lines, "tm_id", "tm_name"), f"{path}/waiting", sink,
+        parts=True,
     )
     drain(both, sink, f"{path}/checkpoints/dws")
 
     # ADS: brand sums per batch, written once
     stored = spark.read.parquet(f"{path}/wide")
-    flow = spark.readStream.schema(stored.schema).parquet(f"{path}/wide")
+    flow = spark.readStream.schema(stored.schema).parquet(f"{path}/wide").select("tm_id", "tm_name", "share_cents")
     stat = jobs.stat_sink(f"{path}/stat", ["tm_id", "tm_name"])
     drain(flow, stat, f"{path}/checkpoints/ads")
     sums = spark.read.parquet(f"{path}/stat").groupBy("tm_id", "tm_name")
