@@ -3,10 +3,14 @@
 import datetime as dt
 import itertools
 import json
+from pathlib import Path
 
 import pytest
+from compare import connect, differences
+from conftest import SF
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from tidemark.operators import orders, similarity
 from tidemark.operators.relational import explode_recs
 from tidemark.plans import stream_queries
@@ -196,6 +200,56 @@ def test_registered_joins_use_no_state_store(spark, path, monkeypatch):
     assert not any(p.stateOperators for job in jobs_run for p in job.recentProgress)
 
 
+def test_allocation_of_four_publications_uses_no_state_store(spark, monkeypatch):
+    """alloc_stream held every order and line in three state stores."""
+    jobs_run, start = [], jobs.start
+    monkeypatch.setattr(jobs, "start", lambda *args, **more: jobs_run.append(start(*args, **more)) or jobs_run[-1])
+    got = stream_queries.alloc_stream(spark, SF)
+    assert not differences(got, connect(SF), contract.oracle_sql()["alloc_stream"])
+    assert not any(p.stateOperators for job in jobs_run for p in job.recentProgress)
+    batches = [len([p for p in job.recentProgress if p.numInputRows]) for job in jobs_run]
+    # two runs of two batches, each followed by the records of both topics that cannot be read
+    assert batches == [2, 1, 2, 2, 0, 2]
+
+
+@pytest.mark.parametrize("sink", [lambda s: s, jobs.replayed])
+def test_waiting_rows_are_written_with_their_batch(spark, path, sink):
+    """All that waited was written again with every batch."""
+    heads, lines = Feed(spark, f"{path}/heads", HEAD), Feed(spark, f"{path}/lines", LINE)
+    written = {}
+    for batch in range(7):
+        # orders of every batch are years apart; its lines are of its own and of earlier orders, one comes again
+        heads.add([(batch, 100, 700, at(0) + dt.timedelta(days=400 * batch))])
+        rows = [(o, batch, 100, at(0) + dt.timedelta(days=400 * o)) for o in range(batch + 2)]
+        lines.add(rows + ([(0, batch - 1, 100, at(0))] if batch else []))
+        out = jobs.table_sink(f"{path}/out")
+        both, join = jobs.join_waiting(
+            heads.stream(), lines.stream(), f"{path}/waiting", out, late="4000 days", fan_in=3
+        )
+        jobs.drain(both, sink(join), f"{path}/cp")
+        own = spark.read.parquet(f"{path}/waiting/waiting/batch_id={batch}")
+        written[batch] = (own.where("_side = 'head'").count(), own.where("_side = 'line'").count())
+        got = sorted((r.order_id, r.order_detail_id) for r in spark.read.parquet(f"{path}/out").collect())
+        assert got == sorted((o, b) for b in range(batch + 1) for o in range(min(b + 2, batch + 1)))
+        live = jobs._clock(spark, f"{path}/waiting", batch)[1]
+        assert len(live) <= 4
+    assert written == {b: (1, b + 2) for b in range(7)}
+    names = {p.name for p in Path(f"{path}/waiting/waiting").iterdir() if not p.name.startswith("_")}
+    assert {name for _, name in live} <= names and len(names) <= 7
+
+
+def test_states_that_later_lines_may_need_outlive_merges(spark, path):
+    """States of orders that are years older than others were dropped when the table was merged."""
+    schema = LINE + ", final_cents long, original_cents long"
+    sink = jobs.allocate_sink(f"{path}/state", jobs.table_sink(f"{path}/out"), ["order_detail_id"], late="4000 days")
+    for batch in range(10):
+        years = at(0) + dt.timedelta(days=365 * batch)
+        sink(spark.createDataFrame([(batch + 1, 1, 100, years, 90, 200)], schema), batch)
+    sink(spark.createDataFrame([(1, 2, 100, at(1), 95, 200)], schema), 10)
+    rows = spark.read.parquet(f"{path}/out").where("order_id = 1").collect()
+    assert {r.order_detail_id: r.share_cents for r in rows} == {1: 45, 2: 50}  # the rest, not the 48 of a new start
+
+
 def test_topic_so_far(spark, path):
     rows = spark.createDataFrame([("a", "1", "t"), ("b", "2", "u")], "key string, value string, topic string")
     assert readers.topic_so_far(spark, "t", path).count() == 0

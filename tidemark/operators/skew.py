@@ -31,10 +31,15 @@ def heavy_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = MAX_KEYS,
     return found.where(F.col("count") > min_rows).select(F.col("item").alias(key))
 
 
-def hot_keys(df: DataFrame, key: str, order_col: str, max_rows: int = MAX_PART_ROWS) -> DataFrame:
+def hot_keys(
+    df: DataFrame, key: str, order_col: str, max_rows: int = MAX_PART_ROWS, also: DataFrame | None = None
+) -> DataFrame:
     """(key, n_parts, bounds): keys with more than max_rows rows and the last order value of every slice
-    but the last; a null order is in the first."""
-    mine = df.select(key, order_col).join(F.broadcast(heavy_keys(df, key, max_rows)), key)
+    but the last; a null order is in the first.  The keys of ``also`` are counted like those that the sketch names."""
+    candidates = heavy_keys(df, key, max_rows)
+    if also is not None:
+        candidates = candidates.union(also).distinct()
+    mine = df.select(key, order_col).join(F.broadcast(candidates), key)
     slices = F.least(F.ceil(F.count(F.lit(1)) / F.lit(max_rows)).cast("int"), F.lit(MAX_SLICES))
     # one text literal plans faster than a thousand numbers
     grid = F.split(F.lit(",".join(str(i / MAX_SLICES) for i in range(1, MAX_SLICES))), ",").cast("array<double>")

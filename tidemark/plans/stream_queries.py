@@ -246,6 +246,15 @@ def order_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Rows of a file of a publication at least, where there is more than one pair of files, and files at most.
+FILE_ROWS, MOST_FILES = 250_000, 32
+
+
+def _files(rows: DataFrame) -> int:
+    """Files of one publication of a table that comes in four, from the table's count."""
+    return max(FILES, min(MOST_FILES, rows.count() // (4 * FILE_ROWS)))
+
+
 @query
 def alloc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Joined streams with the paid amount allocated; lines count in id order.
@@ -254,27 +263,36 @@ def alloc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     The job stops after two and resumes from its checkpoint.  Orders are years apart and the later lines are
     as old as the first, hence the long delay of the watermark.
     """
-    path = workspace(spark, "alloc")
-    topics = f"{path}/topics"
-    publish(writers.as_messages(views.order_records(spark, sf_dir), "id"), ORDERS, topics, FILES)
-    lines = views.detail_records(spark, sf_dir)
+    path, late = workspace(spark, "alloc"), "4000 days"
+    topics, files = f"{path}/topics", _files(views.table(spark, sf_dir, "lineitem"))
+    publish(writers.as_messages(views.order_records(spark, sf_dir).repartition(files), "id"), ORDERS, topics)
     part = F.shiftright("id", 58)  # ids have 60 bits
 
+    def shares(done: DataFrame, batch_id: int) -> None:
+        jobs.table_sink(f"{path}/wide")(done.select("order_id", "order_detail_id", "share_cents"), batch_id)
+
+    def allocated(wide: DataFrame, batch_id: int) -> None:
+        state.allocate(wide, ["order_detail_id"], table=f"{path}/state", emit=shares, batch_id=batch_id, late=late)
+
     def run() -> None:
-        wide = jobs.join_order_streams(
-            _heads(order_stream(spark, topics, max_files=FILES)),
-            _lines(detail_stream(spark, topics, max_files=FILES)),
-            late="4000 days",
+        both, sink = jobs.join_order_streams(
+            _heads(order_stream(spark, topics, max_files=files)),
+            _lines(detail_stream(spark, topics, max_files=files)),
+            late=late,
             hot=_hot_orders(spark, path, topics),
+            waiting=f"{path}/waiting",
+            emit=allocated,
         )
-        shares = state.allocate(wide, ["order_detail_id"]).select("order_id", "order_detail_id", "share_cents")
-        jobs.drain(shares, jobs.table_sink(f"{path}/wide"), f"{path}/checkpoint")
-        _keep_unread(spark, path, topics, FILES)
-
-    for parts in ((0, 1), (2, 3)):
-        for p in parts:
-            publish(writers.as_messages(lines.where(part == p), "order_id"), DETAILS, topics, FILES)
-        run()
+        jobs.drain(both, sink, f"{path}/checkpoint")
+        _keep_unread(spark, path, topics, files)
+
+    # derived once, not once per publication
+    with jobs.stored_batch(views.detail_records(spark, sf_dir).withColumn("part", part), f"{path}/records", "part") as lines:
+        for parts in ((0, 1), (2, 3)):
+            for p in parts if lines is not None else ():
+                mine = lines.where(F.col("part") == p).drop("part").repartition(files)
+                publish(writers.as_messages(mine, "order_id"), DETAILS, topics)
+            run()
     return spark.read.parquet(f"{path}/wide").select("order_id", "order_detail_id", "share_cents")
 
 

@@ -101,9 +101,14 @@ def write_topic_once(messages: DataFrame, batch_id: int, path: str, job: str = "
     )
 
 
+def write_once(df: DataFrame, path: str, name: str) -> bool:
+    """Write rows as the folder ``path``/``name``, unless it is there."""
+    return _once(df.sparkSession, path, name, lambda staged: df.write.parquet(staged))
+
+
 def write_batch_once(df: DataFrame, batch_id: int, path: str) -> bool:
     """Write a micro-batch's result under its own batch folder, once per batch."""
-    return _once(df.sparkSession, path, f"batch_id={batch_id}", lambda staged: df.write.parquet(staged))
+    return write_once(df, path, f"batch_id={batch_id}")
 
 
 def append_jdbc(

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from .jobs import BatchSink, allocate_sink
+
 # executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -189,10 +191,15 @@ def share_out(
 
 
 def allocate(
-    wide: DataFrame, line_order: list[str], ttl_seconds: int = 600, groups: int = ORDER_GROUPS
-) -> DataFrame:
+    wide: DataFrame, line_order: list[str], ttl_seconds: int = 600, groups: int = ORDER_GROUPS,
+    table: str | None = None, emit: BatchSink | None = None, batch_id: int = 0, late: str = "0 seconds",
+) -> DataFrame | None:
     """Paid amounts spread over order lines that arrive in any number of batches: adds ``share_cents``.
 
+    With the path ``table`` and a sink ``emit`` for the shares, ``wide`` is a micro-batch that may be large, as
+    ``jobs.join_order_streams`` hands it on; the states are rows of a keyed table there (``jobs.allocate_sink``) and
+    ``late`` is the delay of the watermark.  Without them:
+
     ``wide`` is a stream with order_id, detail_cents, original_cents, final_cents and detail_time, which
     carries the watermark.  The lines of a batch count in ``line_order`` after those of earlier batches.
     The state of an order (sums and the newest time, 40 bytes) is dropped when the watermark is ``ttl_seconds``
@@ -200,6 +207,9 @@ def allocate(
     ``groups`` (the key of the state, called order_id too) share a table.  One group holds the lines of its orders
     in one micro-batch, which the source's limit on a batch bounds, and the states of those that are alive.
     """
+    if table is not None:
+        allocate_sink(table, emit, line_order, f"{ttl_seconds} seconds", late=late)(wide, batch_id)
+        return None
     ttl, whole = ttl_seconds * 1000, [c for c in _whole(wide.schema) if c != "order_id"]
 
     def keep(state: GroupState, table: np.ndarray) -> None:
