@@ -3,6 +3,7 @@
 import datetime as dt
 import itertools
 import json
+import time
 from pathlib import Path
 
 import pytest
@@ -250,6 +251,51 @@ def test_states_that_later_lines_may_need_outlive_merges(spark, path):
     assert {r.order_detail_id: r.share_cents for r in rows} == {1: 45, 2: 50}  # the rest, not the 48 of a new start
 
 
+def _shuffle_files(spark):
+    """Those with rows; a question whether there are any leaves a few bytes."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = [str(f) for f in disk.getAllFiles().mkString("\n").split("\n")]
+    return {n for n in names if "/shuffle_" in n and n.endswith(".data") and Path(n).exists() and Path(n).stat().st_size > 1000}
+
+
+def test_batches_leave_no_shuffle_files_and_are_packed(spark, path):
+    """Shuffle files of all layers stayed on the local disks until the driver collected garbage."""
+    rows = spark.range(3000).repartition(3, "id")
+    messages = rows.select(F.lit("t").alias("topic"), F.col("id").cast("string").alias("key"), F.md5(F.col("id").cast("string")).alias("value"))
+    before = _shuffle_files(spark)
+    writers.write_topic_once(messages, 0, f"{path}/topics")
+    writers.write_batch_once(rows, 0, f"{path}/batches")
+    writers.upsert(rows, f"{path}/keyed", ["id"])
+    with jobs.stored_batch(messages, f"{path}/staging") as kept:
+        assert kept is not None
+        files = list(Path(path).rglob("*.parquet"))
+        assert len({p.relative_to(path).parts[0] for p in files}) == 4
+        assert all(p.name.endswith(".zstd.parquet") for p in files)
+    for _ in range(50):
+        left = _shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+
+
+def test_parsed_records_are_not_kept_beside_their_texts(spark, path):
+    """set_aside persisted every parsed batch, which fills the local disks where it is larger than the memory."""
+    schema = "id long, _corrupt string"
+    rows = spark.createDataFrame([(1, None), (None, "{"), (2, None)], schema)
+    seen = []
+
+    def sink(df, batch_id):
+        seen.append((sorted(r.id for r in df.collect()), spark.sparkContext._jsc.getPersistentRDDs().size()))
+
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    set_aside = jobs.set_aside(sink, path, "job")
+    set_aside(rows, 0)
+    set_aside(rows.where("false"), 1)
+    assert seen == [([1, 2], kept)]
+    assert [r.value for r in spark.read.parquet(path).collect()] == ["{"]
+
+
 def test_topic_so_far(spark, path):
     rows = spark.createDataFrame([("a", "1", "t"), ("b", "2", "u")], "key string, value string, topic string")
     assert readers.topic_so_far(spark, "t", path).count() == 0

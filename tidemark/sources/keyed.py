@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import PACKED, shuffles_dropped
+
 _SEQ = "_seq"
 FAN_IN = 8
 
@@ -151,8 +153,9 @@ def read(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame
 
 def _write_segment(rows: DataFrame, path: str, partition: str | None) -> str:
     name = f"segment={uuid.uuid4().hex}"
-    writer = (rows.hint("rebalance", partition) if partition else rows).write
-    (writer.partitionBy(partition) if partition else writer).parquet(f"{path}/segments/{name}")
+    writer = (rows.hint("rebalance", partition) if partition else rows).write.options(**PACKED)
+    with shuffles_dropped(rows.sparkSession):
+        (writer.partitionBy(partition) if partition else writer).parquet(f"{path}/segments/{name}")
     return name
 
 

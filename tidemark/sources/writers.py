@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shuffles_dropped
+from ..session import PACKED, shuffles_dropped
 from . import keyed
 from .readers import read_small_files
 
@@ -83,7 +83,8 @@ def _once(spark: SparkSession, path: str, name: str, write: Callable[[str], None
     if keyed.exists(spark, f"{path}/{name}"):
         return False
     staged = f"{path}/_staging/{uuid.uuid4().hex}"
-    write(staged)
+    with shuffles_dropped(spark):
+        write(staged)
     keyed.publish(spark, staged, f"{path}/{name}")
     return True
 
@@ -97,13 +98,13 @@ def write_topic_once(messages: DataFrame, batch_id: int, path: str, job: str = "
     out = rows.select("key", "value", "topic")
     return _once(
         messages.sparkSession, path, f"batch={job}-{batch_id}",
-        lambda staged: out.write.partitionBy("topic").parquet(staged),
+        lambda staged: out.write.options(**PACKED).partitionBy("topic").parquet(staged),
     )
 
 
 def write_once(df: DataFrame, path: str, name: str) -> bool:
     """Write rows as the folder ``path``/``name``, unless it is there."""
-    return _once(df.sparkSession, path, name, lambda staged: df.write.parquet(staged))
+    return _once(df.sparkSession, path, name, lambda staged: df.write.options(**PACKED).parquet(staged))
 
 
 def write_batch_once(df: DataFrame, batch_id: int, path: str) -> bool:
@@ -165,7 +166,7 @@ def write_topic(
         )
     else:
         with shuffles_dropped(rows.sparkSession):
-            rows.write.mode(mode).partitionBy("topic").parquet(path)
+            rows.write.options(**PACKED).mode(mode).partitionBy("topic").parquet(path)
 
 
 def create_table(
