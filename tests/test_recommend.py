@@ -2,6 +2,7 @@ import math
 import random
 import threading
 import time
+import tracemalloc
 from itertools import product
 
 import numpy as np
@@ -192,6 +193,50 @@ def test_factorization(spark):
     assert factorization.best_params(grid).first().rmse == min(r.rmse for r in cells)
 
 
+def test_blocks_of_the_training_follow_what_a_task_takes_in(spark, monkeypatch):
+    """There were 6 blocks whatever the tables, so a task took in all vectors of the other side."""
+    per_item = 4 * 50 + factorization._OVERHEAD
+    assert factorization.als_blocks(36_000_000, 900_000, 1_200_000, 50) == factorization.ALS_BLOCKS
+    for ratings, own, other in ((216_000_000, 5_400_000, 7_200_000), (216_000_000, 7_200_000, 5_400_000)):
+        blocks = factorization.als_blocks(ratings, own, other, 50)
+        taken = other * (1 - np.exp(-ratings / blocks / other)) * per_item
+        assert 0.95 * factorization.ALS_BYTES < taken <= factorization.ALS_BYTES
+    rng = np.random.default_rng(3)
+    rows = {(int(u), int(m)): float(s) for u, m, s in zip(rng.integers(0, 300, 2000), rng.integers(0, 400, 2000), rng.integers(1, 6, 2000))}
+    df = spark.createDataFrame([(*k, s) for k, s in rows.items()], "uid int, mid int, score double")
+    few = factorization.train_als(df, rank=4, iters=15, reg=0.1)
+    monkeypatch.setattr(factorization, "ALS_BYTES", 100 * (4 * 4 + factorization._OVERHEAD))
+    many = factorization.train_als(df, rank=4, iters=15, reg=0.1)
+    # 2000 ratings, of which 115 name 100 different ones of 400 items
+    assert few.userFactors.rdd.getNumPartitions() == 6 and 14 <= many.userFactors.rdd.getNumPartitions() <= 22
+    assert many.userFactors.count() == few.userFactors.count()
+    error = [factorization.rmse(m, df).first()["rmse"] for m in (few, many)]
+    assert abs(error[0] - error[1]) < 0.1
+
+
+def test_a_block_grows_where_it_lies():
+    rng = np.random.default_rng(2)
+    pieces = [(rng.normal(size=(n, 3)).astype(np.float32), np.arange(n) + 10 * n) for n in (1, 0, 5, 2000, 7)]
+    block = similarity._Block()
+    block.STEP = 60  # room for 5 more vectors
+    for vecs, ids in pieces:
+        block.add(vecs, ids)
+    vecs, ids = block.whole()
+    assert (vecs == np.concatenate([v for v, _ in pieces])).all() and (ids == np.concatenate([i for _, i in pieces])).all()
+    assert len(block.vecs) <= len(ids) + 5
+
+
+def test_lengths_of_a_block_need_no_copy_of_it():
+    """A copy in double precision and its squares took four times the space of the block."""
+    vecs = np.random.default_rng(1).normal(size=(200_000, 50)).astype(np.float32)
+    tracemalloc.start()
+    found = similarity._lengths(vecs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(found, np.linalg.norm(vecs.astype(np.float64), axis=1), rtol=1e-12)
+    assert peak < vecs.nbytes / 2
+
+
 def test_grid_trains_two_settings_at_once(spark, monkeypatch):
     """One training has six tasks at once at most, however many cores there are."""
     rows = [(u, m, float((u * 7 + m * 3) % 9) / 2) for u in range(30) for m in range(12) if (u + m) % 3]
